@@ -52,27 +52,30 @@ def split_by_entity_order(
     """
     slices = fit_slices(df, ["entity_id"], sc.micros(), rows_per_slice)
     numbered = running_sums(df, ["entity_id"], ORDER, {"_nth": F.lit(1).cast("long")}, slices)
-    sizes = keep(df.groupBy("entity_id").agg(F.count(F.lit(1)).alias("_size")), "entity-sizes")
-    before = keep(_rows_before(sizes, rows_per_slice), "rows-before")
+    sizes = df.groupBy("entity_id").agg(F.count(F.lit(1)).alias("_size"))
+    before = keep(_rows_before(sizes), "rows-before")
     total = df.count()
     ranked = attach(numbered, before, ["entity_id"])
     position = F.col("_before") + F.col("_nth") - 1
     return ranked.withColumn("is_reference", position < int(total * share)).drop("_nth", "_before")
 
 
-def _rows_before(sizes: DataFrame, rows_per_slice: int) -> DataFrame:
+def _rows_before(sizes: DataFrame) -> DataFrame:
     """Events of all entities that sort before each entity.
 
-    Entities are grouped by the leading part of their id; only the group totals
-    (few rows) are summed over everything.
+    The entities are range-sorted once and written with ids that grow with the
+    order; only the totals of the sorted parts are summed over everything.
     """
-    lead = sizes.withColumn("_all", F.lit(0)).withColumn("_lead", F.expr("substring(entity_id, 1, length(entity_id) - 3)"))
-    # Same lead but different length would not sort together, so order by the id itself inside a lead.
-    groups = lead.groupBy("_all", "_lead").agg(F.sum("_size").alias("_gsize"), F.min("entity_id").alias("_gmin"))
-    ordered = running_sums(groups, ["_all"], ["_gmin"], {"_upto": F.col("_gsize")})
-    starts = ordered.select("_lead", (F.col("_upto") - F.col("_gsize")).alias("_start"))
-    inside = running_sums(lead, ["_lead"], ["entity_id"], {"_run": F.col("_size")})
-    return inside.join(starts, "_lead").select(
+    ordered = keep(
+        sizes.orderBy("entity_id").withColumn("_pos", F.monotonically_increasing_id()), "entities-in-order"
+    ).withColumn("_part", F.shiftright("_pos", 33)).withColumn("_all", F.lit(0))
+    parts = ordered.groupBy("_all", "_part").agg(F.sum("_size").alias("_psize"))
+    starts = running_sums(parts, ["_all"], ["_part"], {"_upto": F.col("_psize")}).select(
+        "_part", (F.col("_upto") - F.col("_psize")).alias("_start")
+    )
+    inside = running_sums(ordered, ["_part"], ["_pos"], {"_run": F.col("_size")})
+    # One row per sorted part, as many as there were tasks.
+    return inside.join(F.broadcast(starts), "_part").select(
         "entity_id", (F.col("_start") + F.col("_run") - F.col("_size")).alias("_before")
     )
 

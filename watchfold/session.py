@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,3 +54,17 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the Python workers (once per session).
+
+    A cluster job that passes the package with ``--py-files`` does not need it.
+    """
+    if spark.conf.get("watchfold.shipped", None):
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="watchfold-code-"))
+    archive = shutil.make_archive(str(target / "watchfold"), "zip", root.parent, root.name)
+    spark.sparkContext.addPyFile(archive)
+    spark.conf.set("watchfold.shipped", "true")
