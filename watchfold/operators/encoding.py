@@ -88,11 +88,7 @@ def fit_scaler(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Mean and population spread per scaled column, one pass."""
     names = [c for c in (columns or cfg.SCALE_COLUMNS) if c in df.columns]
     items = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.avg(c).alias("mean"),
-            F.when(F.min(c) == F.max(c), F.lit(0.0)).otherwise(F.stddev_pop(c)).alias("std"),
-        )
+        F.struct(F.lit(c).alias("column_name"), F.avg(c).alias("mean"), F.stddev_pop(c).alias("std"))
         for c in names
     ]
     return df.agg(F.array(*items).alias("r")).select(F.explode("r").alias("r")).select("r.*")
@@ -125,22 +121,23 @@ def apply_encoder(df: DataFrame, encoder: Encoder) -> DataFrame:
     ready = prepare(df)
     cats, scales = encoder.categories(), encoder.scales()
     out: dict[str, Column] = {}
+    known = set(ready.columns)
     for c in cfg.ORDINAL_LEVELS:
-        if c in ready.columns:
+        if c in known:
             out[c] = ordinal(c)
     for c in cfg.LABEL_COLUMNS:
-        if c in ready.columns:
+        if c in known:
             out[c] = label_code(ready, c, cats.get(c, []))
     for c in cfg.CALENDAR_COLUMNS:
         out[c] = F.col(c)
     for c, (mean, std) in scales.items():
-        out[c] = scaled(c, mean, std) if c in ready.columns else F.lit(0.0)
+        out[c] = sc.finite(scaled(c, mean, std)) if c in known else F.lit(0.0)
     for c in cfg.ONEHOT_COLUMNS:
-        if c in ready.columns:
+        if c in known:
             out |= dummies(c, cats.get(c, []))
     keys = [c for c in ("event_id", "entity_id") if c in df.columns]
     targets = [c for c in TARGETS if c in df.columns]
-    return ready.select(*keys, *[sc.finite(x).alias(n) for n, x in out.items()], *targets)
+    return ready.select(*keys, *[x.cast("double").alias(n) for n, x in out.items()], *targets)
 
 
 def feature_names(matrix: DataFrame) -> list[str]:
