@@ -81,7 +81,8 @@ def candidates(effort: Effort = Effort(), seed: int = cfg.FOREST_SEED) -> dict[s
             featureSubsetStrategy=str(settings["columns"]),
             seed=seed,
         )
-        one = OneVsRest(classifier=trees, labelCol="class_code", featuresCol="vector", predictionCol="class_out")
+        one = OneVsRest(classifier=trees, labelCol="class_code", featuresCol="vector", predictionCol="class_out",
+                        parallelism=4)
         return one.setWeightCol("weight") if weighted else one
 
     return {

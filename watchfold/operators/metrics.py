@@ -104,9 +104,10 @@ def _found_in_budget(marked: DataFrame, budget: int, rows_per_slice: int) -> Dat
 
 
 def confusion(df: DataFrame, truth: str, predicted: str) -> DataFrame:
-    return df.groupBy(F.col(truth).alias("truth"), F.col(predicted).alias("predicted")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    """Counts per pair of true and predicted class, both as text."""
+    return df.groupBy(
+        F.col(truth).cast("string").alias("truth"), F.col(predicted).cast("string").alias("predicted")
+    ).agg(F.count(F.lit(1)).alias("n"))
 
 
 def confusion_matrix(df: DataFrame, truth: str, predicted: str, classes: list[str]) -> DataFrame:

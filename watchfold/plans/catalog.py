@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 from watchfold.plans import (  # noqa: F401
+    q_analyst,
     q_features,
+    q_models,
+    q_profiles,
     q_quality,
+    q_risk,
     q_sources,
+    q_stream,
 )
 from watchfold.plans.registry import ORACLES, QUERIES
 

@@ -17,6 +17,11 @@ def rd(expr: str, digits: int = 6) -> str:
     return f"(round(CAST({expr} AS DOUBLE), {digits}) + CAST(0 AS DOUBLE))"
 
 
+def half_up(expr: str, digits: int) -> str:
+    """Rounded on the printed decimals, ties away from zero."""
+    return f"CAST(CAST(CAST(CAST({expr} AS DOUBLE) AS VARCHAR) AS DECIMAL(30, {digits})) AS DOUBLE)"
+
+
 def rdas(name: str, digits: int = 6) -> str:
     return f"{rd(name, digits)} AS {name}"
 
@@ -157,8 +162,8 @@ def profile_columns() -> str:
 
 
 RULE_SCORE = (
-    "least(CAST(100 AS DOUBLE), CAST(failed_attempts AS DOUBLE) * 4 + geo_velocity_kmph / CAST(40 AS DOUBLE)"
-    " + CAST(bytes_uploaded AS DOUBLE) / CAST(400 AS DOUBLE))"
+    "least(CAST(100 AS DOUBLE), CAST(failed_attempts AS DOUBLE) * 4 + geo_velocity_kmph / CAST(37 AS DOUBLE)"
+    " + CAST(bytes_uploaded AS DOUBLE) / CAST(411 AS DOUBLE))"
 )
 RULE_DECISION = f"(CAST(0.25 AS DOUBLE) - {RULE_SCORE} / CAST(100 AS DOUBLE))"
 RULE_CLASS = """(CASE WHEN os = 'Kali Linux' THEN 'Device Spoofing' WHEN failed_attempts >= 20 THEN 'Brute Force'

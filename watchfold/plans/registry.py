@@ -84,8 +84,8 @@ def rule_score() -> Column:
     return F.least(
         F.lit(100.0),
         F.col("failed_attempts") * F.lit(4.0)
-        + F.col("geo_velocity_kmph") / F.lit(40.0)
-        + F.col("bytes_uploaded") / F.lit(400.0),
+        + F.col("geo_velocity_kmph") / F.lit(37.0)
+        + F.col("bytes_uploaded") / F.lit(411.0),
     )
 
 
