@@ -5,11 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from watchfold import settings as cfg
 from watchfold.functions import scalars as sc
 from watchfold.operators import groups, running
 from watchfold.operators.slicing import Slices
+from watchfold.session import keep
 
 FEATURES = [
     "hour_sin", "hour_cos", "is_weekend", "month", "day_of_month",
@@ -36,11 +38,18 @@ class Context:
 
 
 def fit_context(df: DataFrame, approx: bool = False, rows_per_slice: int = cfg.ROWS_PER_SLICE) -> Context:
-    slices = running.fit_entity_slices(df, rows_per_slice)
+    """Two passes: one counts all groups, one finds the median gap.
+
+    The counts also tell whether an entity is too large for one window partition.
+    """
+    counts = keep(groups.group_counts(df), "group-counts")
+    patterns = keep(groups.access_patterns(counts), "access-patterns")
+    rows, largest = patterns.agg(F.sum("events"), F.max("events")).first()
+    slices = running.fit_entity_slices(df, rows_per_slice, at_most=largest or 0)
     return Context(
-        median_gap=running.fit_median_gap(df, slices, approx, rows_per_slice),
-        patterns=groups.fit_access_patterns(df),
-        peers=groups.fit_peers(df),
+        median_gap=running.fit_median_gap(df, slices, approx, rows_per_slice, rows or 0),
+        patterns=patterns,
+        peers=keep(groups.peer_means(counts), "peers"),
         slices=slices,
     )
 

@@ -211,9 +211,46 @@ def invariants(df: DataFrame) -> DataFrame:
 FINDINGS = "position int, section string, severity string, subject string, metric string, value double"
 
 
+def _whole_table(df: DataFrame, as_of: Column) -> DataFrame:
+    """Every check that is a plain aggregate of the table, in one pass (one row)."""
+    normal, kind = F.col("label") == "Normal", F.col("anomaly_type")
+    number = {c: F.col(c).try_cast("double") for c in cfg.NON_NEGATIVE_COLUMNS if c in df.columns}
+    return df.agg(
+        F.count(F.lit(1)).alias("total"),
+        F.array(
+            *[
+                F.struct(F.lit(c).alias("subject"), F.count_if(_missing(df, c)).alias("missing"))
+                for c in df.columns
+            ]
+        ).alias("columns"),
+        F.array(
+            *[F.struct(F.lit(c).alias("subject"), F.count_if(x < 0).alias("n")) for c, x in number.items()]
+        ).alias("negatives"),
+        F.timestamp_diff("DAY", F.min("event_ts"), F.max("event_ts")).alias("days"),
+        F.count_if(F.col("event_ts") > as_of).alias("future"),
+        F.count_if(normal & (kind != "Normal")).alias("bad_normal"),
+        F.count_if((F.col("label") == "Anomaly") & (kind == "Normal")).alias("bad_anomaly"),
+    )
+
+
+def _value_counts(df: DataFrame) -> DataFrame:
+    """(column_name, value, n) of the categorical columns, in one pass."""
+    names = [c for c in dict.fromkeys(cfg.CATEGORICAL_COLUMNS + list(cfg.EXPECTED_VALUES)) if c in df.columns]
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in names])
+    long = df.select(F.explode(pairs).alias("p")).select("p.*").where(F.col("value").isNotNull())
+    return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def findings(df: DataFrame, as_of: Column, rows_per_slice: int = cfg.ROWS_PER_SLICE) -> DataFrame:
-    """All checks as one table of findings, in report order."""
+    """All checks as one table of findings, in report order.
+
+    Same results as the single checks, from five passes over the table: plain
+    aggregates, value counts, duplicates, quartiles with outliers, coverage.
+    """
     spark: SparkSession = df.sparkSession
+    one = keep(_whole_table(df, as_of), "quality-row")
+    values = keep(_value_counts(df), "quality-values")
+    five = keep(five_numbers(df, rows_per_slice=rows_per_slice), "five-numbers")
 
     def rows(section: int, name: str, table: DataFrame, subject, metric: str, value, severity) -> DataFrame:
         as_col = lambda x: x if isinstance(x, Column) else F.lit(x)
@@ -226,26 +263,40 @@ def findings(df: DataFrame, as_of: Column, rows_per_slice: int = cfg.ROWS_PER_SL
             as_col(value).cast("double").alias("value"),
         )
 
-    miss = missing_values(df)
-    five = keep(five_numbers(df, rows_per_slice=rows_per_slice), "five-numbers")
-    any_missing = F.when(F.count(F.lit(1)) > 0, "WARNING").otherwise("PASS")
-    neg = negatives(df)
+    def warn_if(n: Column, level: str = "WARNING") -> Column:
+        return F.when(n > 0, level).otherwise("PASS")
+
+    columns = one.select("total", F.explode("columns").alias("c")).select("total", "c.*")
+    miss = columns.where(F.col("missing") > 0).withColumn("pct", F.col("missing") * 100.0 / F.col("total"))
+    grade = (
+        F.when(F.col("pct") >= cfg.MISSING_ERROR_PCT, "ERROR")
+        .when(F.col("pct") >= cfg.MISSING_WARNING_PCT, "WARNING")
+        .otherwise("INFO")
+    )
+    expected = spark.createDataFrame(
+        [(c, v) for c, known in cfg.EXPECTED_VALUES.items() for v in known], "column_name string, value string"
+    )
+    checked = values.where(F.col("column_name").isin(*cfg.EXPECTED_VALUES))
+    odd = checked.join(F.broadcast(expected), ["column_name", "value"], "left_anti")  # a fixed list
+    spread = values.where(F.col("column_name").isin(*cfg.CATEGORICAL_COLUMNS)).groupBy("column_name").count()
+    classes = values.where(F.col("column_name").isin("label", "anomaly_type"))
+    share = F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy("column_name"))
+    negative = one.select(F.explode("negatives").alias("c")).select("c.*")
+    mismatched = F.col("bad_normal") + F.col("bad_anomaly")
+    named = F.concat_ws("=", "column_name", "value")
     parts = [
-        rows(1, "Schema", column_types(df), F.col("column_name"), "non_null", F.col("non_null"), "INFO"),
-        rows(2, "Missing values", miss.agg(any_missing.alias("s"), F.count(F.lit(1)).alias("v")), "table", "columns", F.col("v"), F.col("s")),
-        rows(2, "Missing values", miss, F.col("column_name"), "missing_pct", F.col("missing_pct"), F.col("severity")),
+        rows(1, "Schema", columns, F.col("subject"), "non_null", F.col("total") - F.col("missing"), "INFO"),
+        rows(2, "Missing values", miss.agg(F.count(F.lit(1)).alias("v")), "table", "columns", F.col("v"), warn_if(F.col("v"))),
+        rows(2, "Missing values", miss, F.col("subject"), "missing_pct", F.col("pct"), grade),
         rows(3, "Duplicates", duplicate_rows(df), "table", "duplicates", F.col("duplicates"), F.col("severity")),
-        rows(4, "Timestamps", time_span(df), "event_ts", "days", F.col("days"), "INFO"),
-        rows(4, "Timestamps", future_events(df, as_of), "event_ts", "future_events", F.col("future_events"),
-             F.when(F.col("future_events") > 0, "WARNING").otherwise("PASS")),
-        rows(5, "Categories", unexpected_values(df), F.concat_ws("=", "column_name", "value"), "unexpected", 1, "WARNING"),
-        rows(5, "Categories", cardinality(df), F.col("column_name"), "distinct", F.col("distinct_values"), "INFO"),
-        rows(6, "Ranges", neg, F.col("column_name"), "negatives", F.col("negatives"),
-             F.when(F.col("negatives") > 0, "WARNING").otherwise("PASS")),
+        rows(4, "Timestamps", one, "event_ts", "days", F.col("days"), "INFO"),
+        rows(4, "Timestamps", one, "event_ts", "future_events", F.col("future"), warn_if(F.col("future"))),
+        rows(5, "Categories", odd, named, "unexpected", F.col("n"), "WARNING"),
+        rows(5, "Categories", spread, F.col("column_name"), "distinct", F.col("count"), "INFO"),
+        rows(6, "Ranges", negative, F.col("subject"), "negatives", F.col("n"), warn_if(F.col("n"))),
         rows(6, "Ranges", iqr_outliers(df, five), F.col("column_name"), "outliers", F.col("outliers"), "INFO"),
-        rows(7, "Labels", label_mismatches(df), "label", "mismatches",
-             F.col("normal_with_attack") + F.col("anomaly_without_attack"), F.col("severity")),
-        rows(7, "Labels", class_distributions(df), F.concat_ws("=", "column_name", "value"), "pct", F.col("pct"), "INFO"),
+        rows(7, "Labels", one, "label", "mismatches", mismatched, warn_if(mismatched, "ERROR")),
+        rows(7, "Labels", classes.withColumn("pct", share), named, "pct", F.col("pct"), "INFO"),
         rows(8, "Entities", entity_coverage(df), F.col("entity_type"), "entities", F.col("entities"), "INFO"),
     ]
     empty = spark.createDataFrame([], FINDINGS)

@@ -26,8 +26,10 @@ RATES = {
 }
 
 
-def fit_entity_slices(df: DataFrame, rows_per_slice: int = cfg.ROWS_PER_SLICE) -> Slices | None:
-    return fit_slices(df, [ENTITY], sc.micros(), rows_per_slice)
+def fit_entity_slices(
+    df: DataFrame, rows_per_slice: int = cfg.ROWS_PER_SLICE, at_most: int | None = None
+) -> Slices | None:
+    return fit_slices(df, [ENTITY], sc.micros(), rows_per_slice, at_most)
 
 
 def running_features(
@@ -71,11 +73,13 @@ def fit_median_gap(
     slices: Slices | None = None,
     approx: bool = False,
     rows_per_slice: int = cfg.ROWS_PER_SLICE,
+    rows: int | None = None,
 ) -> float | None:
     """Median of all gaps between successive events of an entity, in minutes."""
     gaps = running_features(df.select(ENTITY, *ORDER), slices)
     names = {"median_gap": 0.5}
-    row = quantiles(gaps, [], "time_since_last_login_min", names, approx, rows_per_slice).first()
+    bound = df.count() if rows is None else rows
+    row = quantiles(gaps, [], "time_since_last_login_min", names, approx, rows_per_slice, bound).first()
     return row["median_gap"] if row else None
 
 

@@ -74,13 +74,15 @@ def fit_slices(
     keys: list[str],
     order: Column,
     rows_per_slice: int = cfg.ROWS_PER_SLICE,
+    at_most: int | None = None,
 ) -> Slices | None:
     """Cut every group above ``rows_per_slice`` evenly along ``order``.
 
     Slices that are still too large (bursts) are cut again.  Returns None when no
     group needs it.  Each round is one aggregate over (keys, order) only.
+    ``at_most`` is a known bound on the rows of the largest group, if any.
     """
-    if largest_group(df, keys) <= rows_per_slice:
+    if (largest_group(df, keys) if at_most is None else at_most) <= rows_per_slice:
         return None
     slim = df.select(*keys, order.alias("_order")).withColumn(SLICE, F.lit(0).cast("long"))
     levels: list[DataFrame] = []
@@ -149,9 +151,11 @@ def quantiles(
     names: dict[str, float],
     approx: bool = False,
     rows_per_slice: int = cfg.ROWS_PER_SLICE,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Linearly interpolated quantiles per group, one output column per name.
 
+    ``at_most`` is a known bound on the rows of the largest group, if any.
     Groups up to ``rows_per_slice`` rows use the built-in percentile.  A larger
     group would put all its distinct values into one buffer, so then the values
     are counted, ranked by sliced running sums and picked by rank.
@@ -165,7 +169,7 @@ def quantiles(
     probs = list(names.values())
     if approx:
         agg = F.percentile_approx("_v", probs, 100_000)
-    elif largest_group(rows, keys) <= rows_per_slice:
+    elif (largest_group(rows, keys) if at_most is None else at_most) <= rows_per_slice:
         agg = F.percentile("_v", probs)
     else:
         return _ranked_quantiles(rows, group, names, rows_per_slice).drop("_all")
@@ -195,12 +199,12 @@ def _ranked_quantiles(rows: DataFrame, keys: list[str], names: dict[str, float],
     )
 
 
-def attach(rows: DataFrame, dim: DataFrame, keys: list[str], bound: int = cfg.BROADCAST_ROWS) -> DataFrame:
+def attach(rows: DataFrame, dim: DataFrame, keys: list[str]) -> DataFrame:
     """Left-join a fitted table (written by ``keep``) to the rows.
 
-    Broadcast only after its row count was checked; beyond the bound it is a
-    shuffled join, on whose hot keys adaptive execution splits the row side.
-    Rows without a key keep missing values.
+    The written files give Spark the exact size of the table: it is broadcast only
+    below ``spark.sql.autoBroadcastJoinThreshold``, else the join is shuffled and
+    adaptive execution splits the row side of hot keys.  Rows without a key keep
+    missing values.
     """
-    small = dim.limit(bound + 1).count() <= bound
-    return rows.join(F.broadcast(dim) if small else dim, keys, "left")
+    return rows.join(dim, keys, "left")

@@ -11,7 +11,7 @@ from watchfold.plans import analyst, oracle as o
 from watchfold.plans.registry import batch, enriched, log, profiled, query, r, rule_scored
 from watchfold.session import fresh_path
 from watchfold.sources import tables
-from watchfold.sources.access_log import access_schema
+from watchfold.sources.access_log import access_schema, read_access_log
 from watchfold.streaming import live
 
 _ALL = [f.name for f in access_schema().fields if f.name != "event_ts"]
@@ -27,7 +27,7 @@ def _plain(df):
 @query("a01_scan", o.sql(f"SELECT {_ALL_SQL} FROM access_log"))
 def a01(spark, sf):
     """Raw table written and scanned with a declared schema."""
-    path = tables.write_table(log(spark, sf), fresh_path(spark, "raw"))
+    path = tables.write_table(read_access_log(spark, sf), fresh_path(spark, "raw"))
     return _plain(tables.read_events(spark, path))
 
 

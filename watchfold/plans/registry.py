@@ -14,6 +14,7 @@ from watchfold.operators import risk
 from watchfold.plans.batch import Batch, run_batch
 from watchfold.session import keep, ship_code
 from watchfold.sources.access_log import read_access_log
+from watchfold.sources.tables import clustered
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -56,7 +57,8 @@ def shared(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], objec
 
 
 def log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_access_log(spark, sf_dir)
+    """The access log, derived from ``events`` and stored once per session."""
+    return shared(spark, sf_dir, "log", lambda: keep(clustered(read_access_log(spark, sf_dir)), "access-log"))
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:

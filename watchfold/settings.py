@@ -285,5 +285,4 @@ PROFILE_METRICS = {
 
 # Sizes that decide between physical strategies.
 ROWS_PER_SLICE = 1_000_000
-BROADCAST_ROWS = 200_000
 DUMMY_COLUMNS = 512
