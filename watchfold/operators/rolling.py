@@ -1,57 +1,107 @@
-"""Seven- and thirty-day behaviour of each entity, and entropy up to each event."""
+"""Look-back features of each entity: the last days, and entropy up to each event.
+
+A sliding window is the difference of two running sums: up to the event, and up
+to a probe placed where the window begins.  Running sums can be sliced, so a hot
+entity spreads over many tasks, which a RANGE window cannot.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from watchfold import settings as cfg
 from watchfold.functions import scalars as sc
-from watchfold.operators.running import ENTITY, ORDER
-from watchfold.operators.slicing import Slices, fit_slices, running_sums
+from watchfold.operators.running import ENTITY
+from watchfold.operators.slicing import fit_slices, running_sums
 
 DAY = 86_400_000_000
-_SPAN = "_span"
-_SEEN = "_seen"
+_ORDER = ["_at", "_kind", "event_id", "_sub"]
+_PROBE, _EVENT, _EXPIRY = 0, 1, 2
+
 
+def _placed(df: DataFrame, at: Column, kind: int, sub: int = 1, **values: Column) -> DataFrame:
+    return df.select(
+        ENTITY, "event_id", at.alias("_at"), F.lit(kind).alias("_kind"), F.lit(sub).alias("_sub"),
+        *[x.cast("double").alias(n) for n, x in values.items()],
+    )
 
-def _in_spans(df: DataFrame, days: int) -> DataFrame:
-    """Each event in its own span of time, and as a reminder in the next one.
 
-    A look-back of ``days`` never reaches further than one span of that length,
-    so a window partition is one entity in two spans instead of its whole life.
-    """
-    span = F.floor(sc.micros() / F.lit(days * DAY))
-    both = F.array(
-        F.struct(span.alias("span"), F.lit(False).alias("seen")),
-        F.struct((span + 1).alias("span"), F.lit(True).alias("seen")),
+def _summed(rows: DataFrame, names: list[str], rows_per_slice: int) -> DataFrame:
+    slices = fit_slices(rows, [ENTITY], F.col("_at"), rows_per_slice)
+    return running_sums(rows, [ENTITY], _ORDER, {f"_r_{n}": F.col(n) for n in names}, slices)
+
+
+def rolling_rates(df: DataFrame, days: int, rows_per_slice: int = cfg.ROWS_PER_SLICE) -> DataFrame:
+    """Logins and the shares of failures, new devices and new places in the last days."""
+    flags = {
+        "n": F.lit(1),
+        "failed": sc.is_failed(),
+        "device": F.col("new_device").cast("int"),
+        "place": F.col("new_location").cast("int"),
+    }
+    nothing = {n: F.lit(0) for n in flags}
+    rows = _placed(df, sc.micros(), _EVENT, **flags).unionByName(
+        _placed(df, sc.micros() - F.lit(days * DAY), _PROBE, **nothing)
     )
-    return df.select("*", F.explode(both).alias("_s")).select(
-        *df.columns, F.col("_s.span").alias(_SPAN), F.col("_s.seen").alias(_SEEN)
+    summed = _summed(rows, list(flags), rows_per_slice)
+    sign = F.when(F.col("_kind") == _EVENT, 1).otherwise(-1)
+    inside = summed.groupBy("event_id").agg(*[F.sum(sign * F.col(f"_r_{n}")).alias(n) for n in flags])
+    return inside.select(
+        "event_id",
+        F.col("n").cast("long").alias(f"login_frequency_{days}d"),
+        (F.col("failed") / F.col("n")).alias(f"failed_login_ratio_{days}d"),
+        (F.col("device") / F.col("n")).alias(f"new_device_rate_{days}d"),
+        (F.col("place") / F.col("n")).alias(f"new_location_rate_{days}d"),
     )
 
 
-def rolling_counts(df: DataFrame, days: int) -> DataFrame:
-    """Logins, failure share and novelty shares of the last ``days``, inclusive.
+def _numbered(df: DataFrame, column: str, rows_per_slice: int) -> DataFrame:
+    """Each event's place among the entity's events with the same value."""
+    rows = df.where(F.col(column).isNotNull()).select(ENTITY, "event_id", column, sc.micros().alias("_at"))
+    slices = fit_slices(rows, [ENTITY, column], F.col("_at"), rows_per_slice)
+    return running_sums(rows, [ENTITY, column], ["_at", "event_id"], {"_k": F.lit(1)}, slices)
 
-    Differences of running sums: the sums at the event minus the sums at the last
-    event that is too old.  Both are running windows over one order, so a hot
-    entity may be cut into slices like any other running feature.
-    """
-    return _rolling(df, days)
 
+def rolling_distinct(
+    df: DataFrame, column: str, name: str, days: int, rows_per_slice: int = cfg.ROWS_PER_SLICE
+) -> DataFrame:
+    """Distinct values in the last days.
 
-def _rolling(df: DataFrame, days: int) -> DataFrame:
-    w = (
-        Window.partitionBy(ENTITY, _SPAN)
-        .orderBy(sc.micros())
-        .rangeBetween(-days * DAY, 0)
+    An event counts from its time until the value occurs again or the window has
+    passed, whichever is first: one +1 and one -1 per event, then a running sum.
+    """
+    this = _numbered(df, column, rows_per_slice)
+    following = this.select(
+        ENTITY, column, (F.col("_k") - 1).alias("_k"), F.col("_at").alias("_next"), F.col("event_id").alias("_next_id")
     )
-    share = lambda flag: F.avg(flag).over(w)
-    cols: dict[str, Column] = {
-        f"login_frequency_{days}d": F.count(F.lit(1)).over(w),
-        f"failed_login_ratio_{days}d": share(sc.is_failed()),
-        f"new_device_rate_{days}d": share(F.col("new_device").cast("int")),
-        f"new_location_rate_{days}d": share(F.col("new_location").cast("int")),
-    }
-    spread = _in_spans(df, days).withColumns(cols)
-    return spread.where(~F.col(_SEEN)).select(*df.columns, *cols)
+    pairs = this.join(following, [ENTITY, column, "_k"], "left")  # unique keys
+    again = F.coalesce(F.col("_next") - F.col("_at") <= days * DAY, F.lit(False))
+    ends = pairs.select(
+        ENTITY,
+        F.when(again, F.col("_next_id")).otherwise(F.col("event_id")).alias("event_id"),
+        F.when(again, F.col("_next")).otherwise(F.col("_at") + days * DAY).alias("_at"),
+        F.when(again, _EVENT).otherwise(_EXPIRY).alias("_kind"),
+        F.lit(0).alias("_sub"),
+        F.lit(-1.0).alias("n"),
+    )
+    counted = F.col(column).isNotNull().cast("int")
+    rows = _placed(df, sc.micros(), _EVENT, n=counted).unionByName(ends)
+    summed = _summed(rows, ["n"], rows_per_slice)
+    own = (F.col("_kind") == _EVENT) & (F.col("_sub") == 1)
+    return summed.where(own).select("event_id", F.col("_r_n").cast("long").alias(name))
+
+
+def expanding_entropy(df: DataFrame, rows_per_slice: int = cfg.ROWS_PER_SLICE) -> DataFrame:
+    """Entropy of the resources used so far, without knowledge of the future.
+
+    The k-th use of a resource adds k*log2(k) - (k-1)*log2(k-1) to sum(n*log2 n).
+    """
+    used = _numbered(df, "resource_accessed", rows_per_slice)
+    k = F.col("_k").cast("double")
+    gain = k * F.log2(k) - F.when(k > 1, (k - 1) * F.log2(k - 1)).otherwise(0.0)
+    rows = used.select(ENTITY, "event_id", "_at", F.lit(_EVENT).alias("_kind"), F.lit(1).alias("_sub"),
+                       gain.alias("gain"), F.lit(1.0).alias("n"))
+    summed = _summed(rows, ["gain", "n"], rows_per_slice)
+    entropy = F.log2("_r_n") - F.col("_r_gain") / F.col("_r_n")
+    return summed.select("event_id", F.greatest(entropy, F.lit(0.0)).alias("resource_access_entropy_to_date"))

@@ -9,6 +9,7 @@ from watchfold.plans import (  # noqa: F401
     q_profiles,
     q_quality,
     q_risk,
+    q_rolling,
     q_sources,
     q_stream,
 )

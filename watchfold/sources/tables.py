@@ -39,11 +39,11 @@ def clustered(df: DataFrame) -> DataFrame:
     """Lay events out by entity and time, in evenly sized parts.
 
     The parts are ranges over (entity, time, id) found by sampling, so a hot entity
-    spreads over many of them; look-ups of an entity skip the other files.
+    spreads over many of them; look-ups of an entity skip the other files.  Their
+    number is left to adaptive execution.
     """
     keys = ["entity_id", "event_ts", "event_id"]
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
 def write_events_by_day(df: DataFrame, path: str) -> str:
