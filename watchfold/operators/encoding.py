@@ -116,9 +116,8 @@ def scaled(column: str, mean: float, std: float) -> Column:
     return (F.col(column).cast("double") - F.lit(mean)) / F.lit(std if std else 1.0)
 
 
-def apply_encoder(df: DataFrame, encoder: Encoder) -> DataFrame:
-    """The model matrix: event_id, numeric features, targets. One projection."""
-    ready = prepare(df)
+def _matrix_columns(ready: DataFrame, encoder: Encoder) -> dict[str, Column]:
+    """Feature name -> expression over a prepared table."""
     cats, scales = encoder.categories(), encoder.scales()
     out: dict[str, Column] = {}
     known = set(ready.columns)
@@ -135,9 +134,27 @@ def apply_encoder(df: DataFrame, encoder: Encoder) -> DataFrame:
     for c in cfg.ONEHOT_COLUMNS:
         if c in known:
             out |= dummies(c, cats.get(c, []))
+    return {n: x.cast("double") for n, x in out.items()}
+
+
+def apply_encoder(df: DataFrame, encoder: Encoder) -> DataFrame:
+    """The model matrix: event_id, numeric features, targets. One projection."""
+    ready = prepare(df)
     keys = [c for c in ("event_id", "entity_id") if c in df.columns]
     targets = [c for c in TARGETS if c in df.columns]
-    return ready.select(*keys, *[x.cast("double").alias(n) for n, x in out.items()], *targets)
+    features = [x.alias(n) for n, x in _matrix_columns(ready, encoder).items()]
+    return ready.select(*keys, *features, *targets)
+
+
+def encode_beside(df: DataFrame, encoder: Encoder, names: list[str], column: str = "features") -> DataFrame:
+    """The rows as they are plus their features as one array, in the order of ``names``.
+
+    Models then run on the same rows, so nothing has to be joined back by key.
+    """
+    ready = prepare(df.withColumn("_row", F.struct(*df.columns)))
+    known = _matrix_columns(ready, encoder)
+    features = F.array(*[known.get(n, F.lit(0.0)) for n in names])
+    return ready.select("_row.*", features.alias(column))
 
 
 def feature_names(matrix: DataFrame) -> list[str]:

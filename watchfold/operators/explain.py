@@ -127,11 +127,14 @@ def shapley(x: np.ndarray, classes: np.ndarray, leaves: list[Leaf]) -> np.ndarra
     return out
 
 
-def attribute(vectors: DataFrame, classifier: Classifier, attack_col: str = "attack") -> DataFrame:
+def attribute(
+    vectors: DataFrame, classifier: Classifier, attack_col: str = "attack", only: Column | None = None
+) -> DataFrame:
     """Add ``shap``, one value per feature, for every row's attack class.
 
-    Rows without a known class are explained for the first class.  A narrow map;
-    the leaf table is bounded by the model and broadcast.
+    Rows without a known class are explained for the first class, rows outside
+    ``only`` get zeros.  A narrow map; the leaf table is bounded by the model and
+    broadcast.
     """
     spark = vectors.sparkSession
     leaves, _ = leaves_of(tree_nodes(classifier, spark), len(classifier.classes))
@@ -141,13 +144,17 @@ def attribute(vectors: DataFrame, classifier: Classifier, attack_col: str = "att
     @F.arrow_udf("array<double>")
     def explain(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for features, classes in batches:
-            x = matrix_of(features, width)
-            values = shapley(x, classes.to_numpy(zero_copy_only=False), shared.value)
+            x, wanted = matrix_of(features, width), classes.fill_null(-1).to_numpy(zero_copy_only=False)
+            rows = np.flatnonzero(wanted >= 0)
+            values = np.zeros(x.shape)
+            values[rows] = shapley(x[rows], wanted[rows], shared.value)
             offsets = pa.array(np.arange(0, (len(x) + 1) * width, width, dtype=np.int32))
             yield pa.ListArray.from_arrays(offsets, pa.array(values.ravel()))
 
     names = F.array(*[F.lit(c) for c in classifier.classes])
     code = F.greatest(F.array_position(names, F.coalesce(F.col(attack_col), F.lit(""))) - 1, F.lit(0))
+    if only is not None:
+        code = F.when(only, code)
     return vectors.withColumn("shap", explain("features", code.cast("int")))
 
 

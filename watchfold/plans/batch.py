@@ -85,15 +85,15 @@ def run_batch(
     names = encoding.feature_names(matrix)
     vectors = encoding.with_vector(matrix, names)
     trained = forest.fit_forest(vectors, names, trees=trees)
-    isolated = keep(forest.isolation(vectors, trained), "isolated")
+    # From here on every step is a narrow map over the profiled rows.
+    encoded = encoding.encode_beside(profiled, encoder, names)
+    isolated = keep(forest.isolation(encoded, trained), "isolated")
     trained = forest.calibrate(trained, isolated, rows_per_slice=rows_per_slice)
     attacks = keep(cl.training_rows(vectors), "attacks")
     classifier = cl.train_model(attacks, names, model, effort)
     fitted = Fitted(context, profs, encoder, trained, classifier)
-    decided = cl.classify_flagged(forest.score_forest(isolated, trained), classifier)
-    scores = decided.select("event_id", "prediction", "anomaly_score", "attack")
-    scored = profiled.join(scores, "event_id")
-    scored = respond.recommend(risk.score_risk(scored, attack_col=attack_col), attack_col=attack_col)
+    decided = cl.classify_flagged(forest.score_forest(isolated, trained), classifier).drop("features", "isolation")
+    scored = respond.recommend(risk.score_risk(decided, attack_col=attack_col), attack_col=attack_col)
     scored = keep(scored.withColumn("is_anomaly", (F.col("prediction") == -1).cast("int")), "scored")
     early, _ = drift.split_by_time(scored)
     reference = keep(drift.fit_reference(early), "drift-reference")
