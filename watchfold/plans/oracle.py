@@ -1,4 +1,4 @@
-"""SQL building blocks of the reference queries (any engine, checked in DuckDB)."""
+"""SQL building blocks of the twins of the registered queries.
 
 from __future__ import annotations
 
