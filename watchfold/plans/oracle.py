@@ -1,4 +1,4 @@
-"""SQL building blocks of the twins of the registered queries.
+"""SQL building blocks of the twins of the registered queries (checked in DuckDB)."""
 
 from __future__ import annotations
 
