@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchfold.llm import secrets, simhash
+from watchfold.llm import mixing, secrets, simhash
 from watchfold.llm.common import table
 from watchfold.session import ship_code
 
@@ -29,6 +29,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_mix_sources", mixing.SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 @query("op6_secret_scan")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document."""
