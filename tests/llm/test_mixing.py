@@ -1,5 +1,7 @@
 import collections
 
+from pyspark.sql import functions as F
+
 from tests.conftest import SMALL
 from tests.llm import brute
 from watchfold.llm import mixing
@@ -79,7 +81,7 @@ def test_full_sources(spark):
 
 
 def test_mixed_rows(spark):
-    docs = table(spark, SMALL, "documents").withColumnRenamed("lang", "rows").withColumn("size", table(spark, SMALL, "documents")["doc_id"])
+    docs = table(spark, SMALL, "documents").withColumnRenamed("lang", "rows").withColumn("size", F.col("doc_id"))
     want = {r.doc_id: r.copies for r in mixing.mix(docs).collect() if r.copies}
     out = mixing.mixed_rows(docs)
     assert out.columns == docs.columns

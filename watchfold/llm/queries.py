@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchfold.llm import mixing, secrets, simhash
+from watchfold.llm import bpe, mixing, secrets, simhash
 from watchfold.llm.common import table
 from watchfold.session import ship_code
 
@@ -35,6 +35,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@query("op2_byte_bpe")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's tokens and of what they decode to."""
+    return bpe.digests(table(spark, sf_dir, "documents"))
+
+
 @query("op6_secret_scan")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document."""
