@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchfold.llm import bpe, language, mixing, secrets, simhash
+from watchfold.llm import bpe, language, mixing, quality, secrets, simhash
 from watchfold.llm.common import table
 from watchfold.session import ship_code
 
@@ -53,6 +53,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+@query("op7_quality_rules")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 @query("op9_simhash_near_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
