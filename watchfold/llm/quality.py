@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from watchfold.llm.common import WORD, col
 
 LEAST_REPEAT = 8  # words in a repeat that counts
-MOST_COVERED = 0.3  # share of the words that repeats may cover
+MOST_COVERED = 0.45  # share of the words that repeats may cover
 MOST_REPEAT = 100  # words in the longest repeat
 LEAST_WORDS = 50
 MOST_REPEATED_WINDOWS = 50  # percent of words in repeated windows of three
