@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchfold.llm import bpe, language, mixing, quality, secrets, simhash
+from watchfold.llm import bpe, language, mixing, pages, quality, secrets, simhash
 from watchfold.llm.common import table
 from watchfold.session import ship_code
 
@@ -63,3 +63,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
+@query("op10_html_text")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return pages.extract(table(spark, sf_dir, "pages"))
