@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchfold.llm import bpe, language, mixing, pages, quality, secrets, simhash
+from watchfold.llm import bpe, embeddings, language, mixing, pages, quality, secrets, simhash
 from watchfold.llm.common import table
 from watchfold.session import ship_code
 
@@ -41,6 +41,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+@query("op3_embedding_near_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query("op4_language_id")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
