@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchfold.llm import bpe, embeddings, language, mixing, pages, quality, secrets, simhash
+from watchfold.llm import bpe, chats, embeddings, language, mixing, pages, quality, secrets, simhash
 from watchfold.llm.common import table
 from watchfold.session import ship_code
 
@@ -53,6 +53,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+@query("op5_chat_format", chats.SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every maximal conversation, rendered."""
+    return chats.format_chats(table(spark, sf_dir, "conversations"))
+
+
 @query("op6_secret_scan")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document."""
