@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchfold.llm import bpe, chats, embeddings, language, mixing, pages, quality, secrets, simhash
+from watchfold.llm import bpe, chats, embeddings, language, mixing, pages, passages, quality, secrets, simhash
 from watchfold.llm.common import table
 from watchfold.session import ship_code
 
@@ -71,6 +71,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+@query("op8_repeated_passages")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages that documents share."""
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @query("op9_simhash_near_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
