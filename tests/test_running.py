@@ -4,8 +4,9 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from watchfold.operators import drift, enrich, groups, running
+from watchfold.operators import drift, enrich, groups, rolling, running
 from watchfold.operators.slicing import fit_slices, quantiles, running_sums
 
 
@@ -117,3 +118,31 @@ def test_running_features_shuffle_once(log):
 def test_entity_order_split(log):
     out = drift.split_by_entity_order(log).toPandas().sort_values(["entity_id", "event_ts", "event_id"])
     assert list(out["is_reference"]) == [True] * 700 + [False] * 300
+
+
+def test_slices_of_any_shape(spark):
+    """Halving values, one single value and a hot group of them: no slice holds over twice the limit."""
+    rows = [("half", 0.5**i, i) for i in range(1000)] + [("same", 1.0, i) for i in range(1000)]
+    rows += [("two", float(i % 2), i) for i in range(700)] + [("few", 3.0, 1)]
+    df = spark.createDataFrame(rows, "k string, v double, id long")
+    slices = fit_slices(df, ["k"], F.col("v"), 50, tie=F.col("id"))
+    cut = slices.assign(df)
+    assert cut.groupBy("k", "_slice").count().agg({"count": "max"}).first()[0] <= 100
+    order = Window.partitionBy("k").orderBy("v", "id")
+    got = running_sums(df, ["k"], ["v", "id"], {"s": F.col("id")}, slices)
+    want = df.withColumn("s", F.sum("id").over(order))
+    assert got.select("k", "id", "s").exceptAll(want.select("k", "id", "s")).isEmpty() and got.count() == len(rows)
+
+
+def test_look_back_counts_equal_times(events):
+    import datetime as dt
+
+    at = dt.datetime(2024, 1, 1)
+    df = events([{"event_ts": at, "resource_accessed": x} for x in "aab"] + [{"event_ts": at + dt.timedelta(days=7), "resource_accessed": "c"}])
+    for limit in (10**6, 2):
+        rates = {r["event_id"]: r["login_frequency_7d"] for r in rolling.rolling_rates(df, 7, limit).collect()}
+        assert rates == {0: 3, 1: 3, 2: 3, 3: 4}
+        distinct = {r["event_id"]: r["n"] for r in rolling.rolling_distinct(df, "resource_accessed", "n", 7, limit).collect()}
+        assert distinct == {0: 2, 1: 2, 2: 2, 3: 3}
+        entropy = rolling.expanding_entropy(df, limit).orderBy("event_id").collect()
+        assert [r[1] for r in entropy] == pytest.approx([0.9182958340544896] * 3 + [1.5])

@@ -53,7 +53,7 @@ def stratified_folds(
 ) -> DataFrame:
     """Deal the rows of each class to the folds in a shuffled, repeatable order."""
     mixed = rows.withColumn("_mix", (F.col("event_id") * 7919 + F.lit(seed)) % 10007)
-    slices = fit_slices(mixed, [column], F.col("_mix"), rows_per_slice)
+    slices = fit_slices(mixed, [column], F.col("_mix"), rows_per_slice, tie=F.col("event_id"))
     nth = running_sums(mixed, [column], ["_mix", "event_id"], {"_nth": F.lit(1)}, slices)
     return nth.withColumn("fold", ((F.col("_nth") - 1) % folds).cast("int")).drop("_mix", "_nth")
 

@@ -50,7 +50,7 @@ def split_by_entity_order(
     Rank = events of smaller entities + own running number, so no global sort and
     no window over all rows is needed.
     """
-    slices = fit_slices(df, ["entity_id"], sc.micros(), rows_per_slice)
+    slices = fit_slices(df, ["entity_id"], sc.micros(), rows_per_slice, tie=F.col("event_id"))
     numbered = running_sums(df, ["entity_id"], ORDER, {"_nth": F.lit(1).cast("long")}, slices)
     sizes = df.groupBy("entity_id").agg(F.count(F.lit(1)).alias("_size"))
     before = keep(_rows_before(sizes), "rows-before")
@@ -97,13 +97,16 @@ def detect_drift(
     current: DataFrame,
     threshold: float = cfg.DRIFT_P_VALUE,
     rows_per_slice: int = cfg.ROWS_PER_SLICE,
+    features: list[str] | None = None,
 ) -> DataFrame:
     """KS statistic, p-value, flag and both means per feature.
 
     ``reference`` comes from ``fit_reference``; features present on one side only
     are left out.  Both sides are counted per distinct value before they meet.
     """
-    now = fit_reference(current, [r["feature"] for r in reference.select("feature").distinct().collect()])
+    # Names come from the columns: features of one side only fall out below.
+    numeric = [c for c, kind in current.dtypes if kind.startswith(("double", "float", "int", "bigint", "decimal"))]
+    now = fit_reference(current, features or [c for c in cfg.DRIFT_FEATURES if c in current.columns] or numeric)
     ref_side = reference.select("feature", "value", F.col("n").alias("a"), F.lit(0).cast("long").alias("b"), "total")
     now_side = now.select("feature", "value", F.lit(0).cast("long").alias("a"), F.col("n").alias("b"), F.lit(0.0).alias("total"))
     both = keep(

@@ -253,7 +253,7 @@ def global_summary(classifier: Classifier, vectors: DataFrame, k: int = cfg.TOP_
     spark = vectors.sparkSession
     table = {r["feature"]: r["importance"] for r in importances(classifier, spark).collect()}
     best = sorted(table.items(), key=lambda item: (-item[1], item[0]))[:k]
-    size = vectors.limit(1000).count()
+    size = vectors.count()
     rows = [(i + 1, f, float(v), size) for i, (f, v) in enumerate(best)]
     out = spark.createDataFrame(rows, "rank int, feature string, importance double, sample_size int")
     return out.withColumns(

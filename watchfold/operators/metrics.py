@@ -9,7 +9,6 @@ from watchfold import settings as cfg
 from watchfold.operators.slicing import fit_slices, running_sums
 from watchfold.session import keep
 
-_TAKE_BOUND = 100_000
 
 
 def ratio(top: Column, bottom: Column) -> Column:
@@ -60,22 +59,18 @@ def top_share_recall(
     truth: Column,
     score: str,
     share: float = cfg.ALERT_BUDGET,
-    take_bound: int = _TAKE_BOUND,
     rows_per_slice: int = cfg.ROWS_PER_SLICE,
 ) -> DataFrame:
     """Share of the true anomalies among the top ``share`` of the scores.
 
-    Ties go to the smaller event_id.  A small budget is a top-k; a large one is
-    cut at the score where the running count reaches the budget.
+    Ties go to the smaller event_id.  The scores are cut where the running count
+    reaches the budget.
     """
     rows, positives = df.agg(F.count(F.lit(1)), F.count_if(truth)).first()
     budget = int(share * rows)
     marked = df.select("event_id", F.col(score).cast("double").alias("_score"), truth.alias("_true"))
     if budget == 0 or positives == 0:
         found = df.sparkSession.range(1).select(F.lit(0).cast("long").alias("found"))
-    elif budget <= take_bound:
-        top = marked.orderBy(F.desc("_score"), "event_id").limit(budget)
-        found = top.agg(F.count_if("_true").alias("found"))
     else:
         found = _found_in_budget(marked, budget, rows_per_slice)
     return found.select(

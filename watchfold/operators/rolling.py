@@ -1,7 +1,8 @@
 """Look-back features of each entity: the last days, and entropy up to each event.
 
-A sliding window is the difference of two running sums: up to the event, and up
-to a probe placed where the window begins.  Running sums can be sliced, so a hot
+A sliding window is the difference of two running sums, at a probe behind the events
+of the same time and at one placed where the window begins: events of one time count
+each other.  Running sums can be sliced, so a hot
 entity spreads over many tasks, which a RANGE window cannot.
 """
 
@@ -17,7 +18,7 @@ from watchfold.operators.slicing import fit_slices, running_sums
 
 DAY = 86_400_000_000
 _ORDER = ["_at", "_kind", "event_id", "_sub"]
-_PROBE, _EVENT, _EXPIRY = 0, 1, 2
+_PROBE, _EVENT, _READ, _EXPIRY = 0, 1, 2, 3
 
 
 def _placed(df: DataFrame, at: Column, kind: int, sub: int = 1, **values: Column) -> DataFrame:
@@ -28,7 +29,7 @@ def _placed(df: DataFrame, at: Column, kind: int, sub: int = 1, **values: Column
 
 
 def _summed(rows: DataFrame, names: list[str], rows_per_slice: int) -> DataFrame:
-    slices = fit_slices(rows, [ENTITY], F.col("_at"), rows_per_slice)
+    slices = fit_slices(rows, [ENTITY], F.col("_at") * 4 + F.col("_kind"), rows_per_slice, tie=F.col("event_id"))
     return running_sums(rows, [ENTITY], _ORDER, {f"_r_{n}": F.col(n) for n in names}, slices)
 
 
@@ -43,9 +44,9 @@ def rolling_rates(df: DataFrame, days: int, rows_per_slice: int = cfg.ROWS_PER_S
     nothing = {n: F.lit(0) for n in flags}
     rows = _placed(df, sc.micros(), _EVENT, **flags).unionByName(
         _placed(df, sc.micros() - F.lit(days * DAY), _PROBE, **nothing)
-    )
-    summed = _summed(rows, list(flags), rows_per_slice)
-    sign = F.when(F.col("_kind") == _EVENT, 1).otherwise(-1)
+    ).unionByName(_placed(df, sc.micros(), _READ, **nothing))
+    summed = _summed(rows, list(flags), rows_per_slice).where(F.col("_kind") != _EVENT)
+    sign = F.when(F.col("_kind") == _READ, 1).otherwise(-1)
     inside = summed.groupBy("event_id").agg(*[F.sum(sign * F.col(f"_r_{n}")).alias(n) for n in flags])
     return inside.select(
         "event_id",
@@ -59,7 +60,7 @@ def rolling_rates(df: DataFrame, days: int, rows_per_slice: int = cfg.ROWS_PER_S
 def _numbered(df: DataFrame, column: str, rows_per_slice: int) -> DataFrame:
     """Each event's place among the entity's events with the same value."""
     rows = df.where(F.col(column).isNotNull()).select(ENTITY, "event_id", column, sc.micros().alias("_at"))
-    slices = fit_slices(rows, [ENTITY, column], F.col("_at"), rows_per_slice)
+    slices = fit_slices(rows, [ENTITY, column], F.col("_at"), rows_per_slice, tie=F.col("event_id"))
     return running_sums(rows, [ENTITY, column], ["_at", "event_id"], {"_k": F.lit(1)}, slices)
 
 
@@ -87,9 +88,9 @@ def rolling_distinct(
     )
     counted = F.col(column).isNotNull().cast("int")
     rows = _placed(df, sc.micros(), _EVENT, n=counted).unionByName(ends)
+    rows = rows.unionByName(_placed(df, sc.micros(), _READ, n=F.lit(0)))
     summed = _summed(rows, ["n"], rows_per_slice)
-    own = (F.col("_kind") == _EVENT) & (F.col("_sub") == 1)
-    return summed.where(own).select("event_id", F.col("_r_n").cast("long").alias(name))
+    return summed.where(F.col("_kind") == _READ).select("event_id", F.col("_r_n").cast("long").alias(name))
 
 
 def expanding_entropy(df: DataFrame, rows_per_slice: int = cfg.ROWS_PER_SLICE) -> DataFrame:
@@ -102,6 +103,8 @@ def expanding_entropy(df: DataFrame, rows_per_slice: int = cfg.ROWS_PER_SLICE) -
     gain = k * F.log2(k) - F.when(k > 1, (k - 1) * F.log2(k - 1)).otherwise(0.0)
     rows = used.select(ENTITY, "event_id", "_at", F.lit(_EVENT).alias("_kind"), F.lit(1).alias("_sub"),
                        gain.alias("gain"), F.lit(1.0).alias("n"))
-    summed = _summed(rows, ["gain", "n"], rows_per_slice)
+    read = used.select(ENTITY, "event_id", "_at", F.lit(_READ).alias("_kind"), F.lit(1).alias("_sub"),
+                       F.lit(0.0).alias("gain"), F.lit(0.0).alias("n"))
+    summed = _summed(rows.unionByName(read), ["gain", "n"], rows_per_slice).where(F.col("_kind") == _READ)
     entropy = F.log2("_r_n") - F.col("_r_gain") / F.col("_r_n")
     return summed.select("event_id", F.greatest(entropy, F.lit(0.0)).alias("resource_access_entropy_to_date"))

@@ -29,7 +29,7 @@ RATES = {
 def fit_entity_slices(
     df: DataFrame, rows_per_slice: int = cfg.ROWS_PER_SLICE, at_most: int | None = None
 ) -> Slices | None:
-    return fit_slices(df, [ENTITY], sc.micros(), rows_per_slice, at_most)
+    return fit_slices(df, [ENTITY], sc.micros(), rows_per_slice, at_most, F.col("event_id"))
 
 
 def running_features(
@@ -99,8 +99,7 @@ def _with_state(df: DataFrame, slices: Slices | None) -> DataFrame:
     cut = slices.assign(df)
     local = _local_state(cut, [ENTITY, SLICE])
     before = keep(_state_before(_local_state(slices.only_large(cut), [ENTITY, SLICE]), df), "running")
-    # One row per slice of a hot entity: at most rows / rows_per_slice.
-    both = null_safe_join(local, F.broadcast(before), [ENTITY, SLICE])
+    both = null_safe_join(local, before, [ENTITY, SLICE])
     return _merge(both, df).drop(SLICE)
 
 

@@ -2,9 +2,10 @@
 
 A window partitioned by a hot key would run in one task.  Here a group with too
 many rows is cut into slices along its order, each slice is processed in its own
-window partition, and the totals of the earlier slices (a table with one row per
-slice, so at most rows / rows_per_slice entries) are added back.  The results are
-exact and equal to the single-window form, which is used where no group is large.
+window partition, and the totals of the earlier slices (one row per slice) are
+added back.  Cuts are quantiles of the slice's own rows, so no shape of the values
+keeps a slice large, and rows of one value are cut by a tie column.  The results
+are exact and equal to the single-window form, which is used where no group is large.
 """
 
 from __future__ import annotations
@@ -18,8 +19,7 @@ from watchfold import settings as cfg
 from watchfold.session import keep
 
 SLICE = "_slice"
-_FANOUT = 1 << 20
-_MAX_LEVELS = 3
+_FANOUT = 64  # slices made of one in a round
 
 
 @dataclass(frozen=True)
@@ -28,19 +28,20 @@ class Slices:
 
     keys: tuple[str, ...]
     order: Column
+    tie: Column
     levels: tuple[DataFrame, ...]
 
     def assign(self, df: DataFrame) -> DataFrame:
         """Add the slice number, which grows with the order inside a group."""
         df = df.withColumn(SLICE, F.lit(0).cast("long"))
         for level in self.levels:
-            df = _refine(df, level, self.keys, self.order)
+            df = _refine(df, level, self.keys, self.order, self.tie)
         return df
 
     def only_large(self, df: DataFrame) -> DataFrame:
         """The rows of the groups that were cut at all."""
         large = self.levels[0].select(*self.keys).distinct()
-        return null_safe_join(df, F.broadcast(large), self.keys, "left_semi")
+        return null_safe_join(df, large, self.keys, "left_semi")
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "left") -> DataFrame:
@@ -52,13 +53,12 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "left") -
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _refine(df: DataFrame, level: DataFrame, keys, order: Column) -> DataFrame:
-    # `level` has one row per slice of more than rows_per_slice rows: bounded.
-    cut = null_safe_join(df, F.broadcast(level), [*keys, SLICE])
-    part = F.floor((order - F.col("_lo")) / F.col("_width"))
-    part = F.greatest(F.lit(0), F.least(part, F.col("_parts") - 1))
-    number = F.col(SLICE) * F.lit(_FANOUT) + F.coalesce(part, F.lit(0))
-    return cut.withColumn(SLICE, number.cast("long")).drop("_lo", "_width", "_parts")
+def _refine(df: DataFrame, level: DataFrame, keys, order: Column, tie: Column) -> DataFrame:
+    cut = null_safe_join(df, level, [*keys, SLICE])
+    at = F.when(F.col("_by_tie"), tie.cast("double")).otherwise(order.cast("double"))
+    part = F.size(F.filter("_cuts", lambda c: c < at))
+    number = F.col(SLICE) * F.lit(_FANOUT) + F.when(F.col("_cuts").isNull(), 0).otherwise(part)
+    return cut.withColumn(SLICE, number.cast("long")).drop("_cuts", "_by_tie")
 
 
 def largest_group(df: DataFrame, keys: list[str]) -> int:
@@ -75,39 +75,40 @@ def fit_slices(
     order: Column,
     rows_per_slice: int = cfg.ROWS_PER_SLICE,
     at_most: int | None = None,
+    tie: Column | None = None,
 ) -> Slices | None:
-    """Cut every group above ``rows_per_slice`` evenly along ``order``.
+    """Cut every group above ``rows_per_slice`` evenly along ``order``, then ``tie``.
 
-    Slices that are still too large (bursts) are cut again.  Returns None when no
-    group needs it.  Each round is one aggregate over (keys, order) only.
-    ``at_most`` is a known bound on the rows of the largest group, if any.
+    Each round cuts every slice that is still too large into up to ``_FANOUT`` at its
+    quantiles, until none is; slices of a single value of ``order`` are cut by
+    ``tie``.  Only rows equal in both stay together.  Returns None when no group
+    needs it.  ``at_most`` is a known bound on the rows of the largest group, if any.
     """
     if (largest_group(df, keys) if at_most is None else at_most) <= rows_per_slice:
         return None
-    slim = df.select(*keys, order.alias("_order")).withColumn(SLICE, F.lit(0).cast("long"))
+    tie = F.lit(0) if tie is None else tie
+    slim = df.select(*keys, order.cast("double").alias("_order"), tie.cast("double").alias("_tie"))
+    slim = slim.withColumn(SLICE, F.lit(0).cast("long"))
     levels: list[DataFrame] = []
-    for _ in range(_MAX_LEVELS):
+    cuts = [i / _FANOUT for i in range(1, _FANOUT)]
+    while len(levels) < 10:  # 64^10 slices
+        spread = [F.max(c) > F.min(c) for c in ("_order", "_tie")]
         sizes = slim.groupBy(*keys, SLICE).agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.min("_order").alias("_lo"),
-            F.max("_order").alias("_hi"),
-        )
-        parts = F.least(F.ceil(F.col("_n") / F.lit(rows_per_slice)) * 2, F.lit(_FANOUT))
-        level = keep(
-            sizes.where((F.col("_n") > rows_per_slice) & (F.col("_hi") > F.col("_lo"))).select(
-                *keys,
-                SLICE,
-                "_lo",
-                ((F.col("_hi") - F.col("_lo")) / parts).alias("_width"),
-                parts.cast("long").alias("_parts"),
-            ),
-            "slices",
+            F.count(F.lit(1)).alias("_n"), (~spread[0]).alias("_by_tie"), (spread[0] | spread[1]).alias("_open")
         )
-        if level.isEmpty():
+        large = keep(sizes.where((F.col("_n") > rows_per_slice) & F.col("_open")).select(*keys, SLICE, "_by_tie"), "large-slices")
+        if large.isEmpty():
             break
+        rows = null_safe_join(slim, large.withColumn("_large", F.lit(True)), [*keys, SLICE]).where("_large")
+        at = F.when(F.col("_by_tie"), F.col("_tie")).otherwise(F.col("_order"))
+        found = rows.groupBy(*keys, SLICE, "_by_tie").agg(F.percentile_approx(at, cuts, 2000).alias("_cuts"), F.max(at).alias("_top"))
+        # A cut at the largest value would part nothing; in ascending order, each once.
+        apart = F.filter(F.array_distinct("_cuts"), lambda c: c < F.col("_top"))
+        low = F.array(F.element_at("_cuts", 1))
+        level = keep(found.select(*keys, SLICE, "_by_tie", F.when(F.size(apart) > 0, apart).otherwise(low).alias("_cuts")), "slices")
         levels.append(level)
-        slim = _refine(slim, level, keys, F.col("_order"))
-    return Slices(tuple(keys), order, tuple(levels)) if levels else None
+        slim = _refine(slim, level, keys, F.col("_order"), F.col("_tie"))
+    return Slices(tuple(keys), order, tie, tuple(levels)) if levels else None
 
 
 def running_sums(
@@ -133,7 +134,7 @@ def running_sums(
         totals.select(*keys, SLICE, *[F.sum(f"_t_{n}").over(earlier).alias(f"_o_{n}") for n in sums]),
         "offsets",
     )
-    joined = null_safe_join(local, F.broadcast(offsets), [*keys, SLICE])
+    joined = null_safe_join(local, offsets, [*keys, SLICE])
     zero = F.lit(0)
     return joined.withColumns(
         {n: F.col(n) + F.coalesce(F.col(f"_o_{n}"), zero) for n in sums}

@@ -151,7 +151,7 @@ def h08(spark, sf):
 @query("h08_top_share_recall_split", _TOP)
 def h08_split(spark, sf):
     """The budget cut by running counts instead of a top-k, as when it is large."""
-    out = metrics.top_share_recall(_scores(spark, sf), F.col("truth"), "s", take_bound=0, rows_per_slice=300)
+    out = metrics.top_share_recall(_scores(spark, sf), F.col("truth"), "s", rows_per_slice=300)
     return out.select("budget", "found", r("recall"))
 
 

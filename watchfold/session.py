@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import shutil
 import tempfile
 import uuid
@@ -31,11 +32,14 @@ def local_session(cores: str = "8", app: str = "watchfold") -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, local runs) a temporary folder is
-    created and remembered in the session.
+    Only where a local session names none (tests) a temporary folder is created and
+    remembered in the session; on a cluster that is an error, because machines would
+    write to folders of their own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         named = tempfile.mkdtemp(prefix="watchfold-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
