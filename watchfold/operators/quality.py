@@ -290,7 +290,7 @@ def findings(df: DataFrame, as_of: Column, rows_per_slice: int = cfg.ROWS_PER_SL
         rows(2, "Missing values", miss, F.col("subject"), "missing_pct", F.col("pct"), grade),
         rows(3, "Duplicates", duplicate_rows(df), "table", "duplicates", F.col("duplicates"), F.col("severity")),
         rows(4, "Timestamps", one, "event_ts", "days", F.col("days"), "INFO"),
-        rows(4, "Timestamps", one, "event_ts", "future_events", F.col("future"), warn_if(F.col("future"))),
+        rows(4, "Timestamps", one.where("future > 0"), "event_ts", "future_events", F.col("future"), "INFO"),
         rows(5, "Categories", odd, named, "unexpected", F.col("n"), "WARNING"),
         rows(5, "Categories", spread, F.col("column_name"), "distinct", F.col("count"), "INFO"),
         rows(6, "Ranges", negative, F.col("subject"), "negatives", F.col("n"), warn_if(F.col("n"))),
