@@ -39,6 +39,7 @@ CUT_ANY = 40  # one in so many pairs of words is a cut
 BLOCK = 1024  # paragraphs in a block of a crowded band
 FILTER_BITS = 23
 STEP_WORDS = 200_000
+STEP_KEYS = 2_000_000  # keys packed at once
 KNOWN = 300_000  # words whose hashes a worker remembers
 
 A = np.uint64(0x9E3779B97F4A7C15)
@@ -122,17 +123,45 @@ def chunks(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
         yield step
 
 
-def band_keys(docs: DataFrame) -> DataFrame:
-    """(key, h) of every band of every paragraph of ``text`` (binary)."""
+def packed(keys: np.ndarray, parts: int) -> pd.DataFrame:
+    """Rows (part, once, again): the keys of each range as bytes, those that occur again beside."""
+    key, n = np.unique(keys, return_counts=True)
+    part = ((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    edge = np.searchsorted(part, np.arange(parts + 1))
+    rows = [(i, key[a:b][n[a:b] == 1].tobytes(), key[a:b][n[a:b] > 1].tobytes()) for i, (a, b) in enumerate(zip(edge, edge[1:], strict=False)) if b > a]
+    return pd.DataFrame(rows, columns=["part", "once", "again"])
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = Hashes()
+
+def colliding_keys(docs: DataFrame) -> DataFrame:
+    """Keys of bands that more than one paragraph of ``text`` (binary) has.
+
+    Keys travel as packed arrays, one for each range of keys and ``STEP_KEYS`` keys of a
+    task, in which keys met twice stand once: eight bytes a key, and a crowded one is
+    moved once a step.
+    """
+    parts = partitions(docs.sparkSession)
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, held, n = Hashes(), [], 0
         for batch in batches:
             for step in chunks(batch):
-                h, keys = Cut(list(step["text"]), known).keys()
-                yield pd.DataFrame({"key": keys.ravel(), "h": np.repeat(h, BANDS)})
+                keys = Cut(list(step["text"]), known).keys()[1].ravel().view(np.uint64)
+                held.append(keys)
+                n += len(keys)
+                if n >= STEP_KEYS:
+                    yield packed(np.concatenate(held), parts)
+                    held, n = [], 0
+        if n:
+            yield packed(np.concatenate(held), parts)
+
+    def again(frame: pd.DataFrame) -> pd.DataFrame:
+        once = np.frombuffer(b"".join(frame["once"]), np.uint64)
+        twice = np.unique(np.frombuffer(b"".join(frame["again"]), np.uint64))
+        key, n = np.unique(once, return_counts=True)
+        return pd.DataFrame({"key": np.union1d(key[n > 1], twice).view(np.int64)})
 
-    return docs.select("text").mapInPandas(work, "key long, h long")
+    rows = docs.select("text").mapInPandas(pack, "part long, once binary, again binary")
+    return rows.groupBy("part").applyInPandas(again, "key long")
 
 
 def occurrences(docs: DataFrame, bits: np.ndarray) -> DataFrame:
@@ -252,7 +281,7 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     """
     rows = docs.select(col(doc_id).alias("doc_id"), F.coalesce(col(text), F.lit("")).cast("binary").alias("text"))
     rows = rows.withColumn("doc", F.monotonically_increasing_id())
-    keys = band_keys(rows).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("key")
+    keys = colliding_keys(rows)
     bit = F.col("key").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
     # A row per word of the filter: at most 2^17, whatever the rows.
     cells = keys.groupBy(F.shiftright(bit, 6).alias("cell")).agg(
