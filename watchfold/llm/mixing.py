@@ -168,8 +168,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 def mixed_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The mix itself: rows of ``docs`` as often as they are taken, none where they are not.
 
-    Rows equal in every column are one row with a count, gathered before anything is
-    shuffled; their expected copies are added.
+    Rows equal in every column are drawn as one row with a count, whose expected copies
+    are added. Texts are shuffled once, to meet their copies.
     """
     every = F.struct(*[col(c) for c in docs.columns])
     keys = ["doc_id", "source", "size", "print"]
@@ -180,12 +180,16 @@ def mixed_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sour
         F.sha2(F.to_json(every, {"ignoreNullFields": "false"}), 256).alias("print"),
         every.alias("rest"),
     )
-    rows = keep(rows.groupBy(*keys).agg(F.first("rest").alias("rest"), F.count("*").alias("rows")), "mix-rows")
-    taken = draws(rows.drop("rest")).where(F.col("copies") > 0)
-    taken = taken.select(*[F.col(k).alias(f"k_{k}") for k in keys], "copies")
-    out = rows.join(taken, (F.col("print") == F.col("k_print")) & F.col("size").eqNullSafe(F.col("k_size")))
+    taken = draws(keep(rows.groupBy(*keys).agg(F.count("*").alias("rows")), "mix-rows")).where(F.col("copies") > 0)
+    taken = keep(taken.select(F.col("print").alias("of"), "rows", "copies"), "mix-copies")
+    texts = rows.select("print", "rest")
+    once = texts.join(taken.where("rows = 1"), F.col("print") == F.col("of")).select("rest", "copies")
+    # Of rows that are equal, one is repeated for all; combined before the shuffle.
+    more = texts.join(taken.where("rows > 1"), F.col("print") == F.col("of"))
+    more = more.groupBy("print", "copies").agg(F.first("rest").alias("rest")).select("rest", "copies")
     # A row repeated very often is unfolded in two steps, so that no array is long.
     step = 10_000
+    out = once.union(more)
     out = out.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / step))))
     last = F.least(F.lit(step).cast("long"), F.col("copies") - F.col("block") * step)
     out = out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), last)))
