@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchfold.session import keep, shared_folder
+from watchfold.session import keep, shared_folder, ship_code
 
 #: A word, for every operator: a run of characters that are not ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -18,6 +18,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of whole texts that a Python worker holds at once.
+TEXTS_AT_ONCE = 1000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Ship the code to the workers, and send them whole texts in small Arrow batches."""
+    ship_code(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXTS_AT_ONCE)
+
+
 def own_name(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it (names differ by more than case)."""
     taken = {c.lower() for c in df.columns}

@@ -38,8 +38,8 @@ SWITCHED = 0.25  # share of training sequences that join two languages
 BUCKETS = 1 << 15  # of hashed features
 STEPS = 60
 SEGMENT = 32
-STEP_WORDS = 400_000  # words labelled at once
-KNOWN = 200_000  # words whose scores a worker remembers
+STEP_WORDS = 100_000  # words labelled at once
+KNOWN = 100_000  # words whose scores a worker remembers
 UNKNOWN = "und"
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -104,8 +104,8 @@ class Model:
         if len(self.place) >= KNOWN or not self.table.size:
             self.place, self.table = {}, np.empty((0, len(self.langs)))
         new = list({w for w in words if w not in self.place})
-        for at in range(0, len(new), 8192):
-            some = new[at : at + 8192]
+        for at in range(0, len(new), 2048):
+            some = new[at : at + 2048]
             rows = self.weights[features(some)].sum(axis=1)
             none = np.zeros(len(self.langs))
             rows += self.lexicon_weight * np.array([self.lexicon.get(w.lower(), none) for w in some])

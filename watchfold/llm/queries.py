@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from watchfold.llm import bpe, chats, embeddings, language, mixing, pages, passages, quality, secrets, simhash
-from watchfold.llm.common import table
-from watchfold.session import ship_code
+from watchfold.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -18,7 +17,7 @@ ORACLES: dict[str, str] = {}
 def query(name: str, sql: str | None = None):
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship_code(spark)
+            prepare(spark)
             return fn(spark, sf_dir)
 
         QUERIES[name] = run
