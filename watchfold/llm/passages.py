@@ -165,7 +165,7 @@ def colliding_keys(docs: DataFrame) -> DataFrame:
 
 
 def occurrences(docs: DataFrame, bits: np.ndarray) -> DataFrame:
-    """Paragraphs of which a key is in the filter: (doc_id, doc, at, start, size, h, keys, words)."""
+    """Paragraphs of which a key is in the filter: doc_id, doc, start, size, h, its keys k0, k1 ... and words."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)  # 1 MB, whatever the rows
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -187,13 +187,14 @@ def occurrences(docs: DataFrame, bits: np.ndarray) -> DataFrame:
                         "start": cut.first[hit] - cut.origin[cut.first[hit]],
                         "size": cut.size[hit],
                         "h": h[hit],
-                        "keys": list(keys[hit]),
+                        **{f"k{b}": keys[hit, b] for b in range(BANDS)},
                         "words": [b" ".join(cut.words[cut.first[i] : cut.first[i] + cut.size[i]]) for i in hit],
                     }
                 )
 
     kind = dict(docs.dtypes)["doc_id"]
-    schema = "doc_id string, doc long, start long, size long, h long, keys array<long>, words binary"
+    bands = ", ".join(f"k{b} long" for b in range(BANDS))
+    schema = f"doc_id string, doc long, start long, size long, h long, {bands}, words binary"
     # As a string on the way: pandas has no null among whole numbers.
     out = docs.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(work, schema)
     return out.withColumn("doc_id", F.col("doc_id").cast(kind))
@@ -245,11 +246,18 @@ def similar(frame: pd.DataFrame) -> pd.DataFrame:
 
 def paragraph_links(found: DataFrame) -> DataFrame:
     """Links (a, b) between the contents ``h`` of paragraphs that collide and are similar."""
-    members = found.select(F.explode("keys").alias("key"), "h", "words").groupBy("key", "h").agg(F.first("words").alias("words"))
-    members = keep(members, "band-members")
+    # Each content once, without its words, which only those need that meet another one.
+    keys = [f"k{b}" for b in range(BANDS)]
+    contents = keep(found.groupBy("h").agg(*[F.first(k).alias(k) for k in keys]), "paragraph-contents")
+    members = contents.select(F.explode(F.array(*keys)).alias("key"), "h")
     crowds = members.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1)
     crowds = keep(crowds.select("key", F.ceil(F.col("n") / BLOCK).alias("cut")), "crowded-bands")
-    rows = members.join(crowds, "key").withColumn("own", F.pmod(F.xxhash64("h", F.lit(5)), F.col("cut")))
+    members = keep(members.join(crowds, "key"), "band-members")
+    some = found.select("h", "doc", "words").join(members.select("h").distinct(), "h", "left_semi")
+    # Dealt anew by document, so that a content that many share is combined before it meets in one place.
+    some = some.repartition(partitions(found.sparkSession), "doc")
+    words = keep(some.groupBy("h").agg(F.first("words").alias("words")), "paragraph-words")
+    rows = members.join(words, "h").withColumn("own", F.pmod(F.xxhash64("h", F.lit(5)), F.col("cut")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cut") - 1)))
     rows = rows.select(
         "key",
