@@ -65,3 +65,17 @@ def test_hidden_text(spark):
 
 def test_empty_table(spark):
     assert secrets.find_secrets(brute.documents(spark, [])).count() == 0
+
+
+def test_keys_behind_a_base_span(spark):
+    """The rest of a token whose run of digits is a span of its own is tested too."""
+    rng = random.Random(6)
+    signs = string.ascii_letters + string.digits
+    keys = ["".join(rng.choice(signs) for _ in range(37)) for _ in range(60)]
+    docs = brute.documents(spark, [f"a 1234567890123456789-{k} b" for k in keys] + ["1234567890123456789 and more"])
+    got = {r.doc_id: r for r in secrets.find_secrets(docs).collect()}
+    assert all(got[i].spans.startswith("hex:2:21") for i in range(60)) and got[60].n_random == 0
+    ends = lambda s: {int(x.split(":")[2]) for x in s.split(",") if x.startswith("random")}
+    assert sum(59 in ends(got[i].spans) for i in range(60)) >= 54
+    left = {r.doc_id: r.text for r in secrets.hide_secrets(docs).collect()}
+    assert sum(left[i] == "a [secret] b" for i in range(60)) >= 54

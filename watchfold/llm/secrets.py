@@ -173,14 +173,35 @@ def band_of(length: Column) -> Column:
 
 
 def with_candidates(df: DataFrame, text: str, base: str, name: str) -> DataFrame:
-    """Column ``name``: array of (start, end, band, step) of tokens outside ``base`` for the battery."""
-    df = matches(df, text, "_token", TOKEN)
+    """Column ``name``: array of (start, end, band, step) of tokens for the battery.
 
-    def is_free(t: Column) -> Column:
-        hit = lambda b: (b["start"] < t["start"] + t["len"]) & (b["end"] > t["start"])
-        return t["word"].rlike(MIXED) & ~F.exists(base, hit)
+    A token inside a span of ``base`` is known. One that a span overlaps in part is tested
+    whole, and so are its pieces outside the spans that are long enough for a token.
+    """
+    df = matches(df, text, "_token", TOKEN)
 
-    df = df.withColumn("_token", F.filter("_token", is_free))
+    def parts(t: Column) -> Column:
+        end = t["start"] + t["len"]
+        hits = F.filter(base, lambda b: (b["start"] < end) & (b["end"] > t["start"]))
+        whole = F.struct(t["start"].alias("start"), t["len"].alias("len"), t["word"].alias("word"))
+        # A gap ends where a span starts, or with the token, and starts where the spans before it end.
+        edge = F.array_append(F.transform(hits, lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"))), F.struct(end.alias("start"), end.alias("end")))
+        none = F.array().cast("array<struct<start:bigint,len:bigint,word:string>>")
+
+        def step(acc: Column, b: Column) -> Column:
+            size = b["start"] - acc["at"]
+            word = F.substring(t["word"], (acc["at"] - t["start"] + 1).cast("int"), size.cast("int"))
+            piece = F.struct(acc["at"].alias("start"), size.alias("len"), word.alias("word"))
+            pieces = F.when(size >= BANDS[0], F.array_append(acc["pieces"], piece)).otherwise(acc["pieces"])
+            return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), pieces.alias("pieces"))
+
+        start = F.struct(t["start"].alias("at"), none.alias("pieces"))
+        pieces = F.aggregate(edge, start, step, lambda acc: acc["pieces"])
+        inside = F.exists(hits, lambda b: (b["start"] <= t["start"]) & (b["end"] >= end))
+        return F.when(F.size(hits) == 0, F.array(whole)).when(inside, none).otherwise(F.concat(F.array(whole), pieces))
+
+    df = df.withColumn("_token", F.flatten(F.transform("_token", parts)))
+    df = df.withColumn("_token", F.filter("_token", lambda t: t["word"].rlike(MIXED)))
     scored = F.transform(
         "_token",
         lambda t: F.struct(
