@@ -74,3 +74,11 @@ def test_only_known_languages_stay(spark):
     junk = brute.documents(spark, [None, "1 2 3"]).withColumnRenamed("source", "language")
     out = language.known_language(docs.unionByName(junk))
     assert out.columns == docs.columns and out.count() == docs.count()
+
+
+def test_long_runs_count_whole():
+    run = "".join(chr(ord("a") + i * i % 26) for i in range(100))
+    assert language.words_of(f"x {run} y") == ["x", run[:32], run[32:64], run[64:96], run[96:], "y"]
+    m = model()
+    ends = lambda middle: language.means(m, [language.words_of("a" * 16 + middle + "a" * 16)])[0]
+    assert not np.allclose(ends("b" * 64), ends("é" * 64))

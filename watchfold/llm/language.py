@@ -42,11 +42,15 @@ STEP_WORDS = 100_000  # words labelled at once
 KNOWN = 100_000  # words whose scores a worker remembers
 UNKNOWN = "und"
 
-LETTERS = re.compile(r"[^\W\d_]+")
+LONGEST = 32  # characters of a word
+LETTERS = re.compile(r"[^\W\d_]{1,%d}" % LONGEST)
 
 
 def words_of(text: str | None) -> list[str]:
-    """Runs of letters and of numbers that are no digits; none if there is no letter at all."""
+    """Runs of letters and of numbers that are no digits; none if there is no letter at all.
+
+    Runs of more than ``LONGEST`` characters, as of scripts without spaces, are cut into pieces.
+    """
     words = LETTERS.findall(text) if text else []
     return words if any(map(str.isalpha, words)) or any(c.isalpha() for w in words for c in w) else []
 
@@ -54,11 +58,10 @@ def words_of(text: str | None) -> list[str]:
 def features(words: list[str]) -> np.ndarray:
     """Hashed features, a row per word: the word, affixes, n-grams with word ends, length, case.
 
-    Words of more than 32 characters are seen by their first and last sixteen. Columns
-    that a word does not fill hold ``BUCKETS``.
+    Columns that a word does not fill hold ``BUCKETS``.
     """
     low = [w.lower() for w in words]
-    marked = ["^" + (w if len(w) <= 32 else w[:16] + w[-16:]) + "$" for w in low]
+    marked = ["^" + w + "$" for w in low]
     width = max(map(len, marked))
     left = np.frombuffer("".join(w.ljust(width, "\0") for w in marked).encode("utf-32-le"), np.uint32)
     right = np.frombuffer("".join(w.rjust(width, "\0") for w in marked).encode("utf-32-le"), np.uint32)
