@@ -13,7 +13,7 @@ from watchfold.plans import analyst
 from watchfold.plans import oracle as o
 from watchfold.plans.batch import vectors_of
 from watchfold.plans.registry import (
-    EFFORT, batch, log, profiled, query, r, rule_class, rule_decision, rule_score, rule_scored, shared,
+    batch, log, profiled, query, r, rule_class, rule_decision, rule_score, rule_scored, shared,
 )
 from watchfold.session import keep
 
@@ -184,7 +184,7 @@ def _model_query(name: str, model: str) -> None:
     def run(spark, sf):
         rows = _attacks(spark, sf)
         features = list(batch(spark, sf).fitted.forest.features)
-        said = cl.classify(rows, cl.train_model(rows, features, model, EFFORT))
+        said = cl.classify(rows, cl.train_model(rows, features, model))
         return metrics.classification_report(metrics.confusion(said, "anomaly_type", "attack"))
 
 
@@ -229,7 +229,7 @@ def i06_folds_split(spark, sf):
 def _comparison(spark, sf):
     return shared(
         spark, sf, "comparison",
-        lambda: cl.compare_models(_attacks(spark, sf), cl.Effort(trees=10, tree_depth=5, rounds=1, max_depth=2), folds=2),
+        lambda: cl.compare_models(_attacks(spark, sf)),
     )
 
 
@@ -243,7 +243,7 @@ def i07(spark, sf):
     """The winner of the comparison, refitted on all attacks and applied to them."""
     rows = _attacks(spark, sf)
     features = list(batch(spark, sf).fitted.forest.features)
-    model = cl.train_model(rows, features, cl.best_model(_comparison(spark, sf)), EFFORT)
+    model = cl.train_model(rows, features, cl.best_model(_comparison(spark, sf)))
     return cl.classify(rows, model).select("event_id", "anomaly_type", "attack")
 
 

@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchfold.operators import classify as cl
 from watchfold.operators import enrich, profiles
 from watchfold.operators import forest as fo
 from watchfold.operators import risk
@@ -20,9 +19,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-# Model sizes of the registered queries; the library defaults are larger.
-EFFORT = cl.Effort(trees=20, tree_depth=6, rounds=3, max_depth=3)
-
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
@@ -78,7 +74,7 @@ def profiled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch(spark: SparkSession, sf_dir: str) -> Batch:
-    return shared(spark, sf_dir, "batch", lambda: run_batch(log(spark, sf_dir), effort=EFFORT))
+    return shared(spark, sf_dir, "batch", lambda: run_batch(log(spark, sf_dir)))
 
 
 def rule_score() -> Column:
