@@ -18,14 +18,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Rows of whole texts that a Python worker holds at once.
+#: Rows of whole texts, and bytes of any rows, that a Python worker is sent at once.
 TEXTS_AT_ONCE = 1000
+BYTES_AT_ONCE = 64 << 20
 
 
 def prepare(spark: SparkSession) -> None:
     """Ship the code to the workers, and send them whole texts in small Arrow batches."""
     ship_code(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXTS_AT_ONCE)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BYTES_AT_ONCE)
 
 
 def own_name(df: DataFrame, name: str) -> str:
@@ -117,6 +119,33 @@ def components(links: DataFrame) -> DataFrame:
     return nodes.union(pair.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
+def attach(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` (a stored table) with the columns of ``groups``, which has at most one row per key; nulls are keys too.
+
+    A key with more than one partition's share of all rows would land in one task, so
+    those keys, which are no more than there are partitions, are broadcast; the rest
+    is shuffled.
+    """
+    spark = rows.sparkSession
+    extra = [c for c in groups.columns if c not in keys]
+    many = F.col("count") * F.lit(partitions(spark)) > F.lit(rows.count())
+    hot = keep(rows.groupBy(*keys).count().where(many).select(*keys), "hot-keys")
+
+    def joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        right = right.select(*[F.col(c).alias(f"_key_{c}") for c in keys], *[c for c in right.columns if c not in keys])
+        same = [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in keys]
+        on = same[0]
+        for s in same[1:]:
+            on = on & s
+        out = left.join(right, on, how)
+        return out if how == "left_anti" else out.drop(*[f"_key_{c}" for c in keys])
+
+    known = joined(groups, F.broadcast(hot), "inner").select(*keys, *extra)
+    often = joined(joined(rows, F.broadcast(hot), "inner"), F.broadcast(known), "left")
+    rare = joined(joined(rows, F.broadcast(hot), "left_anti"), groups, "left")
+    return often.unionByName(rare)
+
+
 def whole_groups(batches: Iterable, keys: list[str], rows: int) -> Iterator:
     """Pandas frames of a sorted partition, joined and cut between groups at about ``rows`` rows."""
     import pandas as pd
