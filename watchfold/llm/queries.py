@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchfold.llm import bpe, chats, embeddings, language, mixing, pages, passages, quality, secrets, simhash
+from watchfold.llm import bpe, centroids, chats, codes, embeddings, language, licenses, mixing, pages, passages, quality, secrets, simhash
 from watchfold.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,21 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return pages.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op11_vector_codes", codes.SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector."""
+    return codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_license_scan", licenses.SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences that every document names or quotes."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op13_centroid_clusters", centroids.SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector."""
+    return centroids.clustered(table(spark, sf_dir, "embeddings"))
