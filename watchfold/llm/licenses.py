@@ -110,8 +110,14 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(low, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
 
 
-def _hash(words: Column, at: Column, k: int) -> Column:
-    return F.xxhash64(*[F.get(words, at + j) for j in range(k)])
+def rolling(df: DataFrame, words: str) -> DataFrame:
+    """``df`` with the hashes of the windows that start at each word: ``h2`` of two and ``h4`` of four of ``words``.
+
+    Each is made of hashes half as wide; windows that would run over the end are to be left out.
+    """
+    df = df.withColumn("h1", F.transform(words, lambda x: F.xxhash64(x)))
+    df = df.withColumn("h2", F.transform("h1", lambda x, i: F.xxhash64(x, F.get("h1", i + 1))))
+    return df.withColumn("h4", F.transform("h2", lambda x, i: F.xxhash64(x, F.get("h2", i + 2))))
 
 
 def template_windows(df: DataFrame, templates: list[Template]) -> DataFrame:
@@ -120,11 +126,9 @@ def template_windows(df: DataFrame, templates: list[Template]) -> DataFrame:
     for number, t in enumerate(templates):
         rows += [(number, i, list(t.words[i : i + t.window])) for i in range(len(t.words) - t.window + 1)]
     table = df.sparkSession.createDataFrame(rows, "template int, tpos int, gram array<string>")
-    h = F.when(F.size("gram") == SHORT, _hash(F.col("gram"), F.lit(0), SHORT)).otherwise(
-        _hash(F.col("gram"), F.lit(0), LONG)
-    )
+    h = F.when(F.size("gram") == SHORT, F.get("h2", F.lit(0))).otherwise(F.get("h4", F.lit(0))).alias("h")
     mark = df.sparkSession.createDataFrame([(-1, 0, [], 0)], "template int, tpos int, gram array<string>, h long")
-    return table.withColumn("h", h).unionByName(mark)
+    return rolling(table, "gram").select("template", "tpos", "gram", h).unionByName(mark)
 
 
 def votes(docs: DataFrame, templates: list[Template]) -> DataFrame:
@@ -138,27 +142,22 @@ def votes(docs: DataFrame, templates: list[Template]) -> DataFrame:
         return F.struct(at.alias("at"), F.slice("w", at + 1, STEP + LONG - 1).alias("w"))
 
     places = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(STEP))
-    rows = rows.select("doc_id", "a", "b", n.alias("n_words"), F.explode(F.transform(places, stretch)).alias("s"))
-
-    def window(at: Column, h: Column, gram: Column) -> Column:
-        return F.struct(at.alias("pos"), h.alias("h"), gram.alias("gram"))
-
-    def windows(k: int) -> Column:
-        words, count = F.col("s.w"), F.least(F.size("s.w") - k + 1, F.lit(STEP))
-        made = F.transform(
-            F.sequence(F.lit(0), count - 1),
-            lambda i: window(F.col("s.at") + i, _hash(words, i, k), F.slice(words, i + 1, k)),
-        )
-        return F.when(count > 0, made).otherwise(F.array().cast("array<struct<pos:int,h:bigint,gram:array<string>>>"))
-
-    mark = F.when(F.col("s.at") == 0, F.array(window(F.lit(-1), F.lit(0).cast("long"), F.array().cast("array<string>"))))
-    none = F.array().cast("array<struct<pos:int,h:bigint,gram:array<string>>>")
-    all_windows = F.concat(F.coalesce(mark, none), windows(SHORT), windows(LONG))
-    rows = rows.select("doc_id", "a", "b", "n_words", F.explode(all_windows).alias("g"))
-    rows = rows.select("doc_id", "a", "b", "n_words", "g.pos", F.col("g.h").alias("gh"), F.col("g.gram").alias("seen"))
+    own = ["doc_id", "a", "b", "n_words"]
+    rows = rows.select(*own[:3], n.alias("n_words"), F.explode(F.transform(places, stretch)).alias("s"))
+    rows = rolling(rows.select(*own, "s.at", "s.w"), "w")
+    # Windows of two words start at STEP words of a stretch at most; those of four fit as they are.
+    short, long = F.least(F.greatest(F.size("w") - 1, F.lit(0)), F.lit(STEP)), F.greatest(F.size("w") - 3, F.lit(0))
+    mark = F.when(F.col("at") == 0, F.array(F.lit(0).cast("long"))).otherwise(F.array().cast("array<bigint>"))
+    windows = F.concat(F.slice("h2", F.lit(1), short), F.slice("h4", F.lit(1), long), mark)
+    rows = rows.select(*own, "at", "w", short.alias("short"), long.alias("long"), F.posexplode(windows).alias("i", "seen"))
+    # The words come along by reference as far as the join, where those of the few equal hashes are compared
+    # (the equality is wrapped, or else it would become a part of the key, made for every window).
+    here = F.when(F.col("i") < F.col("short"), F.col("i")).otherwise(F.col("i") - F.col("short"))
+    width = F.when(F.col("i") < F.col("short"), SHORT).when(F.col("i") < F.col("short") + F.col("long"), LONG).otherwise(0)
     known = F.broadcast(template_windows(docs, templates))
-    met = rows.join(known, (F.col("gh") == F.col("h")) & (F.col("seen") == F.col("gram")))
-    return met.select("doc_id", "a", "b", "n_words", "template", "tpos", "pos")
+    same = F.coalesce(F.slice("w", here + 1, width) == F.col("gram"), F.lit(False))
+    met = rows.join(known, (F.col("seen") == F.col("h")) & same)
+    return met.select(*own, "template", "tpos", (F.col("at") + here).alias("pos"))
 
 
 def spans(found: DataFrame, templates: list[Template]) -> DataFrame:
