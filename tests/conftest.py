@@ -32,7 +32,7 @@ def log(spark):
 @pytest.fixture(scope="session")
 def batch(spark):
     """The full batch job where all seven attack types occur."""
-    return run_batch(read_access_log(spark, SMALL), effort=cl.Effort(trees=20, tree_depth=8))
+    return run_batch(read_access_log(spark, SMALL), effort=cl.Effort(trees=20, tree_depth=8, rounds=20))
 
 
 @pytest.fixture

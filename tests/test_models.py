@@ -3,7 +3,6 @@
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from watchfold.operators import classify as cl
@@ -77,25 +76,26 @@ def test_attributions_add_up(batch, spark):
     model = batch.fitted.classifier
     flagged = batch.scored.where("prediction = -1").select("event_id", "attack")
     rows = explain.attribute(vectors_of(batch.matrix).join(flagged, "event_id"), model)
-    out = model.model.transform(rows.withColumn("vector", cl.array_to_vector("features")))
     start = F.array(*[F.lit(v) for v in explain.expected_output(model, spark)])
     code = cl.encode_class("attack", list(model.classes)).cast("int")
-    gap = vector_to_array("probability")[code] - start[code] - F.aggregate("shap", F.lit(0.0), lambda a, x: a + x)
-    assert out.agg(F.max(F.abs(gap))).first()[0] < 1e-6
+    total = F.aggregate("shap", F.lit(0.0), lambda a, x: a + x)
+    gap = cl.outputs(F.col("features"), model)[code] - start[code] - total
+    assert rows.agg(F.max(F.abs(gap))).first()[0] < 1e-6
 
 
-def _brute_shapley(x, leaves, cls, d):
+def _brute_shapley(x, table, cls, d):
     """Shapley values by their definition, over all subsets of features."""
     from itertools import combinations
     from math import factorial
 
     def value(known):
         total = 0.0
-        for leaf in leaves:
-            w = leaf.value[cls]
-            for f, lo, hi, z in zip(leaf.features, leaf.low, leaf.high, leaf.kept):
-                w *= float(lo < x[f] <= hi) if f in known else z
-            total += w
+        for p in table.paths:
+            for features, low, high, kept, value in zip(p.features, p.low, p.high, p.kept, p.value):
+                w = value[cls]
+                for f, lo, hi, z in zip(table.used[features], low, high, kept):
+                    w *= float(lo < x[f] <= hi) if f in known else z
+                total += w
         return total
 
     phi = np.zeros(d)
@@ -118,10 +118,11 @@ def test_attributions_match_the_definition(spark, model):
         "event_id long, features array<double>, label string, anomaly_type string",
     )
     fitted = cl.train_model(df, list("abcd"), model, cl.Effort(trees=4, tree_depth=4, rounds=2, max_depth=3))
-    leaves, _ = explain.leaves_of(explain.tree_nodes(fitted, spark), 3)
-    got = explain.shapley(x[:6], np.array([0, 1, 2, 0, 1, 2]), leaves)
+    table = explain.path_table(fitted)
+    got = np.zeros((6, 4))
+    got[:, table.used] = explain.shapley(x[:6][:, table.used], np.array([0, 1, 2, 0, 1, 2]), table)
     for i in range(6):
-        np.testing.assert_allclose(got[i], _brute_shapley(x[i], leaves, i % 3, 4), atol=1e-9)
+        np.testing.assert_allclose(got[i], _brute_shapley(x[i], table, i % 3, 4), atol=1e-9)
 
 
 def test_comparison_reports_failures(spark, monkeypatch):
@@ -136,6 +137,21 @@ def test_comparison_reports_failures(spark, monkeypatch):
     out = {r["model"]: r for r in cl.compare_models(df, folds=2).collect()}
     assert out["random_forest"]["best"] and out["random_forest"]["mean_f1"] > 0.8
     assert out["boosted"]["mean_f1"] is None and "division" in out["boosted"]["error"]
+    assert len(out["random_forest"]["fold_scores"]) == 2
+
+
+def test_comparison_of_chosen_candidates_with_one_that_cannot_grow(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame(
+        [(i, [float(v) for v in rng.normal(size=2) + (i % 2) * 3], "Anomaly", "AB"[i % 2]) for i in range(240)],
+        "event_id long, features array<double>, label string, anomaly_type string",
+    )
+    real = cl.candidates(cl.Effort(rounds=5, max_depth=3))
+    broken = {**real, "boosted": lambda: cl.Plan(**{**real["boosted"]().__dict__, "leaves": "few"})}
+    monkeypatch.setattr(cl, "candidates", lambda *a: broken)
+    out = {r["model"]: r for r in cl.compare_models(df, folds=3, names=["boosted", "boosted_balanced"]).collect()}
+    assert set(out) == {"boosted", "boosted_balanced"} and out["boosted"]["error"]
+    assert out["boosted_balanced"]["best"] and out["boosted_balanced"]["mean_f1"] > 0.7
 
 
 def test_folds_are_stratified(batch):

@@ -1,20 +1,20 @@
-"""Attack classification with Spark ML tree ensembles."""
+"""Attack classification with tree ensembles that are grown and cross-validated in joint Spark jobs."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
-from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import GBTClassifier, OneVsRest, OneVsRestModel, RandomForestClassifier
-from pyspark.ml.classification import RandomForestClassificationModel
-from pyspark.ml.functions import array_to_vector
+import numpy as np
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from watchfold import settings as cfg
-from watchfold.operators import metrics
-from watchfold.operators.slicing import attach, fit_slices, running_sums
+from watchfold.operators.slicing import fit_slices, running_sums
+from watchfold.operators.sparse import Rows, lists
+from watchfold.operators.trees import Ensemble, Plan, fit_trees
 from watchfold.session import keep
 
 
@@ -68,47 +68,63 @@ class Effort:
     max_depth: int | None = None
 
 
-def candidates(effort: Effort = Effort(), seed: int = cfg.FOREST_SEED) -> dict[str, Callable[[], Estimator]]:
-    """Model name -> estimator, in order of preference for ties."""
+def candidates(effort: Effort = Effort()) -> dict[str, Callable[[], Plan]]:
+    """Model name -> how it is grown, in order of preference for ties."""
 
-    def boosted(settings: dict, weighted: bool) -> Estimator:
+    def boosted(settings: dict, balanced: bool) -> Plan:
         depth = min(settings["depth"], effort.max_depth or settings["depth"])
-        trees = GBTClassifier(
-            maxIter=effort.rounds,
-            maxDepth=depth,
-            stepSize=settings["rate"],
-            subsamplingRate=settings["subsample"],
-            featureSubsetStrategy=str(settings["columns"]),
-            seed=seed,
+        return Plan(
+            boosted=True, trees=effort.rounds, depth=depth, balanced=balanced, rate=settings["rate"],
+            rows=settings["subsample"], columns=settings["columns"], least_weight=settings["least_weight"],
+            least_rows=settings["least_rows"], shrink=settings["shrink"], leaves=settings["leaves"],
         )
-        one = OneVsRest(classifier=trees, labelCol="class_code", featuresCol="vector", predictionCol="class_out",
-                        parallelism=4)
-        return one.setWeightCol("weight") if weighted else one
 
     return {
-        "random_forest": lambda: RandomForestClassifier(
-            numTrees=effort.trees,
-            maxDepth=effort.tree_depth,
-            weightCol="weight",
-            labelCol="class_code",
-            featuresCol="vector",
-            predictionCol="class_out",
-            seed=seed,
-        ),
-        "boosted": lambda: boosted(cfg.BOOSTED, weighted=False),
-        "boosted_balanced": lambda: boosted(cfg.BOOSTED_BALANCED, weighted=True),
+        "random_forest": lambda: Plan(boosted=False, trees=effort.trees, depth=effort.tree_depth, balanced=True),
+        "boosted": lambda: boosted(cfg.BOOSTED, balanced=False),
+        "boosted_balanced": lambda: boosted(cfg.BOOSTED_BALANCED, balanced=True),
     }
 
 
 def learnable(rows: DataFrame, classes: list[str]) -> DataFrame:
-    """Rows with ML vector, class code and balanced weight."""
-    weights = keep(class_weights(rows).select("anomaly_type", "weight"), "class-weights")
-    return attach(rows, weights, ["anomaly_type"]).select(
-        *rows.columns,
-        array_to_vector("features").alias("vector"),
-        encode_class("anomaly_type", classes).alias("class_code"),
-        "weight",
-    )
+    """Rows with class code and fold (0 where none was dealt)."""
+    fold = F.col("fold") if "fold" in rows.columns else F.lit(0)
+    return rows.select("event_id", "features", encode_class("anomaly_type", classes).alias("class_code"), fold.alias("fold"))
+
+
+def _fit(rows: DataFrame, plans: list[tuple[str, Plan]], classes: int, seed: int) -> tuple[list[DataFrame | None], list[str | None]]:
+    """Node tables of the plans, those of a kind grown together; failures as text, found plan by plan."""
+    nodes: list[DataFrame | None] = [None] * len(plans)
+    errors: list[str | None] = [None] * len(plans)
+    kinds = sorted({(p.boosted, p.trees if p.boosted else 0) for _, p in plans})
+    for kind in kinds:
+        mine = [i for i, (_, p) in enumerate(plans) if (p.boosted, p.trees if p.boosted else 0) == kind]
+        groups = [mine]
+        while groups:
+            group = groups.pop()
+            try:
+                table = fit_trees(rows, [plans[i][1] for i in group], classes, seed)
+                for m, i in enumerate(group):
+                    nodes[i] = table.where(F.col("member") == m)
+            except Exception as failure:  # noqa: BLE001 - reported beside the others
+                names = sorted({plans[i][0] for i in group})
+                if len(names) > 1:
+                    groups += [[i for i in group if plans[i][0] == name] for name in names]
+                else:
+                    for i in group:
+                        errors[i] = str(failure)[:500]
+    return nodes, errors
+
+
+def macro_f1(counts: dict[tuple[int, int], int]) -> float:
+    """Mean F1 of the classes that occur as truth or as answer, from counts per (truth, answer)."""
+    scores = []
+    for c in {k for pair in counts for k in pair}:
+        hit = counts.get((c, c), 0)
+        said = sum(n for (_, p), n in counts.items() if p == c)
+        true = sum(n for (t, _), n in counts.items() if t == c)
+        scores.append(2 * hit / (said + true))
+    return sum(scores) / len(scores) if scores else 0.0
 
 
 def compare_models(
@@ -116,32 +132,74 @@ def compare_models(
     effort: Effort = Effort(),
     folds: int = cfg.CV_FOLDS,
     seed: int = cfg.FOREST_SEED,
+    names: list[str] | None = None,
 ) -> DataFrame:
-    """Cross-validated macro F1 per candidate: (model, mean_f1, std_f1, error, best).
+    """Cross-validated macro F1 per candidate: (model, mean_f1, std_f1, fold_scores, error, best).
 
-    A candidate that fails is reported, not fatal; on equal means the earlier wins.
+    All folds of all candidates of a kind grow in the same jobs; then one pass gives
+    every row the answer of the members that did not see it. ``names`` chooses
+    candidates. One that fails is reported, not fatal; on equal means the earlier wins.
     """
     spark: SparkSession = rows.sparkSession
     classes = class_names(rows)
-    dealt = keep(stratified_folds(rows, folds, seed), "folds")
-    out = []
-    for place, (name, make) in enumerate(candidates(effort, seed).items()):
+    dealt = keep(learnable(stratified_folds(rows, folds, seed), classes), "folds")
+    wanted = {n: make for n, make in candidates(effort).items() if names is None or n in names}
+    plans: list[tuple[str, Plan]] = []
+    failed: dict[str, str] = {}
+    for name, make in wanted.items():
         try:
-            scores = []
-            for k in range(folds):
-                train = learnable(dealt.where(F.col("fold") != k), classes).cache()
-                test = learnable(dealt.where(F.col("fold") == k), classes)
-                said = make().fit(train).transform(test)
-                scores.append(metrics.macro_f1(metrics.confusion(said, "class_code", "class_out")))
-                train.unpersist()
-            mean = sum(scores) / folds
-            std = (sum((s - mean) ** 2 for s in scores) / folds) ** 0.5
-            out.append((place, name, mean, std, None))
+            plan = make()
+            plans += [(name, Plan(**{**plan.__dict__, "held_out": k})) for k in range(folds)]
         except Exception as failure:  # noqa: BLE001 - reported in the table
-            out.append((place, name, None, None, str(failure)[:500]))
+            failed[name] = str(failure)[:500]
+    nodes, errors = _fit(dealt, plans, len(classes), seed)
+    failed |= {name: error for (name, _), error in zip(plans, errors, strict=True) if error}
+    members = [
+        (name, plan.held_out, Ensemble(table.toPandas(), plan.boosted, len(classes)))
+        for (name, plan), table in zip(plans, nodes, strict=True)
+        if name not in failed and table is not None
+    ]
+    grown = [n for n in wanted if n not in failed]
+    counts = _answers(dealt, members, grown)
+    out = []
+    for place, name in enumerate(wanted):
+        if name in failed:
+            out.append((place, name, None, None, None, failed[name]))
+            continue
+        scores = [macro_f1(counts.get((name, k), {})) for k in range(folds)]
+        mean = sum(scores) / folds
+        std = (sum((s - mean) ** 2 for s in scores) / folds) ** 0.5
+        out.append((place, name, mean, std, scores, None))
     best = max((r for r in out if r[2] is not None), key=lambda r: (r[2], -r[0]), default=None)
-    table = [(name, mean, std, err, best is not None and place == best[0]) for place, name, mean, std, err in out]
-    return spark.createDataFrame(table, "model string, mean_f1 double, std_f1 double, error string, best boolean")
+    table = [(*r[1:], best is not None and r[0] == best[0]) for r in out]
+    return spark.createDataFrame(
+        table, "model string, mean_f1 double, std_f1 double, fold_scores array<double>, error string, best boolean"
+    )
+
+
+def _answers(dealt: DataFrame, members: list[tuple[str, int, Ensemble]], names: list[str]) -> dict:
+    """(model, fold) -> counts per (truth, answer) of the rows that the fold's member did not see."""
+    if not members:
+        return {}
+    shared = dealt.sparkSession.sparkContext.broadcast(members)
+
+    @F.arrow_udf("array<int>")
+    def answer(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for features, fold in batches:
+            rows, fold = Rows.of(features), fold.to_numpy(zero_copy_only=False)
+            out = np.zeros((len(fold), len(names)), np.int32)
+            for name, k, model in shared.value:
+                mine = np.flatnonzero(fold == k)
+                if len(mine):
+                    out[mine, names.index(name)] = model.outputs(rows)[mine].argmax(axis=1)
+            yield lists(out, np.ones(len(out), bool))
+
+    said = dealt.select("fold", F.col("class_code").cast("int").alias("truth"), F.posexplode(answer("features", "fold")).alias("m", "said"))
+    out: dict = {}
+    # At most candidates * folds * classes^2 rows.
+    for r in said.groupBy("m", "fold", "truth", "said").count().collect():
+        out.setdefault((names[r["m"]], r["fold"]), {})[r["truth"], r["said"]] = r["count"]
+    return out
 
 
 def best_model(comparison: DataFrame) -> str | None:
@@ -151,26 +209,36 @@ def best_model(comparison: DataFrame) -> str | None:
 
 @dataclass(frozen=True)
 class Classifier:
-    """A fitted model with the class order and feature order it was fitted on."""
+    """A fitted model (its node table) with the class order and feature order it was fitted on."""
 
     name: str
-    model: Model
+    nodes: DataFrame
+    boosted: bool
     classes: tuple[str, ...]
     features: tuple[str, ...]
+    _sent: dict = field(default_factory=dict, compare=False, repr=False)
 
     def save(self, path: str) -> None:
-        spark = SparkSession.getActiveSession()
-        self.model.write().overwrite().save(f"{path}/model")
-        spark.createDataFrame(
-            [(self.name, list(self.classes), list(self.features))],
-            "name string, classes array<string>, features array<string>",
+        self.nodes.write.mode("overwrite").parquet(f"{path}/nodes")
+        self.nodes.sparkSession.createDataFrame(
+            [(self.name, self.boosted, list(self.classes), list(self.features))],
+            "name string, boosted boolean, classes array<string>, features array<string>",
         ).write.mode("overwrite").parquet(f"{path}/meta")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "Classifier":
         m = spark.read.parquet(f"{path}/meta").first()
-        kind = RandomForestClassificationModel if m["name"] == "random_forest" else OneVsRestModel
-        return Classifier(m["name"], kind.load(f"{path}/model"), tuple(m["classes"]), tuple(m["features"]))
+        nodes = spark.read.parquet(f"{path}/nodes")
+        return Classifier(m["name"], nodes, m["boosted"], tuple(m["classes"]), tuple(m["features"]))
+
+    def sent(self, name: str, make: Callable[["Classifier"], object]) -> Broadcast:
+        """Something made of the node table (whose size the settings bound), sent to the workers once."""
+        if name not in self._sent:
+            self._sent[name] = self.nodes.sparkSession.sparkContext.broadcast(make(self))
+        return self._sent[name]
+
+    def ensemble(self) -> Broadcast:
+        return self.sent("ensemble", lambda c: Ensemble(c.nodes.toPandas(), c.boosted, len(c.classes)))
 
 
 def train_model(
@@ -178,32 +246,58 @@ def train_model(
 ) -> Classifier:
     """Fit one candidate on all known attacks."""
     classes = class_names(rows)
-    data = learnable(rows, classes).cache()
-    model = candidates(effort, seed)[name]().fit(data)
-    data.unpersist()
-    return Classifier(name, model, tuple(classes), tuple(features))
+    plan = candidates(effort)[name]()
+    nodes = fit_trees(learnable(rows.drop("fold"), classes), [plan], len(classes), seed)
+    return Classifier(name, nodes, plan.boosted, tuple(classes), tuple(features))
+
+
+def outputs(features: Column, classifier: Classifier) -> Column:
+    """Per class: margins of a boosted model, mean shares of a forest; null features give null."""
+    model = classifier.ensemble()
+
+    @F.arrow_udf("array<double>")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in batches:
+            known = column.is_valid().to_numpy(zero_copy_only=False)
+            yield lists(model.value.outputs(Rows.of(column.filter(pa.array(known)))), known)
+
+    return score(features)
+
+
+def probabilities(outputs: Column, classifier: Classifier) -> Column:
+    if not classifier.boosted:
+        return outputs
+    powers = F.transform(outputs, lambda z: F.exp(z - F.array_max(outputs)))
+    total = F.aggregate(powers, F.lit(0.0), lambda a, x: a + x)
+    return F.transform(powers, lambda x: x / total)
+
+
+def _winner(outputs: Column, classifier: Classifier) -> Column:
+    names = F.array(*[F.lit(c) for c in classifier.classes])
+    return names[F.array_position(outputs, F.array_max(outputs)).cast("int") - 1]
 
 
 def classify(vectors: DataFrame, classifier: Classifier) -> DataFrame:
     """Add ``attack``, the decoded class of every row."""
-    out = classifier.model.transform(vectors.withColumn("vector", array_to_vector("features")))
-    return out.withColumn("attack", decode_class("class_out", list(classifier.classes))).select(
-        *vectors.columns, "attack"
-    )
+    out = vectors.withColumn("_outputs", outputs(F.col("features"), classifier))
+    return out.withColumn("attack", _winner(F.col("_outputs"), classifier)).drop("_outputs")
 
 
 def classify_flagged(scored: DataFrame, classifier: Classifier) -> DataFrame:
-    """Attack class of flagged events; everything else is Normal."""
-    out = classify(scored, classifier)
-    return out.withColumn("attack", F.when(F.col("prediction") == -1, F.col("attack")).otherwise("Normal"))
+    """Attack class of flagged events; everything else is Normal, and its features are not sent to the model."""
+    flagged = F.col("prediction") == -1
+    out = scored.withColumn("_outputs", outputs(F.when(flagged, F.col("features")), classifier))
+    attack = F.when(F.col("_outputs").isNotNull(), _winner(F.col("_outputs"), classifier)).otherwise("Normal")
+    return out.withColumn("attack", attack).drop("_outputs")
 
 
 def importances(classifier: Classifier, spark: SparkSession) -> DataFrame:
-    """(feature, importance) of the fitted model; one row per feature."""
-    models = getattr(classifier.model, "models", [classifier.model])
-    arrays = [m.featureImportances.toArray() for m in models]
-    mean = sum(arrays) / len(arrays)
-    rows = [(f, float(v)) for f, v in zip(classifier.features, mean)]
+    """(feature, importance): each feature's share of the gain of all splits; one row per feature."""
+    gains = classifier.nodes.where("feature >= 0").groupBy("feature").agg(F.sum("gain").alias("gain"))
+    # One row per feature of the model.
+    table = {r["feature"]: r["gain"] for r in gains.collect()}
+    total = sum(table.values()) or 1.0
+    rows = [(f, float(table.get(i, 0.0) / total)) for i, f in enumerate(classifier.features)]
     return spark.createDataFrame(rows, "feature string, importance double")
 
 

@@ -6,124 +6,113 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from watchfold import settings as cfg
 from watchfold.functions import scalars as sc
 from watchfold.operators.classify import Classifier, importances
-from watchfold.operators.forest import matrix_of
-from watchfold.session import fresh_path
+from watchfold.operators.sparse import Rows, lists
+
 
 @dataclass(frozen=True)
-class Leaf:
-    """One root-to-leaf path, its splits merged per feature."""
+class Paths:
+    """All root-to-leaf paths with ``features.shape[1]`` distinct features, the splits merged per feature."""
 
-    features: np.ndarray  # distinct features on the path
-    low: np.ndarray  # the row follows the path on a feature when low < x <= high
+    features: np.ndarray  # (leaves, length), places in ``PathTable.used``
+    low: np.ndarray  # a row follows the path on a feature when low < x <= high
     high: np.ndarray
-    kept: np.ndarray  # share of the training weight that follows, per feature
-    value: np.ndarray  # output per class
-
-
-def tree_nodes(classifier: Classifier, spark: SparkSession) -> pd.DataFrame:
-    """Node table of the fitted ensemble, read from the saved model (bounded by the model)."""
-    path = fresh_path(spark, "tree-nodes")
-    classifier.model.write().overwrite().save(path)
-    forest = isinstance(classifier.model, RandomForestClassificationModel)
-    paths = [path] if forest else [f"{path}/model_{i}" for i in range(len(classifier.classes))]
-    parts = []
-    for k, p in enumerate(paths):
-        nodes = spark.read.parquet(f"{p}/data").select(
-            F.lit(k).alias("member"),
-            F.col("treeID").alias("tree"),
-            F.col("nodeData.id").alias("node"),
-            F.col("nodeData.leftChild").alias("left_node"),
-            F.col("nodeData.rightChild").alias("right_node"),
-            F.col("nodeData.split.featureIndex").alias("feature"),
-            F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
-            F.col("nodeData.prediction").alias("prediction"),
-            F.col("nodeData.impurityStats").alias("stats"),
-        )
-        meta = spark.read.parquet(f"{p}/treesMetadata").toDF("tree", "_about", "tree_weight")
-        parts.append(nodes.join(F.broadcast(meta.select("tree", "tree_weight")), "tree"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    pdf = out.toPandas()
-    pdf["is_forest"] = forest
-    return pdf
-
-
-def leaves_of(nodes: pd.DataFrame, classes: int) -> tuple[list[Leaf], np.ndarray]:
-    """All leaf paths of the ensemble, and its expected output per class."""
-    leaves: list[Leaf] = []
-    expected = np.zeros(classes)
-    forest = bool(nodes["is_forest"].iloc[0])
-    count = nodes[["member", "tree"]].drop_duplicates().shape[0]
-    for (member, _), tree in nodes.groupby(["member", "tree"]):
-        by_id = {int(r.node): r for r in tree.itertuples(index=False)}
-
-        def weight(r) -> float:
-            return float(np.sum(r.stats)) if forest else float(r.stats[0])
-
-        def output(r) -> np.ndarray:
-            if forest:
-                return np.asarray(r.stats, dtype=float) / max(weight(r), 1e-300) / count
-            one = np.zeros(classes)
-            one[member] = r.prediction * r.tree_weight
-            return one
-
-        root = weight(by_id[0])
+    kept: np.ndarray  # share of the training rows that follow, per feature
+    value: np.ndarray  # (leaves, classes), output per class
+
+
+@dataclass(frozen=True)
+class PathTable:
+    """A fitted ensemble as arrays of paths, by length; made once per model."""
+
+    used: np.ndarray  # features that some split uses
+    paths: tuple[Paths, ...]
+    expected: np.ndarray  # mean output per class
+
+
+def path_table(classifier: Classifier) -> PathTable:
+    """The paths of the node table (bounded by the settings of the model)."""
+    nodes, k = classifier.nodes.toPandas(), len(classifier.classes)
+    inner = nodes["feature"] >= 0
+    used = np.unique(nodes.loc[inner, "feature"].to_numpy()).astype(np.int64)
+    found: dict[int, list[tuple]] = {}
+    expected = np.zeros(k)
+    trees = nodes[["tree", "output"]].drop_duplicates().shape[0]
+    for (_, output), tree in nodes.groupby(["tree", "output"]):
+        rows = {r.node: r for r in tree.itertuples(index=False)}
+
+        def value(r) -> np.ndarray:
+            out = np.zeros(k)
+            if classifier.boosted:
+                out[output] = r.value[0]
+            elif len(r.value):
+                out[:] = np.asarray(r.value) / trees
+            return out
+
         todo: list[tuple[int, dict[int, tuple[float, float, float]]]] = [(0, {})]
         while todo:
             node, path = todo.pop()
-            r = by_id[node]
-            if r.left_node < 0:
-                value = output(r)
-                expected += value * weight(r) / root
-                feats = np.array(sorted(path), dtype=int)
-                steps = np.array([path[f] for f in feats]).reshape(len(feats), 3)
-                leaves.append(Leaf(feats, steps[:, 0], steps[:, 1], steps[:, 2], value))
+            r = rows[node]
+            if r.feature < 0:
+                v = value(r)
+                expected += v * np.prod([p[2] for p in path.values()])
+                if path and v.any():
+                    found.setdefault(len(path), []).append((sorted(path.items()), v))
                 continue
             for child, left in ((r.left_node, True), (r.right_node, False)):
                 low, high, kept = path.get(r.feature, (-np.inf, np.inf, 1.0))
-                share = weight(by_id[child]) / max(weight(r), 1e-300)
-                if left:
-                    high = min(high, r.threshold)
-                else:
-                    low = max(low, r.threshold)
-                todo.append((child, {**path, int(r.feature): (low, high, kept * share)}))
-    return leaves, expected
+                share = rows[child].cover / r.cover if r.cover else 0.0
+                low, high = (low, min(high, r.threshold)) if left else (max(low, r.threshold), high)
+                todo.append((child, {**path, r.feature: (low, high, kept * share)}))
+    paths = []
+    for _, leaves in sorted(found.items()):
+        steps = np.array([[p for _, p in path] for path, _ in leaves])
+        features = np.searchsorted(used, [[f for f, _ in path] for path, _ in leaves])
+        paths.append(Paths(features, steps[:, :, 0], steps[:, :, 1], steps[:, :, 2], np.array([v for _, v in leaves])))
+    return PathTable(used, tuple(paths), expected)
+
+
+#: Numbers in one array operation over (rows, leaves, path, points).
+_AT_ONCE = 1 << 22
 
 
-def shapley(x: np.ndarray, classes: np.ndarray, leaves: list[Leaf]) -> np.ndarray:
-    """Exact path-dependent Shapley values of each row for its class.
+def shapley(x: np.ndarray, classes: np.ndarray, table: PathTable) -> np.ndarray:
+    """Exact path-dependent Shapley values of each row for its class; ``x`` has one column per used feature.
 
     The weighted sum over feature subsets of a leaf equals the integral over u in
     (0, 1) of prod_j (kept_j (1 - u) + follows_j u); it is a polynomial, so Gauss
-    points integrate it exactly.
+    points integrate it exactly. All rows and all leaves of one path length are done
+    together.
     """
     out = np.zeros(x.shape)
-    rules: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for leaf in leaves:
-        m = len(leaf.features)
-        amount = leaf.value[classes]
-        if m == 0 or not np.any(amount):
-            continue
-        if m not in rules:
-            at, w = np.polynomial.legendre.leggauss(m // 2 + 1)
-            rules[m] = ((at + 1) / 2, w / 2)
-        u, w = rules[m]
-        cols = x[:, leaf.features]
-        follows = ((cols > leaf.low) & (cols <= leaf.high)).astype(float)
-        blend = leaf.kept[None, :, None] * (1 - u) + follows[:, :, None] * u
-        whole = np.prod(blend, axis=1)
-        without = np.einsum("nmq,q->nm", whole[:, None, :] / np.maximum(blend, 1e-300), w)
-        out[:, leaf.features] += amount[:, None] * (follows - leaf.kept) * without
+    for p in table.paths:
+        m = p.features.shape[1]
+        at, w = np.polynomial.legendre.leggauss(m // 2 + 1)
+        u, w = (at + 1) / 2, w / 2
+        for c in np.unique(classes):
+            some = np.flatnonzero(p.value[:, c])
+            rows = np.flatnonzero(classes == c)
+            if not len(some):
+                continue
+            step = max(1, _AT_ONCE // (len(some) * m * len(u)))
+            for i in range(0, len(rows), step):
+                mine = rows[i : i + step]
+                cols = x[mine][:, p.features[some]]  # rows, leaves, path
+                follows = ((cols > p.low[some]) & (cols <= p.high[some])).astype(float)
+                kept = p.kept[some][None]
+                blend = kept[..., None] * (1 - u) + follows[..., None] * u
+                whole = np.prod(blend, axis=2)
+                without = ((whole[:, :, None, :] / np.maximum(blend, 1e-300)) * w).sum(axis=3)
+                shares = p.value[some, c][None, :, None] * (follows - kept) * without
+                to = np.arange(len(mine))[:, None] * x.shape[1] + p.features[some].ravel()[None]
+                sums = np.bincount(to.ravel(), shares.reshape(len(mine), -1).ravel(), len(mine) * x.shape[1])
+                out[mine] += sums.reshape(len(mine), -1)
     return out
 
 
@@ -133,34 +122,33 @@ def attribute(
     """Add ``shap``, one value per feature, for every row's attack class.
 
     Rows without a known class are explained for the first class, rows outside
-    ``only`` get zeros.  A narrow map; the leaf table is bounded by the model and
-    broadcast.
+    ``only`` get null and are not sent to the model.  A narrow map; the path table is
+    bounded by the model and broadcast once.
     """
-    spark = vectors.sparkSession
-    leaves, _ = leaves_of(tree_nodes(classifier, spark), len(classifier.classes))
-    shared = spark.sparkContext.broadcast(leaves)
+    shared = classifier.sent("paths", path_table)
     width = len(classifier.features)
 
     @F.arrow_udf("array<double>")
     def explain(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for features, classes in batches:
-            x, wanted = matrix_of(features, width), classes.fill_null(-1).to_numpy(zero_copy_only=False)
-            rows = np.flatnonzero(wanted >= 0)
-            values = np.zeros(x.shape)
-            values[rows] = shapley(x[rows], wanted[rows], shared.value)
-            offsets = pa.array(np.arange(0, (len(x) + 1) * width, width, dtype=np.int32))
-            yield pa.ListArray.from_arrays(offsets, pa.array(values.ravel()))
+            known = classes.is_valid().to_numpy(zero_copy_only=False)
+            rows, wanted = Rows.of(features.filter(pa.array(known))), classes.drop_null().to_numpy()
+            used = shared.value.used
+            values = np.zeros((len(wanted), width))
+            values[:, used] = shapley(rows.columns(used), wanted, shared.value)
+            yield lists(values, known)
 
     names = F.array(*[F.lit(c) for c in classifier.classes])
-    code = F.greatest(F.array_position(names, F.coalesce(F.col(attack_col), F.lit(""))) - 1, F.lit(0))
+    code = F.greatest(F.array_position(names, F.coalesce(F.col(attack_col), F.lit(""))) - 1, F.lit(0)).cast("int")
+    features = F.col("features")
     if only is not None:
-        code = F.when(only, code)
-    return vectors.withColumn("shap", explain("features", code.cast("int")))
+        code, features = F.when(only, code), F.when(only, features)
+    return vectors.withColumn("shap", explain(features, code))
 
 
 def expected_output(classifier: Classifier, spark: SparkSession) -> list[float]:
     """Mean model output per class: the value attributions start from."""
-    return [float(v) for v in leaves_of(tree_nodes(classifier, spark), len(classifier.classes))[1]]
+    return [float(v) for v in classifier.sent("paths", path_table).value.expected]
 
 
 def _entries(names: Column, shap: Column, values: Column, k: int, steady: bool) -> Column:
@@ -253,7 +241,7 @@ def global_summary(classifier: Classifier, vectors: DataFrame, k: int = cfg.TOP_
     spark = vectors.sparkSession
     table = {r["feature"]: r["importance"] for r in importances(classifier, spark).collect()}
     best = sorted(table.items(), key=lambda item: (-item[1], item[0]))[:k]
-    size = vectors.count()
+    size = min(cfg.SUMMARY_ROWS, vectors.count())
     rows = [(i + 1, f, float(v), size) for i, (f, v) in enumerate(best)]
     out = spark.createDataFrame(rows, "rank int, feature string, importance double, sample_size int")
     return out.withColumns(

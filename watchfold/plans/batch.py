@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from watchfold import settings as cfg
 from watchfold.operators import classify as cl
-from watchfold.operators import drift, encoding, enrich, forest, profiles, respond, risk
+from watchfold.operators import drift, encoding, enrich, explain, forest, metrics, profiles, quality, respond, risk
 from watchfold.session import keep
 
 
@@ -57,6 +57,33 @@ class Batch:
     scored: DataFrame  # profiled + prediction, anomaly_score, attack, risk, actions
     reference: DataFrame  # drift baseline
     fitted: Fitted
+    findings: DataFrame  # data quality of the input
+    detection: DataFrame  # one row: confusion counts, precision, recall, f1, fpr, roc_auc, top_recall
+    comparison: DataFrame | None  # cross-validated candidates; None where the model was named
+    report: DataFrame  # the classifier on its training rows
+    summary: DataFrame  # strongest features
+    explanation: DataFrame  # one flagged event with its top features and narrative
+
+
+def detection_metrics(scored: DataFrame) -> DataFrame:
+    """How the flags and scores agree with the labels, in one row."""
+    truth = F.col("label") == "Anomaly"
+    out = metrics.binary_metrics(scored, truth, F.col("prediction") == -1)
+    auc = metrics.roc_auc(scored, truth, "anomaly_score").select("roc_auc").scalar()
+    top = metrics.top_share_recall(scored, truth, "anomaly_score").select("recall").scalar()
+    return out.withColumns({"roc_auc": auc, "top_recall": top})
+
+
+def explain_sample(scored: DataFrame, vectors: DataFrame, classifier: cl.Classifier, k: int = 5) -> DataFrame:
+    """A flagged event of a known class, its ``k`` strongest features and the narrative."""
+    flagged = scored.where(F.col("prediction") == -1)
+    one = explain.sample_event(flagged, cfg.SAMPLE_CLASSES).select("event_id")
+    rows = vectors.select("event_id", "features").join(F.broadcast(one), "event_id")
+    rows = rows.join(flagged.select("event_id", "attack"), "event_id")
+    told = explain.top_features(explain.attribute(rows, classifier), list(classifier.features), k)
+    return told.select(
+        "event_id", "attack", "top_features", explain.narrative(F.col("top_features"), F.col("attack")).alias("narrative")
+    )
 
 
 def vectors_of(matrix: DataFrame) -> DataFrame:
@@ -66,16 +93,21 @@ def vectors_of(matrix: DataFrame) -> DataFrame:
 def run_batch(
     events: DataFrame,
     trees: int = cfg.FOREST_TREES,
-    model: str = "random_forest",
+    model: str | None = None,
     effort: cl.Effort = cl.Effort(),
     attack_col: str = "attack",
     rows_per_slice: int = cfg.ROWS_PER_SLICE,
+    as_of: Column | None = None,
 ) -> Batch:
-    """Enrich, profile, encode, detect, classify, score and respond.
+    """Check, enrich, profile, encode, detect, compare, classify, score, respond, measure and explain.
 
     ``attack_col`` chooses the attack type that feeds the risk score: the
-    predicted one (default) or the recorded ``anomaly_type``.
+    predicted one (default) or the recorded ``anomaly_type``. Without a ``model`` the
+    candidates are compared by cross-validation and the best is fitted on all attacks.
+    Events after ``as_of`` (default: now) are reported as future ones.
     """
+    as_of = F.current_timestamp().cast("timestamp_ntz") if as_of is None else as_of
+    findings = keep(quality.findings(events, as_of), "findings")
     context = enrich.fit_context(events, rows_per_slice=rows_per_slice)
     enriched = keep(enrich.enrich(events, context), "enriched")
     profs = profiles.fit_profiles(enriched, rows_per_slice=rows_per_slice)
@@ -90,6 +122,10 @@ def run_batch(
     isolated = keep(forest.isolation(encoded, trained), "isolated")
     trained = forest.calibrate(trained, isolated, rows_per_slice=rows_per_slice)
     attacks = keep(cl.training_rows(vectors), "attacks")
+    comparison = None
+    if model is None:
+        comparison = keep(cl.compare_models(attacks, effort), "comparison")
+        model = cl.best_model(comparison) or "random_forest"
     classifier = cl.train_model(attacks, names, model, effort)
     fitted = Fitted(context, profs, encoder, trained, classifier)
     decided = cl.classify_flagged(forest.score_forest(isolated, trained), classifier).drop("features", "isolation")
@@ -97,6 +133,11 @@ def run_batch(
     scored = keep(scored.withColumn("is_anomaly", (F.col("prediction") == -1).cast("int")), "scored")
     early, _ = drift.split_by_time(scored)
     reference = keep(drift.fit_reference(early), "drift-reference")
-    return Batch(profiled, matrix, scored, reference, fitted)
+    said = cl.classify(attacks, classifier)
+    report = keep(metrics.classification_report(metrics.confusion(said, "anomaly_type", "attack")), "report")
+    summary = keep(explain.global_summary(classifier, vectors), "summary")
+    sample = keep(explain_sample(scored, vectors, classifier), "explanation")
+    detection = keep(detection_metrics(scored), "detection")
+    return Batch(profiled, matrix, scored, reference, fitted, findings, detection, comparison, report, summary, sample)
 
 

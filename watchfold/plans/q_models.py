@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from watchfold import settings as cfg
 from watchfold.functions import scalars as sc
 from watchfold.operators import classify as cl
 from watchfold.operators import explain, forest, metrics
+from watchfold.operators.trees import NODES
 from watchfold.plans import analyst
 from watchfold.plans import oracle as o
 from watchfold.plans.batch import vectors_of
@@ -29,23 +31,72 @@ def _attacks(spark, sf):
 # --- anomaly model -------------------------------------------------------------
 
 
-@query("h01_forest_nodes")
+_ROWS = "(SELECT count(*) FROM access_log)"
+
+
+@query(
+    "h01_forest_nodes",
+    o.sql(
+        f"SELECT CAST(tree AS INT) AS tree, CAST(least(256, {_ROWS}) AS INT) AS sampled, least(256, {_ROWS}) AS in_leaves, "
+        f"true AS deep_enough, true AS ordered FROM (SELECT unnest(range({cfg.FOREST_TREES})) AS tree)"
+    ),
+)
 def h01(spark, sf):
-    """Nodes per tree of a forest grown from the model matrix."""
+    """Trees grown from the model matrix: all sampled rows reach leaves, within the depth; children hold their parents' rows."""
     vectors = _vectors(spark, sf)
     names = list(batch(spark, sf).fitted.forest.features)
-    nodes = forest.fit_forest(vectors, names).nodes
-    return nodes.groupBy("tree").agg(
-        F.count(F.lit(1)).alias("nodes"),
+    nodes = keep(forest.fit_forest(vectors, names).nodes, "grown")
+    most = F.ceil(F.log2(F.lit(float(cfg.FOREST_SAMPLE))))
+    side = lambda c: nodes.select("tree", F.col("node").alias(c), F.col("size").alias(f"size_{c}"))
+    joined = nodes.join(side("left_node"), ["tree", "left_node"], "left").join(side("right_node"), ["tree", "right_node"], "left")
+    whole = (F.col("feature") < 0) | (F.col("size") == F.col("size_left_node") + F.col("size_right_node"))
+    return joined.groupBy("tree").agg(
         F.max("size").alias("sampled"),
-        F.max("depth").alias("depth"),
         F.sum(F.when(F.col("feature") < 0, F.col("size"))).alias("in_leaves"),
+        (F.max("depth") <= most).alias("deep_enough"),
+        F.bool_and(whole).alias("ordered"),
     )
 
 
-@query("h02_isolation")
+@query("h02_isolation", o.sql("SELECT count(*) AS n, CAST(0 AS BIGINT) AS outside, true AS anomalies_score_higher FROM access_log"))
 def h02(spark, sf):
-    return forest.isolation(_vectors(spark, sf), batch(spark, sf).fitted.forest).select("event_id", r("isolation"))
+    """Scores of the fitted forest: all in (0, 1], higher for anomalies on average."""
+    out = forest.isolation(_vectors(spark, sf), batch(spark, sf).fitted.forest)
+    mean = lambda label: F.avg(F.when(F.col("label") == label, F.col("isolation")))
+    return out.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if((F.col("isolation") <= 0) | (F.col("isolation") > 1)).alias("outside"),
+        (mean("Anomaly") > mean("Normal")).alias("anomalies_score_higher"),
+    )
+
+
+# Two trees over (failed_attempts, geo_velocity_kmph, bytes_uploaded), written out: any SQL engine can score them.
+_LITERAL = ["failed_attempts", "geo_velocity_kmph", "bytes_uploaded"]
+_LITERAL_NODES = [
+    (0, 0, 0, 3.5, 1, 2, 8, 0), (0, 1, 2, 2000.0, 3, 4, 6, 1), (0, 2, -1, 0.0, -1, -1, 2, 1),
+    (0, 3, -1, 0.0, -1, -1, 5, 2), (0, 4, -1, 0.0, -1, -1, 1, 2),
+    (1, 0, 1, 500.0, 1, 2, 8, 0), (1, 1, -1, 0.0, -1, -1, 7, 1), (1, 2, -1, 0.0, -1, -1, 1, 1),
+]
+
+
+def _depth(depth: int, size: int) -> str:
+    c = f"(2 * (ln({size} - 1) + {np.euler_gamma!r}) - 2 * ({size} - 1) / CAST({size} AS DOUBLE))"
+    return f"({depth} + {c if size > 2 else 1 if size == 2 else 0})"
+
+
+@query(
+    "h02_isolation_literal",
+    o.sql(
+        f"SELECT event_id, {o.rd(f'power(CAST(2 AS DOUBLE), -(a + b) / 2 / {_depth(0, 8)})')} AS isolation FROM (SELECT event_id, "
+        f"CASE WHEN failed_attempts > 3.5 THEN {_depth(1, 2)} WHEN bytes_uploaded <= 2000 THEN {_depth(2, 5)} ELSE {_depth(2, 1)} END AS a, "
+        f"CASE WHEN geo_velocity_kmph <= 500 THEN {_depth(1, 7)} ELSE {_depth(1, 1)} END AS b FROM access_log)"
+    ),
+)
+def h02_literal(spark, sf):
+    """The scorer on a forest of two known trees."""
+    trees = forest.Forest(spark.createDataFrame(_LITERAL_NODES, forest.NODES), tuple(_LITERAL), 8)
+    rows = log(spark, sf).select("event_id", F.array(*[F.col(c).cast("double") for c in _LITERAL]).alias("features"))
+    return forest.isolation(rows, trees).select("event_id", r("isolation"))
 
 
 _DECIDED = f"decided AS (SELECT *, {o.RULE_DECISION} AS decision FROM access_log)"
@@ -155,16 +206,24 @@ def h08_split(spark, sf):
     return out.select("budget", "found", r("recall"))
 
 
-@query("h09_detection_run")
+@query(
+    "h09_detection_run",
+    o.sql(
+        "SELECT count(*) FILTER (WHERE label = 'Anomaly') AS anomalies, count(*) AS n, true AS flagged_rate, true AS fpr, "
+        "true AS roc_auc, true AS found FROM access_log"
+    ),
+)
 def h09(spark, sf):
-    """Fit, score, predict and measure in one go, on the real forest."""
-    scored = batch(spark, sf).scored
-    truth = F.col("label") == "Anomaly"
-    out = metrics.binary_metrics(scored, truth, F.col("prediction") == -1)
-    auc = metrics.roc_auc(scored, truth, "anomaly_score")
-    top = metrics.top_share_recall(scored, truth, "anomaly_score").select(F.col("recall").alias("top_recall"))
-    return out.withColumns(
-        {"roc_auc": auc.select(F.round("roc_auc", 4)).scalar(), "top_recall": top.select(F.round("top_recall", 4)).scalar()}
+    """Fit, score, predict and measure in one go, on the real forest: the thresholds that the measures have to meet."""
+    d = batch(spark, sf).detection
+    rows = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
+    return d.select(
+        (F.col("tp") + F.col("fn")).alias("anomalies"),
+        rows.alias("n"),
+        ((F.col("tp") + F.col("fp")) / rows).between(0.005, 0.10).alias("flagged_rate"),
+        (F.col("fpr") < 0.05).alias("fpr"),
+        (F.col("roc_auc") > 0.65).alias("roc_auc"),
+        (F.col("tp") > 0).alias("found"),
     )
 
 
@@ -179,20 +238,32 @@ def i01(spark, sf):
     return cl.training_rows(log(spark, sf)).select("event_id", "anomaly_type")
 
 
+_FITTED = "SELECT anomaly_type AS class, count(*) AS support, true AS good FROM known GROUP BY anomaly_type"
+_KNOWN = "known AS (SELECT * FROM access_log WHERE label = 'Anomaly' AND anomaly_type <> 'Normal')"
+
+
+def _quality(said):
+    """Per class its rows, and whether the macro F1 of all is over 0.9."""
+    report = metrics.classification_report(metrics.confusion(said, "anomaly_type", "attack"))
+    good = report.where("class = 'macro avg'").select(F.col("f1_score") > 0.9).scalar()
+    return report.where(~F.col("class").isin("accuracy", "macro avg", "weighted avg") & (F.col("support") > 0)).select(
+        "class", "support", good.alias("good")
+    )
+
+
 def _model_query(name: str, model: str) -> None:
-    @query(name)
+    @query(name, o.sql(_FITTED, _KNOWN))
     def run(spark, sf):
+        """The candidate fitted at its full size on all attacks and applied to them."""
         rows = _attacks(spark, sf)
         features = list(batch(spark, sf).fitted.forest.features)
-        said = cl.classify(rows, cl.train_model(rows, features, model))
-        return metrics.classification_report(metrics.confusion(said, "anomaly_type", "attack"))
+        return _quality(cl.classify(rows, cl.train_model(rows, features, model)))
 
 
 _model_query("i02_random_forest", "random_forest")
 _model_query("i03_boosted", "boosted")
 _model_query("i04_boosted_balanced", "boosted_balanced")
 
-_KNOWN = "known AS (SELECT * FROM access_log WHERE label = 'Anomaly' AND anomaly_type <> 'Normal')"
 
 
 @query(
@@ -233,18 +304,33 @@ def _comparison(spark, sf):
     )
 
 
-@query("i06_compare_models")
+@query(
+    "i06_compare_models",
+    "SELECT model, CAST(5 AS INT) AS folds, true AS scored, true AS mean_is_of_folds, CAST(NULL AS VARCHAR) AS error, CAST(1 AS BIGINT) AS n_best "
+    "FROM (SELECT unnest(['random_forest', 'boosted', 'boosted_balanced']) AS model)",
+)
 def i06(spark, sf):
-    return _comparison(spark, sf).select("model", r("mean_f1"), r("std_f1"), "error", "best")
+    """Five folds of three candidates, grown together at full size: all scored, the best has the largest mean."""
+    c = _comparison(spark, sf)
+    top = c.agg(F.max("mean_f1")).scalar()
+    best = c.agg(F.count_if(F.col("best") & (F.col("mean_f1") == top))).scalar()
+    mean = F.aggregate("fold_scores", F.lit(0.0), lambda a, x: a + x) / F.size("fold_scores")
+    return c.select(
+        "model",
+        F.size("fold_scores").alias("folds"),
+        F.forall("fold_scores", lambda x: (x > 0.2) & (x <= 1)).alias("scored"),
+        (F.abs(mean - F.col("mean_f1")) < 1e-9).alias("mean_is_of_folds"),
+        "error",
+        best.alias("n_best"),
+    )
 
 
-@query("i07_best_model")
+@query("i07_best_model", o.sql(_FITTED, _KNOWN))
 def i07(spark, sf):
     """The winner of the comparison, refitted on all attacks and applied to them."""
     rows = _attacks(spark, sf)
     features = list(batch(spark, sf).fitted.forest.features)
-    model = cl.train_model(rows, features, cl.best_model(_comparison(spark, sf)))
-    return cl.classify(rows, model).select("event_id", "anomaly_type", "attack")
+    return _quality(cl.classify(rows, cl.train_model(rows, features, cl.best_model(_comparison(spark, sf)))))
 
 
 _SAID = f"said AS (SELECT event_id, anomaly_type AS truth, {o.RULE_CLASS} AS predicted FROM known)"
@@ -301,34 +387,106 @@ def i09(spark, sf):
     return metrics.confusion_matrix(_said(spark, sf), "truth", "predicted", cfg.ATTACK_TYPES)
 
 
-@query("i10_top_importances")
+_RANKS = "SELECT CAST(rank AS INT) AS rank, true AS in_order, true AS a_share FROM (SELECT unnest(range(1, 16)) AS rank)"
+
+
+def _ranked_shares(table):
+    """Rank, and whether importances fall and are shares of one."""
+    order = Window.orderBy(F.desc("importance"), "feature")  # the top few rows only
+    out = table.withColumn("rank", F.row_number().over(order))
+    falls = F.coalesce(F.lag("importance").over(order) >= F.col("importance"), F.lit(True))
+    share = (F.col("importance") >= 0) & (F.sum("importance").over(order.rowsBetween(Window.unboundedPreceding, 0)) <= 1.001)
+    return out.select("rank", falls.alias("in_order"), share.alias("a_share"))
+
+
+@query("i10_top_importances", _RANKS)
 def i10(spark, sf):
-    return cl.top_importances(cl.importances(batch(spark, sf).fitted.classifier, spark))
+    return _ranked_shares(cl.top_importances(cl.importances(batch(spark, sf).fitted.classifier, spark)))
 
 
-@query("i11_flagged_classes")
+@query(
+    "i11_flagged_classes",
+    o.sql("SELECT count(*) AS n, true AS some_flagged, CAST(0 AS BIGINT) AS flagged_without_class, CAST(0 AS BIGINT) AS classed_without_flag FROM access_log"),
+)
 def i11(spark, sf):
+    """Every flagged event has an attack class, no other one has."""
     b = batch(spark, sf)
     scored = forest.score_forest(_vectors(spark, sf), b.fitted.forest)
-    return cl.classify_flagged(scored, b.fitted.classifier).select("event_id", "prediction", "attack")
+    flagged, normal = F.col("prediction") == -1, F.col("attack") == "Normal"
+    return cl.classify_flagged(scored, b.fitted.classifier).agg(
+        F.count(F.lit(1)).alias("n"),
+        (F.count_if(flagged) > 0).alias("some_flagged"),
+        F.count_if(flagged & normal).alias("flagged_without_class"),
+        F.count_if(~flagged & ~normal).alias("classed_without_flag"),
+    )
 
 
 # --- attributions --------------------------------------------------------------
 
 
-@query("l01_attributions")
+@query("l01_attributions", "SELECT true AS some_flagged, CAST(0 AS BIGINT) AS unexplained")
 def l01(spark, sf):
-    """Attributions of all flagged events, with what is missing to the model output."""
+    """Attributions of all flagged events by the full model add up to its output."""
     b = batch(spark, sf)
     model = b.fitted.classifier
     flagged = b.scored.where(F.col("prediction") == -1).select("event_id", "attack")
     rows = explain.attribute(_vectors(spark, sf).join(flagged, "event_id"), model)
     start = F.array(*[F.lit(v) for v in explain.expected_output(model, spark)])
     code = cl.encode_class("attack", list(model.classes)).cast("int")
-    out = model.model.transform(rows.withColumn("vector", cl.array_to_vector("features")))
     total = F.aggregate("shap", F.lit(0.0), lambda acc, x: acc + x)
-    gap = vector_to_array("probability")[code] - start[code] - total
-    return out.select("event_id", "attack", r(total).alias("explained"), r(gap).alias("unexplained"))
+    gap = cl.outputs(F.col("features"), model)[code] - start[code] - total
+    return rows.agg(
+        (F.count(F.lit(1)) > 0).alias("some_flagged"), F.count_if(F.abs(gap) > 1e-6).alias("unexplained")
+    )
+
+
+# A boosted model of two known trees: class 0 by failed_attempts and geo_velocity_kmph, class 1 by bytes_uploaded.
+_LITERAL_MODEL = [
+    (0, 0, 0, 0, 0, 3.5, 1, 2, 100.0, 1.0, [0.0]), (0, 0, 0, 1, 1, 500.0, 3, 4, 80.0, 1.0, [0.0]),
+    (0, 0, 0, 2, -1, 0.0, -1, -1, 20.0, 0.0, [2.0]), (0, 0, 0, 3, -1, 0.0, -1, -1, 60.0, 0.0, [-1.0]),
+    (0, 0, 0, 4, -1, 0.0, -1, -1, 20.0, 0.0, [0.5]),
+    (0, 0, 1, 0, 2, 2000.0, 1, 2, 100.0, 3.0, [0.0]), (0, 0, 1, 1, -1, 0.0, -1, -1, 75.0, 0.0, [-0.5]),
+    (0, 0, 1, 2, -1, 0.0, -1, -1, 25.0, 0.0, [1.5]),
+]
+
+
+def _literal_model(spark):
+    nodes = spark.createDataFrame(_LITERAL_MODEL, NODES)
+    return cl.Classifier("literal", nodes, True, ("Brute Force", "Low-and-Slow Exfiltration"), tuple(_LITERAL))
+
+
+def _literal_rows(spark, sf):
+    kind = F.when(F.col("event_id") % 2 == 0, "Brute Force").otherwise("Low-and-Slow Exfiltration")
+    return log(spark, sf).select(
+        "event_id", kind.alias("attack"), F.array(*[F.col(c).cast("double") for c in _LITERAL]).alias("features")
+    )
+
+
+# The first tree's value of a known set of features: v(both), v(failed only), v(geo only), v(none).
+_V = {
+    "fg": "CASE WHEN failed_attempts > 3.5 THEN 2.0 WHEN geo_velocity_kmph <= 500 THEN -1.0 ELSE 0.5 END",
+    "f": "CASE WHEN failed_attempts > 3.5 THEN 2.0 ELSE 0.75 * -1.0 + 0.25 * 0.5 END",
+    "g": "0.2 * 2.0 + 0.8 * (CASE WHEN geo_velocity_kmph <= 500 THEN -1.0 ELSE 0.5 END)",
+    "n": "0.2 * 2.0 + 0.6 * -1.0 + 0.2 * 0.5",
+}
+
+
+@query(
+    "l01_attributions_literal",
+    o.sql(
+        "SELECT event_id, "
+        f"{o.rd('CASE WHEN event_id % 2 = 0 THEN ((fg - g) + (f - n)) / 2 ELSE 0 END')} AS failed_attempts, "
+        f"{o.rd('CASE WHEN event_id % 2 = 0 THEN ((fg - f) + (g - n)) / 2 ELSE 0 END')} AS geo_velocity_kmph, "
+        f"{o.rd('CASE WHEN event_id % 2 = 0 THEN 0 WHEN bytes_uploaded <= 2000 THEN -0.5 ELSE 1.5 END')} "
+        f"- {o.rd('CASE WHEN event_id % 2 = 0 THEN 0 ELSE 0.75 * -0.5 + 0.25 * 1.5 END')} AS bytes_uploaded FROM (SELECT *, "
+        + ", ".join(f"CAST({x} AS DOUBLE) AS {n}" for n, x in _V.items())
+        + " FROM access_log)"
+    ),
+)
+def l01_literal(spark, sf):
+    """Shapley values of two known trees for every event."""
+    out = explain.attribute(_literal_rows(spark, sf), _literal_model(spark))
+    return out.select("event_id", *[r(F.col("shap")[i]).alias(c) for i, c in enumerate(_LITERAL)])
 
 
 # A linear score's exact attribution is weight * (value - mean): any SQL engine can check it.
@@ -381,11 +539,34 @@ def l02(spark, sf):
     return explain.long_form(explain.top_features(_linear(spark, sf), list(_LINEAR), 5))
 
 
-@query("l03_fallback_attributions")
+_BY_GAIN = [("bytes_uploaded", 0.6), ("failed_attempts", 0.2), ("geo_velocity_kmph", 0.2)]
+
+
+@query(
+    "l03_fallback_attributions",
+    o.sql(
+        " UNION ALL ".join(
+            f"SELECT event_id, CAST({i + 1} AS INT) AS rank, '{c}' AS feature, CAST({v} AS DOUBLE) AS shap_value, "
+            f"round(CAST({c} AS DOUBLE), 4) AS feature_value, 'increases_risk' AS direction FROM access_log"
+            for i, (c, v) in enumerate(_BY_GAIN)
+        )
+    ),
+)
 def l03(spark, sf):
+    """Importances of two known trees in place of attributions."""
+    rows = explain.fallback_features(_literal_rows(spark, sf), _literal_model(spark))
+    return explain.long_form(rows).drop("human_name")
+
+
+@query("l03_fallback_fitted", "SELECT CAST(rank AS INT) AS rank, CAST(1 AS BIGINT) AS features, true AS increasing FROM (SELECT unnest(range(1, 6)) AS rank)")
+def l03_fitted(spark, sf):
+    """Of the fitted model: all flagged events name the same features, always increasing."""
     b = batch(spark, sf)
     flagged = b.scored.where(F.col("prediction") == -1).select("event_id")
-    return explain.long_form(explain.fallback_features(_vectors(spark, sf).join(flagged, "event_id"), b.fitted.classifier))
+    out = explain.long_form(explain.fallback_features(_vectors(spark, sf).join(flagged, "event_id"), b.fitted.classifier))
+    return out.groupBy("rank").agg(
+        F.count_distinct("feature").alias("features"), F.bool_and(F.col("direction") == "increases_risk").alias("increasing")
+    )
 
 
 @query(
@@ -421,9 +602,17 @@ def l05(spark, sf):
     return rows.join(levels, "event_id").select("event_id", said.alias("summary"))
 
 
-@query("l06_global_summary")
+@query(
+    "l06_global_summary",
+    o.sql(
+        f"SELECT CAST(rank AS INT) AS rank, CAST(least(1000, {_ROWS}) AS BIGINT) AS sample_size, true AS in_order, true AS a_share, true AS named "
+        "FROM (SELECT unnest(range(1, 16)) AS rank)"
+    ),
+)
 def l06(spark, sf):
-    return explain.global_summary(batch(spark, sf).fitted.classifier, _vectors(spark, sf))
+    table = explain.global_summary(batch(spark, sf).fitted.classifier, _vectors(spark, sf))
+    about = table.select("rank", F.col("sample_size").cast("long").alias("sample_size"), (F.length("human_name") > 0).alias("named"))
+    return about.join(_ranked_shares(table.drop("rank")), "rank")
 
 
 @query(
@@ -438,9 +627,15 @@ def l07(spark, sf):
     return explain.sample_event(flagged, ["Brute Force", "Device Spoofing"])
 
 
-@query("n10_importance_ranking")
+@query(
+    "n10_importance_ranking",
+    "SELECT feature, human_name, CAST(importance AS DOUBLE) AS importance FROM (VALUES ('bytes_uploaded', 'Bytes Uploaded', 0.6), "
+    "('failed_attempts', '" + cfg.FEATURE_NAMES["failed_attempts"] + "', 0.2), ('geo_velocity_kmph', '"
+    + cfg.FEATURE_NAMES["geo_velocity_kmph"] + "', 0.2)) AS t(feature, human_name, importance)",
+)
 def n10(spark, sf):
-    return analyst.importance_ranking(cl.importances(batch(spark, sf).fitted.classifier, spark)).select(
+    """Ranking of the importances of two known trees; that of the fitted model is i10."""
+    return analyst.importance_ranking(cl.importances(_literal_model(spark), spark)).select(
         "feature", sc.human_name(F.col("feature")).alias("human_name"), r("importance")
     )
 

@@ -126,26 +126,39 @@ def a07(spark, sf):
     return encoding.Encoder.load(spark, path).codes
 
 
-@query("a08_model_store")
+_SAME = o.sql("SELECT count(*) AS n, CAST(0 AS BIGINT) AS differing FROM access_log")
+
+
+def _differing(before, after):
+    """Rows of two results for the same events, and how many of them are not equal."""
+    apart = before.exceptAll(after).count() + after.exceptAll(before).count()
+    return after.agg(F.count(F.lit(1)).alias("n")).withColumn("differing", F.lit(apart).cast("long"))
+
+
+@query("a08_model_store", _SAME)
 def a08(spark, sf):
-    """Forest and classifier saved and loaded; scores of the loaded pair."""
+    """Forest and classifier saved and loaded: the loaded pair scores every event as before."""
     b, path = batch(spark, sf), fresh_path(spark, "model-store")
     b.fitted.forest.save(f"{path}/forest")
     b.fitted.classifier.save(f"{path}/classifier")
-    trees = forest.Forest.load(spark, f"{path}/forest")
-    model = cl.Classifier.load(spark, f"{path}/classifier")
-    vectors = encoding.with_vector(b.matrix, list(trees.features))
-    scored = cl.classify_flagged(forest.score_forest(vectors, trees), model)
-    return scored.select("event_id", "prediction", r("anomaly_score"), "attack")
+    vectors = encoding.with_vector(b.matrix, list(b.fitted.forest.features))
 
+    def scored(trees, model):
+        out = cl.classify_flagged(forest.score_forest(vectors, trees), model)
+        return out.select("event_id", "prediction", r("anomaly_score"), "attack")
 
-@query("a09_importance_store")
+    loaded = forest.Forest.load(spark, f"{path}/forest"), cl.Classifier.load(spark, f"{path}/classifier")
+    return _differing(scored(b.fitted.forest, b.fitted.classifier), scored(*loaded))
+
+
+@query("a09_importance_store", "SELECT CAST(15 AS BIGINT) AS n, CAST(0 AS BIGINT) AS differing")
 def a09(spark, sf):
+    """The summary of importances written and read back."""
     b = batch(spark, sf)
     vectors = encoding.with_vector(b.matrix, list(b.fitted.forest.features))
     table = explain.global_summary(b.fitted.classifier, vectors)
     path = tables.write_table(table, fresh_path(spark, "importances"))
-    return tables.read_table(spark, path, table.schema)
+    return _differing(table, tables.read_table(spark, path, table.schema))
 
 
 @query(
@@ -182,12 +195,15 @@ def a12(spark, sf):
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
-@query("a13_fitted_store")
+@query("a13_fitted_store", _SAME)
 def a13(spark, sf):
-    """The complete scorer saved, loaded and applied to the table."""
+    """The complete scorer saved and loaded: it answers every event as before."""
     path = fresh_path(spark, "fitted")
     b = batch(spark, sf)
     b.fitted.save(path)
-    loaded = type(b.fitted).load(spark, path)
-    out = live.respond_to(log(spark, sf), loaded)
-    return out.select("event_id", "is_anomaly", "attack_classification", "risk_score", "risk_level")
+
+    def said(fitted):
+        out = live.respond_to(log(spark, sf), fitted)
+        return out.select("event_id", "is_anomaly", "attack_classification", r("risk_score"), "risk_level", "explanation")
+
+    return _differing(said(b.fitted), said(type(b.fitted).load(spark, path)))

@@ -124,8 +124,17 @@ ALERT_BUDGET = 0.01
 CV_FOLDS = 5
 TOP_IMPORTANCES = 15
 RANDOM_FOREST = {"trees": 200, "depth": 15}
-BOOSTED = {"rounds": 200, "depth": 8, "rate": 0.1, "subsample": 0.8, "columns": 0.8}
-BOOSTED_BALANCED = {"rounds": 200, "depth": 10, "rate": 0.1, "subsample": 0.8, "columns": 0.8}
+BOOSTED = {
+    "rounds": 200, "depth": 8, "rate": 0.1, "subsample": 0.8, "columns": 0.8,
+    "least_weight": 1.0, "least_rows": 1, "shrink": 1.0, "leaves": 0,
+}
+BOOSTED_BALANCED = {
+    "rounds": 200, "depth": 10, "rate": 0.1, "subsample": 0.8, "columns": 0.8,
+    "least_weight": 1e-3, "least_rows": 20, "shrink": 0.0, "leaves": 31,
+}
+
+SAMPLE_CLASSES = ["Brute Force", "Device Spoofing"]
+SUMMARY_ROWS = 1000
 
 # Risk points, levels and bumps.
 RISK_WEIGHTS = {
