@@ -12,7 +12,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from watchfold.operators import drift, enrich, forest, metrics, profiles, quality, risk, running  # noqa: E402
 from watchfold.plans import analyst  # noqa: E402
-from watchfold.plans.batch import vectors_of  # noqa: E402
 from watchfold.plans.registry import rule_score, rule_scored  # noqa: E402
 from watchfold.operators import encoding  # noqa: E402
 from watchfold.session import keep, local_session, ship_code  # noqa: E402
@@ -51,11 +50,12 @@ def main() -> None:
 
     def encode():
         rows = state["profiled"]
-        state["matrix"] = keep(encoding.apply_encoder(rows, encoding.fit_encoder(rows)), "bench-matrix")
+        encoder = encoding.fit_encoder(rows)
+        state["names"] = encoding.feature_list(encoder, rows.columns)
+        state["matrix"] = keep(encoding.apply_sparse(rows, encoder), "bench-matrix")
 
     def isolation_forest():
-        vectors = vectors_of(state["matrix"])
-        names = encoding.feature_names(state["matrix"])
+        vectors, names = state["matrix"], state["names"]
         trees = forest.fit_forest(vectors, names)
         scored = keep(forest.isolation(vectors, trees), "bench-isolated")
         state["scored"] = keep(forest.score_forest(scored, forest.calibrate(trees, scored)), "bench-scored")

@@ -7,18 +7,24 @@ from pyspark.sql import functions as F
 
 from watchfold.operators import classify as cl
 from watchfold.operators import drift, encoding, explain, forest, metrics
-from watchfold.plans.batch import vectors_of
+from watchfold.operators.sparse import sparse
 
 def truth():
     return F.col("label") == "Anomaly"
 
 
 def test_matrix(batch):
-    names = encoding.feature_names(batch.matrix)
+    names = batch.fitted.forest.features
     assert len(names) > 100
     assert not {"event_id", "entity_id", "source_ip", "label", "anomaly_type"} & set(names)
-    worst = batch.matrix.select(F.greatest(*[F.max(F.isnan(f"`{n}`").cast("int")) for n in names])).first()[0]
-    assert worst == 0
+    cells = batch.matrix.select(F.explode(F.arrays_zip("features.at", "features.x")).alias("c")).select("c.*")
+    ends = cells.agg(F.min("at"), F.max("at"), F.count_if(F.isnan("x") | (F.col("x") == 0))).first()
+    assert ends[0] >= 0 and ends[1] < len(names) and ends[2] == 0
+    # The columns of the dense form, in the same order.
+    dense = encoding.apply_encoder(batch.profiled, batch.fitted.encoder)
+    assert encoding.feature_names(dense) == list(names)
+    wide = encoding.with_vector(dense, list(names)).select("event_id", sparse(F.col("features")).alias("features"))
+    assert wide.exceptAll(batch.matrix.select("event_id", "features")).isEmpty()
 
 
 def test_detection(batch):
@@ -34,7 +40,7 @@ def test_detection(batch):
 
 
 def test_forest_is_repeatable_and_samples_without_replacement(batch):
-    vectors = vectors_of(batch.matrix)
+    vectors = batch.matrix
     names = list(batch.fitted.forest.features)
     a = forest.fit_forest(vectors, names, trees=7, sample=64)
     b = forest.fit_forest(vectors, names, trees=7, sample=64)
@@ -44,11 +50,27 @@ def test_forest_is_repeatable_and_samples_without_replacement(batch):
     assert len(sizes) == 7 and all(s["n"] == s["d"] == 64 for s in sizes)
 
 
-def test_forest_sampling_of_large_tables(batch):
-    """The single-draw branch, used when few rows of many are wanted."""
-    vectors = vectors_of(batch.matrix)
-    drawn = forest.sample_trees(vectors, 10_000, 3, 1, 42)
-    assert drawn.groupBy("tree").count().agg(F.max("count")).first()[0] <= 1
+@pytest.mark.parametrize("rows", [40, 1_000, 60_000])
+def test_samples_follow_one_law(spark, rows):
+    """From tables smaller than the sample to far larger ones: exact sizes, and trees that draw independently."""
+    df = spark.range(rows).select(F.col("id").alias("event_id"), F.array(F.lit(1.0)).alias("features"))
+    drawn = forest.sample_trees(df, rows, 60, 50, 7).toPandas()
+    size = min(50, rows)
+    assert (drawn.groupby("tree")["event_id"].nunique() == size).all() and len(drawn) == 60 * size
+    # Rows are shared by pairs of trees as often as independent draws share them.
+    shared = drawn.merge(drawn, on="event_id").query("tree_x < tree_y").shape[0]
+    expected = 60 * 59 / 2 * size * size / rows
+    assert abs(shared - expected) < 5 * np.sqrt(expected) + 1e-9 if rows > 50 else shared == expected
+    # No part of the table is preferred.
+    if rows > 50:
+        assert abs(drawn["event_id"].mean() / rows - 0.5) < 0.03
+
+
+def test_too_few_candidates_are_drawn_anew(spark, monkeypatch):
+    monkeypatch.setattr(forest, "_OVERSAMPLE", 0.3)
+    df = spark.range(5_000).select(F.col("id").alias("event_id"), F.array(F.lit(1.0)).alias("features"))
+    drawn = forest.sample_trees(df, 5_000, 9, 40, 7)
+    assert drawn.count() == 9 * 40 and drawn.distinct().count() == 9 * 40
 
 
 def test_isolation_score_of_an_outlier(spark):
@@ -65,7 +87,7 @@ def test_isolation_score_of_an_outlier(spark):
 
 def test_classifier(batch):
     assert len(batch.fitted.classifier.classes) == 7
-    rows = cl.training_rows(vectors_of(batch.matrix))
+    rows = cl.training_rows(batch.matrix)
     said = cl.classify(rows, batch.fitted.classifier)
     assert metrics.macro_f1(metrics.confusion(said, "anomaly_type", "attack")) > 0.90
     flagged = batch.scored.groupBy("prediction").agg(F.count_if(F.col("attack") == "Normal").alias("n")).collect()
@@ -75,7 +97,7 @@ def test_classifier(batch):
 def test_attributions_add_up(batch, spark):
     model = batch.fitted.classifier
     flagged = batch.scored.where("prediction = -1").select("event_id", "attack")
-    rows = explain.attribute(vectors_of(batch.matrix).join(flagged, "event_id"), model)
+    rows = explain.attribute(batch.matrix.join(flagged, "event_id"), model)
     start = F.array(*[F.lit(v) for v in explain.expected_output(model, spark)])
     code = cl.encode_class("attack", list(model.classes)).cast("int")
     total = F.aggregate("shap", F.lit(0.0), lambda a, x: a + x)
@@ -155,7 +177,7 @@ def test_comparison_of_chosen_candidates_with_one_that_cannot_grow(spark, monkey
 
 
 def test_folds_are_stratified(batch):
-    rows = cl.training_rows(vectors_of(batch.matrix))
+    rows = cl.training_rows(batch.matrix)
     sizes = cl.stratified_folds(rows).groupBy("anomaly_type", "fold").count().toPandas()
     spread = sizes.groupby("anomaly_type")["count"].agg(lambda s: s.max() - s.min())
     assert (spread <= 1).all() and sizes["fold"].nunique() == 5

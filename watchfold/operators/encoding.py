@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -33,15 +34,15 @@ class Encoder:
     def load(spark: SparkSession, path: str) -> "Encoder":
         return Encoder(spark.read.parquet(f"{path}/codes"), spark.read.parquet(f"{path}/scaler"))
 
-    def categories(self) -> dict[str, list[str]]:
-        """Sorted values per encoded column; refuses unbounded vocabularies."""
-        limit = cfg.DUMMY_COLUMNS
-        if self.codes.limit(limit + 1).count() > limit:
-            raise ValueError(
-                f"more than {limit} category values: one column per value is not sensible, use sparse_dummies()"
-            )
+    def sizes(self) -> dict[str, int]:
+        """Number of values per encoded column."""
+        return {r["column_name"]: r["count"] for r in self.codes.groupBy("column_name").count().collect()}
+
+    def categories(self, columns: list[str] | None = None) -> dict[str, list[str]]:
+        """Sorted values per encoded column, for tables that have a column per value."""
+        codes = self.codes if columns is None else self.codes.where(F.col("column_name").isin(*columns))
         out: dict[str, list[str]] = {}
-        for r in self.codes.orderBy("column_name", "code").collect():
+        for r in codes.orderBy("column_name", "code").collect():
             out.setdefault(r["column_name"], []).append(r["value"])
         return out
 
@@ -79,7 +80,7 @@ def fit_codes(df: DataFrame) -> DataFrame:
     names = [c for c in cfg.LABEL_COLUMNS + cfg.ONEHOT_COLUMNS if c in df.columns]
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), _text(df, c).alias("value")) for c in names])
     values = df.select(F.explode(pairs).alias("p")).select("p.*").where(F.col("value").isNotNull()).distinct()
-    # Distinct values only: few, or categories() refuses them.
+    # Distinct values only.
     rank = F.row_number().over(Window.partitionBy("column_name").orderBy("value")) - 1
     return values.withColumn("code", rank)
 
@@ -116,9 +117,8 @@ def scaled(column: str, mean: float, std: float) -> Column:
     return (F.col(column).cast("double") - F.lit(mean)) / F.lit(std if std else 1.0)
 
 
-def _matrix_columns(ready: DataFrame, encoder: Encoder) -> dict[str, Column]:
-    """Feature name -> expression over a prepared table."""
-    cats, scales = encoder.categories(), encoder.scales()
+def _numbers(ready: DataFrame, encoder: Encoder, label: Callable[[str], Column]) -> dict[str, Column]:
+    """The features that are not dummies, in their order; ``label`` gives the code of a label column."""
     out: dict[str, Column] = {}
     known = set(ready.columns)
     for c in cfg.ORDINAL_LEVELS:
@@ -126,13 +126,20 @@ def _matrix_columns(ready: DataFrame, encoder: Encoder) -> dict[str, Column]:
             out[c] = ordinal(c)
     for c in cfg.LABEL_COLUMNS:
         if c in known:
-            out[c] = label_code(ready, c, cats.get(c, []))
+            out[c] = label(c)
     for c in cfg.CALENDAR_COLUMNS:
         out[c] = F.col(c)
-    for c, (mean, std) in scales.items():
+    for c, (mean, std) in sorted(encoder.scales().items(), key=lambda s: cfg.SCALE_COLUMNS.index(s[0])):
         out[c] = sc.finite(scaled(c, mean, std)) if c in known else F.lit(0.0)
+    return out
+
+
+def _matrix_columns(ready: DataFrame, encoder: Encoder) -> dict[str, Column]:
+    """Feature name -> expression over a prepared table."""
+    cats = encoder.categories()
+    out = _numbers(ready, encoder, lambda c: label_code(ready, c, cats.get(c, [])))
     for c in cfg.ONEHOT_COLUMNS:
-        if c in known:
+        if c in ready.columns:
             out |= dummies(c, cats.get(c, []))
     return {n: x.cast("double") for n, x in out.items()}
 
@@ -146,15 +153,84 @@ def apply_encoder(df: DataFrame, encoder: Encoder) -> DataFrame:
     return ready.select(*keys, *features, *targets)
 
 
-def encode_beside(df: DataFrame, encoder: Encoder, names: list[str], column: str = "features") -> DataFrame:
-    """The rows as they are plus their features as one array, in the order of ``names``.
+def _with_codes(ready: DataFrame, encoder: Encoder) -> tuple[DataFrame, dict[str, Column], dict[str, int]]:
+    """The table, the code of each label and one-hot column (null: unknown) and the number of its values.
 
-    Models then run on the same rows, so nothing has to be joined back by key.
+    The values of a column with few are written into the plan; a larger vocabulary is
+    joined, by broadcast or by shuffle as its size asks for.
+    """
+    sizes = encoder.sizes()
+    columns = [c for c in cfg.LABEL_COLUMNS + cfg.ONEHOT_COLUMNS if c in ready.columns]
+    few = encoder.categories([c for c in columns if sizes.get(c, 0) <= cfg.LITERAL_VALUES])
+    codes: dict[str, Column] = {}
+    for c in columns:
+        if sizes.get(c, 0) <= cfg.LITERAL_VALUES:
+            pairs = [F.lit(x) for i, v in enumerate(few.get(c, [])) for x in (v, i)]
+            codes[c] = F.create_map(*pairs)[_text(ready, c)] if pairs else F.lit(None).cast("int")
+            continue
+        values = encoder.codes.where(F.col("column_name") == c).select(
+            F.col("value").alias(f"_value_{c}"), F.col("code").alias(f"_code_{c}")
+        )
+        ready = ready.join(values, _text(ready, c) == F.col(f"_value_{c}"), "left").drop(f"_value_{c}")
+        codes[c] = F.col(f"_code_{c}")
+    return ready, codes, {c: sizes.get(c, 0) for c in columns}
+
+
+def encode_beside(df: DataFrame, encoder: Encoder, column: str = "features") -> DataFrame:
+    """The rows as they are plus their features as sorted (index, value) pairs, zeros left out.
+
+    The indices are those of ``feature_table``; no column is made per value, so a
+    vocabulary may have any size. Models run on the same rows: nothing has to be joined
+    back by key.
     """
-    ready = prepare(df.withColumn("_row", F.struct(*df.columns)))
-    known = _matrix_columns(ready, encoder)
-    features = F.array(*[known.get(n, F.lit(0.0)) for n in names])
-    return ready.select("_row.*", features.alias(column))
+    kept = F.struct(*[F.col(c) for c in df.columns])
+    ready, codes, sizes = _with_codes(prepare(df.withColumn("_row", kept)), encoder)
+    numbers = _numbers(ready, encoder, lambda c: F.coalesce(codes[c], F.lit(-1)))
+    pairs = [(F.lit(i), x.cast("double")) for i, x in enumerate(numbers.values())]
+    at = len(numbers)
+    for c in cfg.ONEHOT_COLUMNS:
+        if c in sizes:
+            # The first value in sort order has no dummy.
+            pairs.append((F.when(codes[c] > 0, codes[c] + F.lit(at - 1)), F.lit(1.0)))
+            at += max(sizes[c] - 1, 0)
+    cells = F.array(*[F.struct(i.cast("int").alias("at"), x.alias("x")) for i, x in pairs])
+    cells = F.filter(cells, lambda p: p["at"].isNotNull() & p["x"].isNotNull() & (p["x"] != 0))
+    return ready.select("_row", cells.alias("_cells")).select(
+        "_row.*", F.struct(F.col("_cells.at").alias("at"), F.col("_cells.x").alias("x")).alias(column)
+    )
+
+
+def apply_sparse(df: DataFrame, encoder: Encoder) -> DataFrame:
+    """The model matrix with one vector column: event_id, entity_id, features as (index, value) pairs, targets."""
+    keys = [c for c in ("event_id", "entity_id") if c in df.columns]
+    return encode_beside(df, encoder).select(*keys, "features", *[c for c in TARGETS if c in df.columns])
+
+
+def feature_table(encoder: Encoder, columns: list[str]) -> DataFrame:
+    """(index, feature) of the vectors made of a table with the given columns."""
+    spark = encoder.codes.sparkSession
+    known = set(columns)
+    names = [c for c in [*cfg.ORDINAL_LEVELS, *cfg.LABEL_COLUMNS] if c in known] + list(cfg.CALENDAR_COLUMNS)
+    names += sorted(encoder.scales(), key=cfg.SCALE_COLUMNS.index)
+    out = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "index int, feature string")
+    sizes, at, starts = encoder.sizes(), len(names), []
+    for c in cfg.ONEHOT_COLUMNS:
+        if c in known:
+            starts.append((c, at))
+            at += max(sizes.get(c, 0) - 1, 0)
+    first = F.broadcast(spark.createDataFrame(starts, "column_name string, first int"))
+    dummies = encoder.codes.where(F.col("code") > 0).join(first, "column_name")
+    return out.unionByName(
+        dummies.select(
+            (F.col("first") + F.col("code") - 1).cast("int").alias("index"),
+            F.concat_ws("_", "column_name", "value").alias("feature"),
+        )
+    )
+
+
+def feature_list(encoder: Encoder, columns: list[str]) -> list[str]:
+    """The names in the order of the indices; one per feature of the model."""
+    return [r["feature"] for r in feature_table(encoder, columns).orderBy("index").collect()]
 
 
 def feature_names(matrix: DataFrame) -> list[str]:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from watchfold import settings as cfg
 from watchfold.functions import scalars as sc
 from watchfold.operators.classify import Classifier, importances
-from watchfold.operators.sparse import Rows, lists
+from watchfold.operators.sparse import Rows, lists, value_at
 
 
 @dataclass(frozen=True)
@@ -119,31 +119,42 @@ def shapley(x: np.ndarray, classes: np.ndarray, table: PathTable) -> np.ndarray:
 def attribute(
     vectors: DataFrame, classifier: Classifier, attack_col: str = "attack", only: Column | None = None
 ) -> DataFrame:
-    """Add ``shap``, one value per feature, for every row's attack class.
+    """Add ``shap`` and ``shap_features``: attribution and value of every feature that the model uses, for the row's class.
 
-    Rows without a known class are explained for the first class, rows outside
-    ``only`` get null and are not sent to the model.  A narrow map; the path table is
-    bounded by the model and broadcast once.
+    ``used_features`` names them; all others have no part in any output.  Rows without a
+    known class are explained for the first class, rows outside ``only`` get null and
+    are not sent to the model.  A narrow map; the path table is bounded by the model and
+    broadcast once.
     """
     shared = classifier.sent("paths", path_table)
-    width = len(classifier.features)
 
-    @F.arrow_udf("array<double>")
+    @F.arrow_udf("struct<shap:array<double>,x:array<double>>")
     def explain(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for features, classes in batches:
             known = classes.is_valid().to_numpy(zero_copy_only=False)
             rows, wanted = Rows.of(features.filter(pa.array(known))), classes.drop_null().to_numpy()
-            used = shared.value.used
-            values = np.zeros((len(wanted), width))
-            values[:, used] = shapley(rows.columns(used), wanted, shared.value)
-            yield lists(values, known)
+            x = rows.columns(shared.value.used)
+            yield pa.StructArray.from_arrays(
+                [lists(shapley(x, wanted, shared.value), known), lists(x, known)], names=["shap", "x"]
+            )
 
     names = F.array(*[F.lit(c) for c in classifier.classes])
     code = F.greatest(F.array_position(names, F.coalesce(F.col(attack_col), F.lit(""))) - 1, F.lit(0)).cast("int")
     features = F.col("features")
     if only is not None:
         code, features = F.when(only, code), F.when(only, features)
-    return vectors.withColumn("shap", explain(features, code))
+    told = vectors.withColumn("_told", explain(features, code))
+    return told.withColumns({"shap": F.col("_told.shap"), "shap_features": F.col("_told.x")}).drop("_told")
+
+
+def used_features(classifier: Classifier) -> list[str]:
+    """Names of the features that some split of the model uses, in the order of ``shap``."""
+    return [classifier.features[i] for i in classifier.sent("paths", path_table).value.used]
+
+
+def top_of(attributed: DataFrame, classifier: Classifier, k: int = 5) -> DataFrame:
+    """Add ``top_features`` of rows that ``attribute`` made."""
+    return top_features(attributed, used_features(classifier), k, features="shap_features")
 
 
 def expected_output(classifier: Classifier, spark: SparkSession) -> list[float]:
@@ -185,10 +196,11 @@ def top_features(
 
 def fallback_features(vectors: DataFrame, classifier: Classifier, k: int = 5) -> DataFrame:
     """Global importances in place of attributions: same shape, always increasing."""
-    table = {r["feature"]: r["importance"] for r in importances(classifier, vectors.sparkSession).collect()}
-    names = F.array(*[F.lit(n) for n in classifier.features])
-    values = F.array(*[F.lit(float(table[n])) for n in classifier.features])
-    return vectors.withColumn("top_features", _entries(names, values, F.col("features"), k, steady=True))
+    best = importances(classifier, vectors.sparkSession).orderBy(F.desc("importance"), "feature").limit(k).collect()
+    names = F.array(*[F.lit(r["feature"]) for r in best])
+    shares = F.array(*[F.lit(float(r["importance"])) for r in best])
+    values = F.array(*[value_at(vectors, classifier.features.index(r["feature"])) for r in best])
+    return vectors.withColumn("top_features", _entries(names, shares, values, k, steady=True))
 
 
 def long_form(explained: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from watchfold import settings as cfg
 from watchfold.operators.slicing import quantiles
+from watchfold.operators.sparse import Rows, is_sparse, sparse
 from watchfold.session import keep
 
 NODES = (
@@ -60,38 +61,52 @@ def mean_depth(n) -> np.ndarray:
 def sample_trees(
     vectors: DataFrame, rows: int, trees: int, sample: int, seed: int
 ) -> DataFrame:
-    """(tree, event_id, features): ``sample`` rows without replacement per tree.
-
-    Which rows go to which tree follows from hashes of the key, so only about
-    trees * sample * 1.5 rows are shuffled, however many there are.
+    """(tree, event_id, features): exactly ``sample`` rows without replacement per tree, independent between trees.
+
+    A row is a candidate of each tree with one small probability, whatever the others
+    do: one hash per row gives its first tree by the geometric distribution, and only
+    rows that have one draw for the trees after it. Of a tree's candidates the
+    ``sample`` smallest of another hash stay. About trees * sample * 1.5 rows are
+    shuffled, however many there are. Should a tree get too few candidates, the
+    probability is doubled and all is drawn anew.
     """
     def draw(*parts: Column) -> Column:
-        return F.pmod(F.xxhash64("event_id", *parts, F.lit(seed)), F.lit(_HASH_RANGE))
+        return (F.pmod(F.xxhash64("event_id", *parts, F.lit(seed)), F.lit(_HASH_RANGE)) + 0.5) / _HASH_RANGE
 
-    rate = min(1.0, _OVERSAMPLE * sample / max(rows, 1))
-    if rate * trees >= 0.05:
-        bar = F.lit(int(rate * _HASH_RANGE))
-        chosen = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: draw(t) < bar)
-        drawn = vectors.withColumn("_trees", chosen).where(F.size("_trees") > 0)
+    size = min(sample, rows)
+    rate = _OVERSAMPLE * size / max(rows, 1)
+    while True:
+        if rate < 1.0:
+            first = F.floor(F.log(1.0 - draw(F.lit(-1))) / F.lit(math.log1p(-rate))).cast("int")
+            rest = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: (t > F.col("_first")) & (draw(t) < rate))
+            some = vectors.withColumn("_first", first).where(F.col("_first") < trees)
+            drawn = some.withColumn("_trees", F.concat(F.array("_first"), rest))
+        else:
+            drawn = vectors.withColumn("_trees", F.sequence(F.lit(0), F.lit(trees - 1)))
         drawn = drawn.select(F.explode("_trees").alias("tree"), "event_id", "features")
-    else:
-        # So few draws that a row is hardly ever wanted twice: one tree per row.
-        bar = F.lit(int(rate * trees * _HASH_RANGE))
-        drawn = vectors.where(draw() < bar).select(
-            F.pmod(F.xxhash64(F.lit(seed), "event_id"), F.lit(trees)).cast("int").alias("tree"), "event_id", "features"
-        )
-    order = Window.partitionBy("tree").orderBy(draw(F.col("tree")), "event_id")
-    ranked = drawn.withColumn("_rank", F.row_number().over(order))
-    return ranked.where(F.col("_rank") <= sample).drop("_rank")
+        order = Window.partitionBy("tree").orderBy(draw(F.col("tree"), F.lit(1)), "event_id")
+        ranked = drawn.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= size)
+        ranked = keep(ranked.drop("_rank"), "tree-samples")
+        if rate >= 1.0 or ranked.count() == trees * size:
+            return ranked
+        rate *= 2
 
 
-def _grow(pdf: pd.DataFrame, limit: int, share: float, seed: int) -> pd.DataFrame:
+def _grow(pdf: pd.DataFrame, width: int, limit: int, share: float, seed: int) -> pd.DataFrame:
     """One tree from at most ``sample`` rows."""
     pdf = pdf.sort_values("event_id")
     tree = int(pdf["tree"].iloc[0])
-    x = np.stack(pdf["features"].to_numpy())
     rng = np.random.default_rng([seed, tree])
-    usable = rng.choice(x.shape[1], max(1, int(share * x.shape[1])), replace=False)
+    usable = rng.choice(width, max(1, int(share * width)), replace=False)
+    # Features that are zero in all rows cannot be split on.
+    sizes = pdf["at"].map(len).to_numpy()
+    at, row = np.concatenate(pdf["at"].to_numpy()).astype(np.int64), np.repeat(np.arange(len(pdf)), sizes)
+    usable = usable[np.isin(usable, at)]
+    place = np.full(width, -1)
+    place[usable] = np.arange(len(usable))
+    hit = place[at] >= 0
+    x = np.zeros((len(pdf), len(usable)))
+    x[row[hit], place[at[hit]]] = np.concatenate(pdf["x"].to_numpy())[hit]
     nodes: list[list] = []
     todo = [(np.arange(len(x)), 0, -1, False)]
     while todo:
@@ -102,7 +117,9 @@ def _grow(pdf: pd.DataFrame, limit: int, share: float, seed: int) -> pd.DataFram
         nodes.append([tree, me, -1, 0.0, -1, -1, len(idx), depth])
         if depth >= limit or len(idx) <= 1:
             continue
-        part = x[np.ix_(idx, usable)]
+        part = x[idx]
+        if not part.shape[1]:
+            continue
         low, high = part.min(axis=0), part.max(axis=0)
         varied = np.flatnonzero(high > low)
         if not len(varied):
@@ -129,8 +146,11 @@ def fit_forest(
     rows = vectors.count()
     size = min(sample, rows)
     limit = max(1, math.ceil(math.log2(max(size, 2))))
+    width = len(features)
     drawn = sample_trees(vectors, rows, trees, size, seed)
-    nodes = drawn.groupBy("tree").applyInPandas(lambda pdf: _grow(pdf, limit, share, seed), NODES)
+    cells = F.col("features") if is_sparse(vectors) else sparse(F.col("features"))
+    drawn = drawn.select("tree", "event_id", cells.alias("c")).select("tree", "event_id", "c.at", "c.x")
+    nodes = drawn.groupBy("tree").applyInPandas(lambda pdf: _grow(pdf, width, limit, share, seed), NODES)
     return Forest(keep(nodes, "forest-nodes"), tuple(features), size)
 
 
@@ -148,7 +168,9 @@ class _Trees:
         self.left = np.zeros(shape, dtype=np.int32)
         self.right = np.zeros(shape, dtype=np.int32)
         self.path = np.zeros(shape)
-        self.feature[row, col] = nodes["feature"]
+        split = nodes["feature"].to_numpy()
+        self.used = np.unique(split[split >= 0]).astype(np.int64)
+        self.feature[row, col] = np.where(split >= 0, np.searchsorted(self.used, split), -1)
         self.threshold[row, col] = nodes["threshold"]
         self.left[row, col] = nodes["left_node"]
         self.right[row, col] = nodes["right_node"]
@@ -156,7 +178,8 @@ class _Trees:
         self.depth = int(nodes["depth"].max())
         self.unit = float(mean_depth(sample)) or 1.0
 
-    def score(self, x: np.ndarray) -> np.ndarray:
+    def score(self, vectors: Rows) -> np.ndarray:
+        x = vectors.columns(self.used) if len(self.used) else np.zeros((vectors.n, 1))
         rows = np.arange(len(x))
         total = np.zeros(len(x))
         for t in range(len(self.feature)):
@@ -170,21 +193,15 @@ class _Trees:
         return np.power(2.0, -total / len(self.feature) / self.unit)
 
 
-def matrix_of(features: pa.Array, width: int) -> np.ndarray:
-    """An Arrow list column of equally long lists as a matrix."""
-    return features.flatten().to_numpy(zero_copy_only=False).reshape(len(features), width)
-
-
 def isolation(vectors: DataFrame, forest: Forest) -> DataFrame:
     """Add ``isolation`` in (0, 1]; a narrow map, the forest is small and broadcast."""
     spark = vectors.sparkSession
     trees = spark.sparkContext.broadcast(_Trees(forest.nodes.toPandas(), forest.sample))
-    width = len(forest.features)
 
     @F.arrow_udf("double")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array(trees.value.score(matrix_of(batch, width)))
+            yield pa.array(trees.value.score(Rows.of(batch)))
 
     return vectors.withColumn("isolation", score("features"))
 

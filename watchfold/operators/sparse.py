@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROW = "struct<at:array<int>,x:array<double>>"
@@ -21,6 +21,18 @@ def sparse(values: Column) -> Column:
     return F.struct(pairs["at"].alias("at"), pairs["x"].alias("x"))
 
 
+def is_sparse(df: DataFrame, column: str = "features") -> bool:
+    return dict(df.dtypes)[column].startswith("struct")
+
+
+def value_at(df: DataFrame, index: int, column: str = "features") -> Column:
+    """One feature of a row, in either form."""
+    if not is_sparse(df, column):
+        return F.get(F.col(column), F.lit(index))
+    place = F.array_position(F.col(f"{column}.at"), F.lit(index)).cast("int") - 1
+    return F.coalesce(F.get(F.col(f"{column}.x"), place), F.lit(0.0))
+
+
 @dataclass(frozen=True)
 class Rows:
     """The non-zero entries (row, at, x) of ``n`` rows, in the order of rows and indices; row i has ptr[i]..ptr[i+1]."""

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from watchfold.operators.sparse import ROW, Rows, sparse
+from watchfold.operators.sparse import ROW, Rows, is_sparse, sparse
 from watchfold.session import keep
 
 BINS = 64
@@ -506,9 +506,8 @@ def fit_trees(rows: DataFrame, plans: list[Plan], classes: int, seed: int) -> Da
     boosted, or none is; boosted ones have the same number of rounds.
     """
     spark = rows.sparkSession
-    kind = dict(rows.dtypes)["features"]
     ready = rows.select(
-        "event_id", (F.col("features") if kind.startswith("struct") else sparse(F.col("features"))).alias("features"),
+        "event_id", (F.col("features") if is_sparse(rows) else sparse(F.col("features"))).alias("features"),
         F.col("class_code").cast("int").alias("class_code"), "fold",
     )
     bins = fit_bins(ready)

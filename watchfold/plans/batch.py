@@ -53,7 +53,7 @@ class Batch:
     """Results of one run, each a written table keyed by event_id."""
 
     profiled: DataFrame  # input + 27 features + 6 deviations
-    matrix: DataFrame  # model matrix with targets
+    matrix: DataFrame  # model matrix: event_id, entity_id, features as (index, value) pairs, targets
     scored: DataFrame  # profiled + prediction, anomaly_score, attack, risk, actions
     reference: DataFrame  # drift baseline
     fitted: Fitted
@@ -80,16 +80,12 @@ def explain_sample(scored: DataFrame, vectors: DataFrame, classifier: cl.Classif
     one = explain.sample_event(flagged, cfg.SAMPLE_CLASSES).select("event_id")
     rows = vectors.select("event_id", "features").join(F.broadcast(one), "event_id")
     rows = rows.join(flagged.select("event_id", "attack"), "event_id")
-    told = explain.top_features(explain.attribute(rows, classifier), list(classifier.features), k)
+    told = explain.top_of(explain.attribute(rows, classifier), classifier, k)
     return told.select(
         "event_id", "attack", "top_features", explain.narrative(F.col("top_features"), F.col("attack")).alias("narrative")
     )
 
 
-def vectors_of(matrix: DataFrame) -> DataFrame:
-    return encoding.with_vector(matrix, encoding.feature_names(matrix))
-
-
 def run_batch(
     events: DataFrame,
     trees: int = cfg.FOREST_TREES,
@@ -113,15 +109,14 @@ def run_batch(
     profs = profiles.fit_profiles(enriched, rows_per_slice=rows_per_slice)
     profiled = keep(profiles.apply_profiles(enriched, profs), "profiled")
     encoder = encoding.fit_encoder(profiled)
-    matrix = keep(encoding.apply_encoder(profiled, encoder), "matrix")
-    names = encoding.feature_names(matrix)
-    vectors = encoding.with_vector(matrix, names)
-    trained = forest.fit_forest(vectors, names, trees=trees)
-    # From here on every step is a narrow map over the profiled rows.
-    encoded = encoding.encode_beside(profiled, encoder, names)
+    names = encoding.feature_list(encoder, profiled.columns)
+    # Encoded once; from here on every step is a narrow map over the profiled rows.
+    encoded = keep(encoding.encode_beside(profiled, encoder), "encoded")
+    matrix = encoded.select("event_id", "entity_id", "features", *encoding.TARGETS)
+    trained = forest.fit_forest(matrix, names, trees=trees)
     isolated = keep(forest.isolation(encoded, trained), "isolated")
     trained = forest.calibrate(trained, isolated, rows_per_slice=rows_per_slice)
-    attacks = keep(cl.training_rows(vectors), "attacks")
+    attacks = keep(cl.training_rows(matrix), "attacks")
     comparison = None
     if model is None:
         comparison = keep(cl.compare_models(attacks, effort), "comparison")
@@ -135,8 +130,8 @@ def run_batch(
     reference = keep(drift.fit_reference(early), "drift-reference")
     said = cl.classify(attacks, classifier)
     report = keep(metrics.classification_report(metrics.confusion(said, "anomaly_type", "attack")), "report")
-    summary = keep(explain.global_summary(classifier, vectors), "summary")
-    sample = keep(explain_sample(scored, vectors, classifier), "explanation")
+    summary = keep(explain.global_summary(classifier, matrix), "summary")
+    sample = keep(explain_sample(scored, matrix, classifier), "explanation")
     detection = keep(detection_metrics(scored), "detection")
     return Batch(profiled, matrix, scored, reference, fitted, findings, detection, comparison, report, summary, sample)
 

@@ -13,7 +13,6 @@ from watchfold.operators import explain, forest, metrics
 from watchfold.operators.trees import NODES
 from watchfold.plans import analyst
 from watchfold.plans import oracle as o
-from watchfold.plans.batch import vectors_of
 from watchfold.plans.registry import (
     batch, log, profiled, query, r, rule_class, rule_decision, rule_score, rule_scored, shared,
 )
@@ -21,7 +20,7 @@ from watchfold.session import keep
 
 
 def _vectors(spark, sf):
-    return vectors_of(batch(spark, sf).matrix)
+    return batch(spark, sf).matrix
 
 
 def _attacks(spark, sf):

@@ -9,6 +9,7 @@ from watchfold.operators import classify as cl
 from watchfold.operators import encoding, profiles
 from watchfold.plans import oracle as o
 from watchfold.plans.q_sources import CODES
+from watchfold.session import keep
 from watchfold.plans.registry import (
     CUTOFF, early, fitted_profiles, late, log, profiled, query, r, shared,
 )
@@ -313,6 +314,38 @@ def g07(spark, sf):
     return matrix.select("event_id", *[r(c) for c in _REPLAY], "label", "anomaly_type")
 
 
+_WIDE = "concat('b', CAST((event_id * 7) % 1709 AS VARCHAR))"
+_WIDE_CODES = f"wide AS (SELECT value, row_number() OVER (ORDER BY value) - 1 AS code FROM (SELECT DISTINCT {_WIDE} AS value FROM access_log))"
+
+
+@query(
+    "g07_matrix_wide",
+    o.sql(
+        f"SELECT e.event_id, CASE WHEN code > 0 THEN concat('browser_', value) END AS feature, "
+        "CASE WHEN code > 0 THEN CAST(1 AS DOUBLE) END AS x, (SELECT count(*) - 1 FROM wide) AS dummies, "
+        "CAST(day_of_month AS DOUBLE) AS day_of_month "
+        f"FROM enriched e JOIN wide ON value = {_WIDE.replace('event_id', 'e.event_id')}",
+        o.ENRICHED, _WIDE_CODES,
+    ),
+)
+def g07_wide(spark, sf):
+    """A column of up to 1,709 values: coded by a join, one (index, value) pair a row."""
+    wide = F.concat(F.lit("b"), (F.col("event_id") * 7 % 1709).cast("string"))
+    rows = profiled(spark, sf).withColumn("browser", wide)
+    encoder = encoding.fit_encoder(rows)
+    matrix = encoding.apply_sparse(rows, encoder)
+    names = keep(encoding.feature_table(encoder, rows.columns), "feature-names")
+    browsers = names.where(F.col("feature").startswith("browser_"))
+    day = names.where(F.col("feature") == "day_of_month").select("index").scalar()
+    cells = F.map_from_arrays("features.at", "features.x")
+    mine = matrix.select("event_id", F.explode(F.map_entries(cells)).alias("c")).select(
+        "event_id", F.col("c.key").alias("index"), F.col("c.value").alias("x")
+    )
+    mine = mine.join(browsers, "index").select("event_id", "feature", "x")
+    days = matrix.select("event_id", F.coalesce(F.try_element_at(cells, day), F.lit(0.0)).alias("day_of_month"))
+    return days.join(mine, "event_id", "left").withColumn("dummies", browsers.select(F.count(F.lit(1))).scalar())
+
+
 @query(
     "g08_class_codes",
     o.sql(

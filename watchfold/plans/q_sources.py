@@ -82,7 +82,7 @@ _LEVELS = "CASE resource_sensitivity WHEN 'Low' THEN 0 WHEN 'Medium' THEN 1 WHEN
 )
 def a05(spark, sf):
     """The processed table, written as CSV and split into targets and features."""
-    matrix = batch(spark, sf).matrix
+    matrix = encoding.apply_encoder(batch(spark, sf).profiled, batch(spark, sf).fitted.encoder)
     path = tables.write_table(matrix, fresh_path(spark, "processed"), "csv")
     targets, features = tables.split_matrix(tables.read_table(spark, path, matrix.schema, "csv"))
     return (
@@ -141,7 +141,7 @@ def a08(spark, sf):
     b, path = batch(spark, sf), fresh_path(spark, "model-store")
     b.fitted.forest.save(f"{path}/forest")
     b.fitted.classifier.save(f"{path}/classifier")
-    vectors = encoding.with_vector(b.matrix, list(b.fitted.forest.features))
+    vectors = b.matrix
 
     def scored(trees, model):
         out = cl.classify_flagged(forest.score_forest(vectors, trees), model)
@@ -155,7 +155,7 @@ def a08(spark, sf):
 def a09(spark, sf):
     """The summary of importances written and read back."""
     b = batch(spark, sf)
-    vectors = encoding.with_vector(b.matrix, list(b.fitted.forest.features))
+    vectors = b.matrix
     table = explain.global_summary(b.fitted.classifier, vectors)
     path = tables.write_table(table, fresh_path(spark, "importances"))
     return _differing(table, tables.read_table(spark, path, table.schema))

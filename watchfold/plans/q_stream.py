@@ -58,7 +58,8 @@ def o03(spark, sf):
     fitted = batch(spark, sf).fitted
     rows = running_state.running_stream(live.table_stream(spark, sf), fitted.context.median_gap)
     seen = live.drain(rows, lambda b: live.respond_to(b, fitted))
-    batched = live.respond_to(running.running_features(live.zoned(log(spark, sf))), fitted)
+    once = running.running_features(live.zoned(log(spark, sf)), median_gap=fitted.context.median_gap)
+    batched = live.respond_to(once, fitted)
     # Sums in another order may differ in the last digit, which shows in rounded texts: those are left out.
     same = ["is_anomaly", "attack_classification", "risk_level", "recommended_actions"]
     want = batched.select("event_id", F.struct(*same).alias("want"), F.col("risk_score").alias("score"))

@@ -294,4 +294,4 @@ PROFILE_METRICS = {
 
 # Sizes that decide between physical strategies.
 ROWS_PER_SLICE = 1_000_000
-DUMMY_COLUMNS = 512
+LITERAL_VALUES = 512  # values of a column that are written into a plan; more are joined
