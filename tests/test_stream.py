@@ -65,13 +65,50 @@ def test_state_carries_over_micro_batches(spark, events, tmp_path):
     df.where("event_id BETWEEN 2 AND 4").coalesce(1).write.mode("append").parquet(folder)
     df.where("event_id > 4").coalesce(1).write.mode("append").parquet(folder)
     stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    out = live.drain(running_state.running_stream(stream, median_gap=7.0)).orderBy("event_id").collect()
+    out = live.drain(running_state.running_stream(stream, 7.0, "0 seconds")).orderBy("event_id").collect()
     assert [r["consecutive_failures"] for r in out] == [1, 2, 0, 1, 2, 3, 0]
     assert [r["entity_avg_session"] for r in out] == pytest.approx([0, 0.5, 1, 1.5, 2, 2.5, 3])
     assert [r["time_since_last_login_min"] for r in out] == [7.0] + [1.0] * 6
     assert out[-1]["entity_std_session"] == pytest.approx(2.1602468994692865)
 
 
+def test_rows_out_of_order_wait_for_the_watermark(spark, events, tmp_path):
+    """Minutes 0 to 9 in five triggers, each up to four minutes late; one row too late; the last minutes still wait."""
+    rows = [{"login_status": "Failed" if i % 3 else "Success", "resource_accessed": f"r{i % 2}"} for i in range(10)]
+    df = live.zoned(events(rows))
+    folder = str(tmp_path / "in")
+    for part in ([3, 1], [4, 0], [7, 6, 2], [5, 9], [8]):
+        df.where(F.col("event_id").isin(part)).coalesce(1).write.mode("append").parquet(folder)
+    df.where("event_id = 1").withColumn("event_id", F.lit(77).cast("long")).coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    path = str(tmp_path / "out")
+    query = live.write_batches(running_state.running_stream(stream, 7.0, "5 minutes"), path)
+    query.awaitTermination()
+    out = spark.read.parquet(path).orderBy("event_id").collect()
+    assert [r["event_id"] for r in out] == [0, 1, 2, 3, 4]  # the watermark ends at minute 9 - 5
+    assert [r["entity_login_count"] for r in out] == [1, 2, 3, 4, 5]
+    assert [r["consecutive_failures"] for r in out] == [0, 1, 2, 0, 1]
+    assert [r["time_since_last_login_min"] for r in out] == [7.0] + [1.0] * 4
+    assert [r["resource_access_entropy_to_date"] for r in out] == pytest.approx([0, 1, 0.9182958340544896, 1, 0.9709505944546686])
+    assert running_state.late_rows(query) == 1
+
+
+def test_equal_times_see_each_other(spark, events, tmp_path):
+    at = dt.datetime(2024, 1, 1, 10)
+    df = live.zoned(events([{"event_ts": at, "resource_accessed": f"r{i}"} for i in range(4)]))
+    df.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    out = live.drain(running_state.running_stream(stream, None, "0 seconds")).orderBy("event_id").collect()
+    assert [r["resource_access_entropy_to_date"] for r in out] == [2.0] * 4
+    assert [r["entity_login_count"] for r in out] == [1, 2, 3, 4]
+
+
+def test_empty_source_with_a_transform(spark, batch, tmp_path):
+    (tmp_path / "none").mkdir()
+    out = live.drain(live.json_stream(spark, str(tmp_path / "none")), lambda b: live.respond_to(b, batch.fitted))
+    assert out.count() == 0 and out.columns == live.RESPONSE
+
+
 def test_late_events_are_left_out_of_closed_hours(spark, tmp_path):
     at = lambda h: {**NORMAL, "event_ts": (dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)).isoformat() + "Z"}
     folder = _folder(tmp_path, [at(0.5), at(5.5)], [at(6.5)], [at(0.6), at(9.0)])

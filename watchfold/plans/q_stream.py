@@ -52,11 +52,18 @@ def o02(spark, sf):
     )
 
 
-@query("o03_live_responses", o.sql("SELECT count(*) AS n, CAST(0 AS BIGINT) AS differing, true AS some_flagged FROM access_log"))
+#: The watermark, in milliseconds, ends at the last row and does not pass it within its millisecond.
+_RELEASED = "epoch_us(event_ts) <= (SELECT max(epoch_us(event_ts)) // 1000 * 1000 FROM access_log)"
+
+
+@query(
+    "o03_live_responses",
+    o.sql(f"SELECT count(*) AS n, CAST(0 AS BIGINT) AS differing, true AS some_flagged FROM access_log WHERE {_RELEASED}"),
+)
 def o03(spark, sf):
     """Running state, enrichment, forest, class, risk, explanation and actions per event: as for the same rows in a batch."""
     fitted = batch(spark, sf).fitted
-    rows = running_state.running_stream(live.table_stream(spark, sf), fitted.context.median_gap)
+    rows = running_state.running_stream(live.table_stream(spark, sf), fitted.context.median_gap, "0 seconds")
     seen = live.drain(rows, lambda b: live.respond_to(b, fitted))
     once = running.running_features(live.zoned(log(spark, sf)), median_gap=fitted.context.median_gap)
     batched = live.respond_to(once, fitted)
@@ -64,7 +71,10 @@ def o03(spark, sf):
     same = ["is_anomaly", "attack_classification", "risk_level", "recommended_actions"]
     want = batched.select("event_id", F.struct(*same).alias("want"), F.col("risk_score").alias("score"))
     unlike = (F.struct(*same) != F.col("want")) | (F.abs(F.col("score") - F.col("risk_score")) > 0.011)
-    joined = seen.join(want, "event_id", "full")
+    # All rows but those that still wait for the watermark.
+    end = log(spark, sf).agg(F.unix_micros(F.max("event_ts").cast("timestamp"))).first()[0] // 1000 * 1000
+    waiting = live.zoned(log(spark, sf)).where(F.unix_micros("event_ts") > end).select("event_id")
+    joined = seen.join(want.join(waiting, "event_id", "left_anti"), "event_id", "full")
     return joined.agg(
         F.count("is_anomaly").alias("n"),
         F.count_if(F.coalesce(unlike, F.lit(True))).alias("differing"),
@@ -75,13 +85,48 @@ def o03(spark, sf):
 _STATE = [c.split()[0] for c in running_state.NEW_COLUMNS.split(", ")]
 
 
-@query("o04_running_state", o.sql(f"SELECT event_id, {o.enriched_columns(_STATE)} FROM running", o.RUNNING))
+_ENTROPY = (
+    "entropy AS (SELECT event_id, -sum(n / total * log2(n / total)) AS resource_access_entropy_to_date FROM ("
+    "SELECT event_id, CAST(n AS DOUBLE) AS n, CAST(sum(n) OVER (PARTITION BY event_id) AS DOUBLE) AS total FROM ("
+    "SELECT a.event_id, b.resource_accessed, count(*) AS n FROM access_log a JOIN access_log b "
+    "ON a.entity_id = b.entity_id AND b.event_ts <= a.event_ts GROUP BY a.event_id, b.resource_accessed)) GROUP BY event_id)"
+)
+_OLD = [c for c in _STATE if c != "resource_access_entropy_to_date"]
+_STATE_SQL = (
+    f"SELECT event_id, {o.enriched_columns(_OLD)}, {o.rdas('resource_access_entropy_to_date')} "
+    "FROM running JOIN entropy USING (event_id)"
+)
+
+
+def _rounded(out):
+    digits = {**o.ENRICHED_COLUMNS, "resource_access_entropy_to_date": 6}
+    return out.select("event_id", *[F.col(c) if digits[c] is None else r(c, digits[c]) for c in _STATE])
+
+
+@query("o04_running_state", o.sql(f"{_STATE_SQL} WHERE {_RELEASED}", o.RUNNING, _ENTROPY))
 def o04(spark, sf):
-    """Running features from per-entity stream state; equal to the batch windows."""
+    """Running features and entropy from per-entity stream state; equal to the batch windows."""
+    gap = batch(spark, sf).fitted.context.median_gap
+    return _rounded(live.drain(running_state.running_stream(live.table_stream(spark, sf), gap, "0 seconds")))
+
+
+_PASSED = "epoch_us(event_ts) <= (SELECT (max(epoch_us(event_ts)) // 1000 - 43200000) * 1000 FROM access_log)"
+
+
+@query("o04_disordered", o.sql(f"{_STATE_SQL} WHERE {_PASSED}", o.RUNNING, _ENTROPY))
+def o04_disordered(spark, sf):
+    """Rows up to half a day late, in five triggers: released in event order once the watermark has passed them."""
     gap = batch(spark, sf).fitted.context.median_gap
-    out = live.drain(running_state.running_stream(live.table_stream(spark, sf), gap))
-    cols = [F.col(c) if o.ENRICHED_COLUMNS[c] is None else r(c, o.ENRICHED_COLUMNS[c]) for c in _STATE]
-    return out.select("event_id", *cols)
+    rows = live.zoned(log(spark, sf))
+    late = F.unix_micros("event_ts") + F.pmod(F.xxhash64("event_id"), F.lit(43_200_000_000))
+    start, stop = rows.agg(F.unix_micros(F.min("event_ts")), F.unix_micros(F.max("event_ts"))).first()
+    step = (stop + 43_200_000_000 - start) // 5 + 1
+    path = fresh_path(spark, "disordered")
+    for k in range(5):
+        part = rows.where((late >= start + k * step) & (late < start + (k + 1) * step))
+        part.orderBy(F.xxhash64("event_id", F.lit(k))).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return _rounded(live.drain(running_state.running_stream(stream, gap, "12 hours")))
 
 
 @query("o05_deduplicated", o.sql("SELECT event_id, entity_id FROM access_log"))

@@ -1,4 +1,10 @@
-"""Running features of a stream: the state of each entity between micro-batches."""
+"""Running features of a stream in event time: the state of each entity between micro-batches.
+
+Arriving rows wait in the state, in stretches of time, until the watermark has passed
+them; a timer then releases them in (event_ts, event_id) order. So the features do not
+depend on the order of arrival, as long as no row comes later than the watermark's
+delay. Later ones are dropped before they reach the state; ``late_rows`` counts them.
+"""
 
 from __future__ import annotations
 
@@ -6,28 +12,32 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 _METRICS = {"session": "session_duration_min", "bytes_up": "bytes_uploaded", "bytes_down": "bytes_downloaded"}
 _RATES = {"entity_failed_rate": "login_status", "new_device_rate": "new_device", "new_location_rate": "new_location"}
 _ZSCORES = {"session": "session_duration_zscore", "bytes_up": "bytes_uploaded_zscore",
             "bytes_down": "bytes_downloaded_zscore"}
 
-# n, last time (us), streak; per metric: count, shift, sum and sum of squares about the shift; per rate: count, sum
+# n, last time (us), streak, stored parts of waiting rows, sum of n*log2(n) over the resources; per metric: count, shift, sum and sum of squares about the shift; per rate: count, sum
 _STATE_FIELDS = (
-    ["n", "last_us", "streak"]
+    ["n", "last_us", "streak", "parts", "spread"]
     + [f"{p}_{m}" for m in _METRICS for p in ("cnt", "shift", "sum", "sq")]
     + [f"{p}_{r}" for r in _RATES for p in ("cnt", "sum")]
 )
-STATE_SCHEMA = ", ".join(f"{f} {'long' if f in ('n', 'last_us', 'streak') else 'double'}" for f in _STATE_FIELDS)
+STATE_SCHEMA = ", ".join(f"{f} {'long' if f in ('n', 'last_us', 'streak', 'parts') else 'double'}" for f in _STATE_FIELDS)
 NEW_COLUMNS = (
     "entity_login_count long, time_since_last_login_min double, "
     "entity_avg_session double, entity_avg_bytes_up double, entity_avg_bytes_down double, "
     "entity_std_session double, session_duration_zscore double, bytes_uploaded_zscore double, "
     "bytes_downloaded_zscore double, consecutive_failures long, entity_failed_rate double, "
-    "new_device_rate double, new_location_rate double"
+    "new_device_rate double, new_location_rate double, resource_access_entropy_to_date double"
 )
+#: Waiting rows are stored and released in stretches of this many microseconds.
+STRETCH = 60_000_000
 
 
 def _divide(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -35,19 +45,19 @@ def _divide(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def advance(pdf: pd.DataFrame, state: dict, median_gap: float | None) -> tuple[pd.DataFrame, dict]:
-    """Features of the next events of one entity, and its state after them."""
-    pdf = pdf.sort_values(["event_ts", "event_id"], ignore_index=True)
+    """Features of the next events of one entity, but the entropy, and its state after them."""
+    pdf = pdf.sort_values(["order_us", "event_id"], ignore_index=True)
     size = len(pdf)
     out = pdf.copy()
     n = state["n"] + np.arange(1, size + 1)
-    us = pdf["event_ts"].to_numpy().astype("datetime64[us]").astype(np.int64)
+    us = pdf["order_us"].to_numpy(dtype=np.int64)
     before = np.concatenate([[state["last_us"] if state["n"] else us[0]], us[:-1]])
     gap = (us - before) / 6e7
     if not state["n"]:
         gap[0] = np.nan if median_gap is None else median_gap
     out["entity_login_count"] = n
     out["time_since_last_login_min"] = gap
-    after = {"n": int(n[-1]), "last_us": int(us[-1])}
+    after = {**state, "n": int(n[-1]), "last_us": int(us[-1])}
     for m, column in _METRICS.items():
         x = pd.to_numeric(pdf[column], errors="coerce").to_numpy(dtype=float)
         known = ~np.isnan(x)
@@ -81,23 +91,122 @@ def advance(pdf: pd.DataFrame, state: dict, median_gap: float | None) -> tuple[p
     return out, after
 
 
-def running_stream(events: DataFrame, median_gap: float | None = None) -> DataFrame:
-    """Stream counterpart of ``running_features``.
+def _term(n: int) -> float:
+    return n * np.log2(n) if n > 1 else 0.0
+
+
+class EntityState(StatefulProcessor):
+    """Waiting rows, running totals and the counts of the resources used, per entity."""
+
+    def __init__(self, columns: list[str], median_gap: float | None):
+        self.columns, self.median_gap = columns, median_gap
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.totals = handle.getValueState("totals", STATE_SCHEMA)
+        self.waiting = handle.getMapState("waiting", "stretch long, part long", "rows binary")
+        self.resources = handle.getMapState("resources", "resource string", "n long")
+
+    def _state(self) -> dict:
+        known = self.totals.get() if self.totals.exists() else None
+        return dict(zip(_STATE_FIELDS, known if known else [0] * len(_STATE_FIELDS)))
+
+    def _put(self, state: dict) -> None:
+        kinds = [int if f in ("n", "last_us", "streak", "parts") else float for f in _STATE_FIELDS]
+        self.totals.update(tuple(k(state[f]) for f, k in zip(_STATE_FIELDS, kinds)))
+
+    def _store(self, rows: pd.DataFrame, state: dict) -> None:
+        for stretch, part in rows.groupby(rows["order_us"] // STRETCH):
+            batch = pa.RecordBatch.from_pandas(part, preserve_index=False)
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema) as writer:
+                writer.write_batch(batch)
+            self.waiting.updateValue((int(stretch), int(state["parts"])), (sink.getvalue().to_pybytes(),))
+            state["parts"] += 1
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        state, first = self._state(), None
+        for frame in rows:
+            if len(frame):
+                self._store(frame, state)
+                low = int(frame["order_us"].min())
+                first = low if first is None else min(first, low)
+        self._put(state)
+        if first is not None:
+            self.handle.registerTimer(-(-first // 1000))
+        return iter(())
 
-    Events of an entity are taken in (event_ts, event_id) order inside a
-    micro-batch; an event older than the entity's last one continues from the
-    state as it is.  A group is at most one micro-batch of one entity.
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        state = self._state()
+        keys = sorted(tuple(k) for k in self.waiting.keys())
+        stretches = sorted({k[0] for k in keys})
+        for stretch in stretches:
+            if stretch * STRETCH > passed:
+                self.handle.registerTimer(stretch * STRETCH // 1000)
+                break
+            # One stretch of one entity at a time.
+            parts = [k for k in keys if k[0] == stretch]
+            frames = [pa.ipc.open_stream(self.waiting.getValue(k)[0]).read_pandas() for k in parts]
+            for k in parts:
+                self.waiting.removeKey(k)
+            rows = pd.concat(frames, ignore_index=True)
+            ready, rest = rows[rows["order_us"] <= passed], rows[rows["order_us"] > passed]
+            if len(ready):
+                out, state = advance(ready, state, self.median_gap)
+                out["resource_access_entropy_to_date"] = self._entropies(out, state)
+                yield out[self.columns]
+            if len(rest):
+                self._store(rest, state)
+                self.handle.registerTimer(-(-int(rest["order_us"].min()) // 1000))
+                break
+        self._put(state)
+
+    def _entropies(self, rows: pd.DataFrame, state: dict) -> np.ndarray:
+        """log2(N) - sum(n*log2 n) / N after each row; equal times see each other. One use changes one count."""
+        used = ["" if r is None or r != r else f"={r}" for r in rows["resource_accessed"]]
+        counts = {}
+        for value in set(used):
+            known = self.resources.getValue((value,)) if self.resources.containsKey((value,)) else None
+            counts[value] = known[0] if known else 0
+        out, n = np.zeros(len(used)), state["n"] - len(used)
+        for i, value in enumerate(used):
+            counts[value] += 1
+            state["spread"] += _term(counts[value]) - _term(counts[value] - 1)
+            out[i] = np.log2(n + i + 1) - state["spread"] / (n + i + 1)
+        for value, count in counts.items():
+            self.resources.updateValue((value,), (int(count),))
+        last = rows.groupby("order_us").cumcount(ascending=False).to_numpy() == 0
+        to_last = np.flatnonzero(last)[np.cumsum(np.r_[0, last[:-1]])]
+        return np.maximum(out[to_last], 0.0)
+
+    def close(self) -> None:
+        pass
+
+
+STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def running_stream(events: DataFrame, median_gap: float | None = None, delay: str = "1 hour") -> DataFrame:
+    """Stream counterpart of ``running_features`` and of the entropy to date.
+
+    A row comes out when the watermark, ``delay`` behind the latest time seen, has
+    passed it; those of the last ``delay`` of a stream wait for later rows.  State
+    grows with the entities, the resources each has used and the rows of one delay; a
+    hot entity's waiting rows are held a stretch at a time.
     """
+    spark = events.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
     kinds = ", ".join(f"{n} {t}" for n, t in events.dtypes)
     columns = [*events.columns, *[c.split()[0] for c in NEW_COLUMNS.split(", ")]]
+    marked = events.withColumn("order_us", F.unix_micros("event_ts")).withWatermark("event_ts", delay)
+    return marked.groupBy("entity_id").transformWithStateInPandas(
+        EntityState(columns, median_gap), f"{kinds}, {NEW_COLUMNS}", "Append", "EventTime"
+    )
 
-    def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        old = dict(zip(_STATE_FIELDS, state.get)) if state.exists else dict.fromkeys(_STATE_FIELDS, 0)
-        pdf = pd.concat(list(batches), ignore_index=True)
-        out, new = advance(pdf, old, median_gap)
-        state.update(tuple(new[f] for f in _STATE_FIELDS))
-        yield out[columns]
 
-    return events.groupBy("entity_id").applyInPandasWithState(
-        step, f"{kinds}, {NEW_COLUMNS}", STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came after the watermark had passed them, and were dropped."""
+    return sum(
+        int(op.numRowsDroppedByWatermark) for p in query.recentProgress for op in p.stateOperators
     )
