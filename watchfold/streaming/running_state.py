@@ -1,6 +1,6 @@
 """Running features of a stream in event time: the state of each entity between micro-batches.
 
-Arriving rows wait in the state, in stretches of time, until the watermark has passed
+Arriving rows wait in the state, in parts sorted by time, until the watermark has passed
 them; a timer then releases them in (event_ts, event_id) order. So the features do not
 depend on the order of arrival, as long as no row comes later than the watermark's
 delay. Later ones are dropped before they reach the state; ``late_rows`` counts them.
@@ -36,8 +36,8 @@ NEW_COLUMNS = (
     "bytes_downloaded_zscore double, consecutive_failures long, entity_failed_rate double, "
     "new_device_rate double, new_location_rate double, resource_access_entropy_to_date double"
 )
-#: Waiting rows are stored and released in stretches of this many microseconds.
-STRETCH = 60_000_000
+#: Waiting rows are stored in parts of this many, and released when this many times ten are at hand.
+PART = 1000
 
 
 def _divide(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -104,7 +104,7 @@ class EntityState(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.totals = handle.getValueState("totals", STATE_SCHEMA)
-        self.waiting = handle.getMapState("waiting", "stretch long, part long", "rows binary")
+        self.waiting = handle.getMapState("waiting", "start long, part long", "rows binary")
         self.resources = handle.getMapState("resources", "resource string", "n long")
 
     def _state(self) -> dict:
@@ -116,14 +116,20 @@ class EntityState(StatefulProcessor):
         self.totals.update(tuple(k(state[f]) for f, k in zip(_STATE_FIELDS, kinds)))
 
     def _store(self, rows: pd.DataFrame, state: dict) -> None:
-        for stretch, part in rows.groupby(rows["order_us"] // STRETCH):
+        rows = rows.sort_values("order_us", ignore_index=True)
+        for at in range(0, len(rows), PART):
+            part = rows.iloc[at : at + PART]
             batch = pa.RecordBatch.from_pandas(part, preserve_index=False)
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, batch.schema) as writer:
                 writer.write_batch(batch)
-            self.waiting.updateValue((int(stretch), int(state["parts"])), (sink.getvalue().to_pybytes(),))
+            key = (int(part["order_us"].iloc[0]), int(state["parts"]))
+            self.waiting.updateValue(key, (sink.getvalue().to_pybytes(),))
             state["parts"] += 1
 
+    def _wake(self, us: int) -> None:
+        self.handle.registerTimer(-(-us // 1000))
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         state, first = self._state(), None
         for frame in rows:
@@ -133,33 +139,37 @@ class EntityState(StatefulProcessor):
                 first = low if first is None else min(first, low)
         self._put(state)
         if first is not None:
-            self.handle.registerTimer(-(-first // 1000))
+            self._wake(first)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         passed = timerValues.getCurrentWatermarkInMs() * 1000
         state = self._state()
         keys = sorted(tuple(k) for k in self.waiting.keys())
-        stretches = sorted({k[0] for k in keys})
-        for stretch in stretches:
-            if stretch * STRETCH > passed:
-                self.handle.registerTimer(stretch * STRETCH // 1000)
+        held, n, rest = [], 0, None
+        for i, (start, part) in enumerate(keys):
+            if start > passed:
+                self._wake(start)
                 break
-            # One stretch of one entity at a time.
-            parts = [k for k in keys if k[0] == stretch]
-            frames = [pa.ipc.open_stream(self.waiting.getValue(k)[0]).read_pandas() for k in parts]
-            for k in parts:
-                self.waiting.removeKey(k)
-            rows = pd.concat(frames, ignore_index=True)
-            ready, rest = rows[rows["order_us"] <= passed], rows[rows["order_us"] > passed]
-            if len(ready):
-                out, state = advance(ready, state, self.median_gap)
+            frame = pa.ipc.open_stream(self.waiting.getValue((start, part))[0]).read_pandas()
+            self.waiting.removeKey((start, part))
+            held.append(frame)
+            n += len(frame)
+            # Rows before the start of the next part have no others before them.
+            after = keys[i + 1][0] if i + 1 < len(keys) else passed + 1
+            if n < 10 * PART and after <= passed:
+                continue
+            rows = pd.concat(held, ignore_index=True)
+            ready = rows["order_us"] < min(after, passed + 1)
+            if ready.any():
+                out, state = advance(rows[ready], state, self.median_gap)
                 out["resource_access_entropy_to_date"] = self._entropies(out, state)
                 yield out[self.columns]
-            if len(rest):
-                self._store(rest, state)
-                self.handle.registerTimer(-(-int(rest["order_us"].min()) // 1000))
-                break
+            rest = rows[~ready]
+            held, n = [rest], len(rest)
+        if n:
+            self._store(rest, state)
+            self._wake(int(rest["order_us"].min()))
         self._put(state)
 
     def _entropies(self, rows: pd.DataFrame, state: dict) -> np.ndarray:
@@ -193,7 +203,7 @@ def running_stream(events: DataFrame, median_gap: float | None = None, delay: st
     A row comes out when the watermark, ``delay`` behind the latest time seen, has
     passed it; those of the last ``delay`` of a stream wait for later rows.  State
     grows with the entities, the resources each has used and the rows of one delay; a
-    hot entity's waiting rows are held a stretch at a time.
+    hot entity's waiting rows are read some parts at a time.
     """
     spark = events.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
