@@ -61,16 +61,6 @@ def test_more_bits_for_more_rows():
     assert len(simhash.blocks_for(10)) == 4 and len(simhash.blocks_for(10**9)) > 4
 
 
-def test_kept_rows(spark):
-    texts = ["a b c d", "A b c d", "something else here", None, ""]
-    extra = [(0, "a b c d", "en", "s", 7), (None, "nobody", None, None, None), (9, "a b c d", "x", None, 7)]
-    docs = brute.documents(spark, texts, extra).withColumnRenamed("source", "fp")
-    out = simhash.drop_near_copies(docs)
-    assert out.columns == docs.columns
-    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
-    assert got == sorted([(0, "a b c d"), (2, texts[2]), (3, None), (None, "nobody")], key=repr)
-
-
 def test_components_of_a_long_chain(spark):
     links = spark.range(300).selectExpr("id a", "id + 1 b").union(spark.createDataFrame([(900, 901), (901, 900)], "a long, b long"))
     got = {r.node: r.root for r in components(links).collect()}

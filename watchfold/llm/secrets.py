@@ -266,22 +266,26 @@ def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 
 def hide_secrets(docs: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFrame:
-    """``docs`` with each stretch of overlapping or touching spans in ``text`` replaced by ``mark``; null stays null."""
-    base, spans, was = own_name(docs, "base"), own_name(docs, "spans"), own_name(docs, "was_null")
-    found = with_spans(docs.withColumn(was, col(text).isNull()), text, base, spans)
+    """``docs`` with each stretch of overlapping or touching spans in ``text`` replaced by ``mark``; null stays null.
+
+    The other columns, whatever their names and types, come along in a struct.
+    """
+    rows = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"), col(text).alias("text"))
+    found = with_spans(rows, "text", "base", "spans")
     start = F.struct(
         F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("pieces")
     )
 
     def step(acc: Column, s: Column) -> Column:
-        piece = F.substring(col(text), (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
+        piece = F.substring(F.col("text"), (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
         joined = (s["start"] <= acc["at"]) & (acc["at"] > 0)
         pieces = F.when(joined, acc["pieces"]).otherwise(F.array_append(acc["pieces"], piece))
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), pieces.alias("pieces"))
 
     def end(acc: Column) -> Column:
-        rest = F.substring(col(text), (acc["at"] + 1).cast("int"), F.length(col(text)))
+        rest = F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.length("text"))
         return F.array_join(F.array_append(acc["pieces"], rest), mark)
 
-    hidden = F.when(F.size(spans) > 0, F.aggregate(col(spans), start, step, end)).otherwise(col(text))
-    return found.withColumn(text, F.when(~col(was), hidden)).select(*[col(c) for c in docs.columns])
+    hidden = F.when(F.size("spans") > 0, F.aggregate(F.col("spans"), start, step, end)).otherwise(F.col("text"))
+    hidden = F.when(F.col("row")[text].isNotNull(), hidden)
+    return found.select(*[(hidden if c == text else F.col("row")[c]).alias(c) for c in docs.columns])

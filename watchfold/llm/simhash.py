@@ -204,18 +204,3 @@ def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     rows = keep(rows.select("doc_id", "fp"), "document-fingerprints")
     out = rows.join(near_groups(rows, radius=radius), "fp")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one row of each component: that with the smallest id, then the smallest values."""
-    fp = own_name(docs, "fp")
-    rows = keep(fingerprints(docs, text, fp), "documents-with-fingerprints")
-    groups = near_groups(rows.select(col(doc_id).alias("doc_id"), col(fp).alias("fp")), radius=radius)
-    lows = rows.groupBy(col(fp).alias("fp")).agg(F.min(col(doc_id)).alias("low"))
-    # Of the fingerprints with the component's smallest id, one.
-    best = lows.join(groups, "fp").where(F.col("low").eqNullSafe(F.col("component_id")))
-    best = keep(best.groupBy("component_id").agg(F.min("fp").alias("win"), F.first("low").alias("win_id")), "kept-ids")
-    chosen = rows.join(best, (col(fp) == F.col("win")) & col(doc_id).eqNullSafe(F.col("win_id")), "left_semi")
-    rest = [c for c in docs.columns if c != doc_id]
-    one = chosen.groupBy(col(fp), col(doc_id)).agg(F.min(F.struct(*[col(c) for c in rest])).alias("rest"))
-    return one.select(*[col(c) if c == doc_id else F.col("rest")[c].alias(c) for c in docs.columns])
