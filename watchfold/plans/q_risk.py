@@ -200,7 +200,46 @@ def m03_split(spark, sf):
 @query("m04_ks_p_value", o.sql(f"SELECT feature, {o.rdas('p_value')} FROM drifted", _ks_sql(_BY_TIME)))
 def m04(spark, sf):
     reference, current = _by_time(spark, sf)
-    return drift.detect_drift(drift.fit_reference(reference), current).select("feature", r("p_value"))
+    out = drift.detect_drift(drift.fit_reference(reference), current, exact_rows=0)
+    return out.select("feature", r("p_value"))
+
+
+# Equal sizes: the share of paths that leave the band is an alternating sum of binomials.
+_EXACT = (
+    "CASE WHEN n_ref > 10000 THEN p_value ELSE (SELECT 2 * sum(CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END * exp(2 * lgamma(n_ref + 1.0) "
+    "- lgamma(n_ref - k * h + 1.0) - lgamma(n_ref + k * h + 1.0))) FROM (SELECT unnest(range(1, 10001)) AS k) WHERE k * h <= n_ref) END"
+)
+
+
+@query(
+    "m04_exact_p_value",
+    o.sql(
+        f"SELECT feature, {o.rd(f'least(1, greatest(0, {_EXACT}))')} AS p_value FROM (SELECT *, CAST(round(ks_statistic * n_ref) AS BIGINT) AS h FROM "
+        "(SELECT d.*, (SELECT CAST(count(*) AS DOUBLE) FROM access_log WHERE event_id % 2 = 0) AS n_ref FROM drifted d))",
+        _ks_sql("event_id % 2 = 0"),
+    ),
+)
+def m04_exact(spark, sf):
+    """Even against odd events: two samples of one size, small enough for the exact distribution up to 10,000 rows."""
+    rows = _tracked(spark, sf)
+    even, odd = rows.where("event_id % 2 = 0"), rows.where("event_id % 2 = 1")
+    return drift.detect_drift(drift.fit_reference(even), odd).select("feature", r("p_value"))
+
+
+@query(
+    "m01_merged_sketches",
+    o.sql("SELECT feature, true AS within_bound, (SELECT count(*) FROM access_log WHERE " + _BY_TIME + ") AS n FROM stat", _ks_sql(_BY_TIME)),
+)
+def m01_sketches(spark, sf):
+    """Baselines of single days merged without their rows: as far from the rest as the exact distance says."""
+    reference, current = _by_time(spark, sf)
+    days = [r["d"] for r in reference.select(F.dayofmonth("event_ts").alias("d")).distinct().orderBy("d").collect()]
+    merged = drift.merge_sketches(*[keep(drift.fit_sketch(reference.where(F.dayofmonth("event_ts") == d)), "day") for d in days])
+    rough = drift.sketched_drift(merged, drift.fit_sketch(current)).select("feature", F.col("ks_statistic").alias("rough"))
+    exact = drift.detect_drift(drift.fit_reference(reference), current).select("feature", "ks_statistic")
+    close = F.abs(F.col("rough") - F.col("ks_statistic")) <= 2 * drift.SKETCH_ERROR
+    sizes = merged.select("feature", "n")
+    return exact.join(rough, "feature").join(sizes, "feature").select("feature", close.alias("within_bound"), "n")
 
 
 _BY_ENTITY = (
@@ -239,6 +278,6 @@ _REPORTED = ", ".join(
 )
 def m06(spark, sf):
     reference, current = _by_time(spark, sf)
-    out = keep(drift.detect_drift(drift.fit_reference(reference), current), "drift")
+    out = keep(drift.detect_drift(drift.fit_reference(reference), current, exact_rows=0), "drift")
     whole = F.broadcast(drift.drift_summary(out).withColumn("_all", F.lit(0)))  # one row
     return drift.drift_report(out).withColumn("_all", F.lit(0)).join(whole, "_all").drop("_all")

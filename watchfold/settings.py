@@ -232,6 +232,7 @@ DRIFT_FEATURES = [
 ]
 DRIFT_P_VALUE = 0.05
 DRIFT_DECIMALS = 4
+KS_EXACT_ROWS = 10_000
 DRIFT_REFERENCE_SHARE = 0.7
 
 # Analyst views.
