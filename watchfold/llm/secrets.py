@@ -270,8 +270,10 @@ def hide_secrets(docs: DataFrame, text: str = "text", mark: str = "[secret]") ->
 
     The other columns, whatever their names and types, come along in a struct.
     """
-    rows = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"), col(text).alias("text"))
-    found = with_spans(rows, "text", "base", "spans")
+    others = [col(c) for c in docs.columns if c != text]
+    rest = F.struct(*others) if others else F.lit(None)
+    row = F.struct(col(text).isNull().alias("no text"), rest.alias("others"))
+    found = with_spans(docs.select(row.alias("row"), col(text).alias("text")), "text", "base", "spans")
     start = F.struct(
         F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("pieces")
     )
@@ -287,5 +289,5 @@ def hide_secrets(docs: DataFrame, text: str = "text", mark: str = "[secret]") ->
         return F.array_join(F.array_append(acc["pieces"], rest), mark)
 
     hidden = F.when(F.size("spans") > 0, F.aggregate(F.col("spans"), start, step, end)).otherwise(F.col("text"))
-    hidden = F.when(F.col("row")[text].isNotNull(), hidden)
-    return found.select(*[(hidden if c == text else F.col("row")[c]).alias(c) for c in docs.columns])
+    hidden = F.when(~F.col("row")["no text"], hidden)
+    return found.select(*[(hidden if c == text else F.col("row")["others"][c]).alias(c) for c in docs.columns])
