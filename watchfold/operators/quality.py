@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from watchfold import settings as cfg
+from watchfold.functions import scalars as sc
 from watchfold.operators.slicing import quantiles
 from watchfold.session import keep
 
@@ -226,7 +227,8 @@ def invariants(df: DataFrame) -> DataFrame:
     )
 
 
-FINDINGS = "position int, section string, severity string, subject string, metric string, value double"
+#: Rows with a severity are findings, one per check; the others are the details below them.
+FINDINGS = "position int, section string, severity string, subject string, metric string, value double, detail string"
 
 
 def _whole_table(df: DataFrame, as_of: Column) -> DataFrame:
@@ -242,8 +244,16 @@ def _whole_table(df: DataFrame, as_of: Column) -> DataFrame:
             ]
         ).alias("columns"),
         F.array(
-            *[F.struct(F.lit(c).alias("subject"), F.count_if(x < 0).alias("n")) for c, x in number.items()]
+            *[
+                F.struct(
+                    F.lit(c).alias("subject"), F.count_if(x < 0).alias("n"), F.min(F.when(x < 0, x)).cast("string").alias("lowest")
+                )
+                for c, x in number.items()
+            ]
         ).alias("negatives"),
+        F.count_if(sc.parse_ts("event_ts").isNull() & F.col("event_ts").isNotNull()).alias("unparsed"),
+        F.min("event_ts").cast("string").alias("first_ts"),
+        F.max("event_ts").cast("string").alias("last_ts"),
         F.timestamp_diff("DAY", F.min("event_ts"), F.max("event_ts")).alias("days"),
         F.count_if(F.col("event_ts") > as_of).alias("future"),
         F.count_if(normal & (kind != "Normal")).alias("bad_normal"),
@@ -252,38 +262,41 @@ def _whole_table(df: DataFrame, as_of: Column) -> DataFrame:
 
 
 def _value_counts(df: DataFrame) -> DataFrame:
-    """(column_name, value, n) of the categorical columns, in one pass."""
+    """(column_name, value, n, first_seen) of the categorical columns, in one pass."""
     names = [c for c in dict.fromkeys(cfg.CATEGORICAL_COLUMNS + list(cfg.EXPECTED_VALUES)) if c in df.columns]
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in names])
-    long = df.select(F.explode(pairs).alias("p")).select("p.*").where(F.col("value").isNotNull())
-    return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    long = df.select("event_id", F.explode(pairs).alias("p")).select("event_id", "p.*").where(F.col("value").isNotNull())
+    return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_seen"))
 
 
 def findings(df: DataFrame, as_of: Column, rows_per_slice: int = cfg.ROWS_PER_SLICE) -> DataFrame:
-    """All checks as one table of findings, in report order.
+    """All checks as one table, in report order: a finding with a severity per check, then its details.
 
-    Same results as the single checks, from five passes over the table: plain
-    aggregates, value counts, duplicates, quartiles with outliers, coverage.
+    From five passes over the table: plain aggregates, value counts, duplicates,
+    quartiles, outliers with coverage.
     """
     spark: SparkSession = df.sparkSession
     one = keep(_whole_table(df, as_of), "quality-row")
     values = keep(_value_counts(df), "quality-values")
     five = keep(five_numbers(df, rows_per_slice=rows_per_slice), "five-numbers")
+    as_col = lambda x: x if isinstance(x, Column) else F.lit(x)
 
-    def rows(section: int, name: str, table: DataFrame, subject, metric: str, value, severity) -> DataFrame:
-        as_col = lambda x: x if isinstance(x, Column) else F.lit(x)
+    def rows(section: int, name: str, table: DataFrame, subject, metric, value, severity=None, detail=None) -> DataFrame:
         return table.select(
             F.lit(section).alias("position"),
             F.lit(name).alias("section"),
-            as_col(severity).alias("severity"),
+            as_col(severity).cast("string").alias("severity"),
             as_col(subject).alias("subject"),
-            F.lit(metric).alias("metric"),
+            as_col(metric).alias("metric"),
             as_col(value).cast("double").alias("value"),
+            as_col(detail).cast("string").alias("detail"),
         )
 
-    def warn_if(n: Column, level: str = "WARNING") -> Column:
+    def unless(n: Column, level: str = "WARNING") -> Column:
         return F.when(n > 0, level).otherwise("PASS")
 
+    n = F.count(F.lit(1)).alias("n")
+    kinds = F.create_map(*[F.lit(x) for c, t in df.dtypes for x in (c, t)])
     columns = one.select("total", F.explode("columns").alias("c")).select("total", "c.*")
     miss = columns.where(F.col("missing") > 0).withColumn("pct", F.col("missing") * 100.0 / F.col("total"))
     grade = (
@@ -291,38 +304,61 @@ def findings(df: DataFrame, as_of: Column, rows_per_slice: int = cfg.ROWS_PER_SL
         .when(F.col("pct") >= cfg.MISSING_WARNING_PCT, "WARNING")
         .otherwise("INFO")
     )
-    expected = spark.createDataFrame(
-        [(c, v) for c, known in cfg.EXPECTED_VALUES.items() for v in known], "column_name string, value string"
+    present = [c for c in cfg.EXPECTED_VALUES if c in df.columns]
+    fixed = F.broadcast(  # a fixed list
+        spark.createDataFrame([(c, v) for c in present for v in cfg.EXPECTED_VALUES[c]], "column_name string, value string")
     )
-    checked = values.where(F.col("column_name").isin(*cfg.EXPECTED_VALUES))
-    odd = checked.join(F.broadcast(expected), ["column_name", "value"], "left_anti")  # a fixed list
-    spread = values.where(F.col("column_name").isin(*cfg.CATEGORICAL_COLUMNS)).groupBy("column_name").count()
+    odd = values.where(F.col("column_name").isin(*present)).join(fixed, ["column_name", "value"], "left_anti")
+    checked = spark.createDataFrame([(c,) for c in present], "column_name string")
+    checked = checked.join(odd.groupBy("column_name").agg(n), "column_name", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    spread = values.where(F.col("column_name").isin(*cfg.CATEGORICAL_COLUMNS))
+    nth = F.row_number().over(Window.partitionBy("column_name").orderBy("first_seen", "value"))
+    some = spread.withColumn("rank", nth).where(F.col("rank") <= cfg.SAMPLE_VALUES).groupBy("column_name")
+    some = some.agg(F.array_sort(F.collect_list(F.struct("rank", "value"))).alias("s"))
+    spread = spread.groupBy("column_name").agg(n).join(some, "column_name")
+    sample = F.array_join(F.transform("s", lambda x: x["value"]), ", ")
     classes = values.where(F.col("column_name").isin("label", "anomaly_type"))
     share = F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy("column_name"))
+    classes = classes.withColumn("pct", share)
     negative = one.select(F.explode("negatives").alias("c")).select("c.*")
     mismatched = F.col("bad_normal") + F.col("bad_anomaly")
     named = F.concat_ws("=", "column_name", "value")
+    numbers = five.join(iqr_outliers(df, five), "column_name")
+    figures = ["lowest", "q1", "median", "q3", "highest", "outliers"]
+    cells = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("x")) for m in figures])
+    numbers = numbers.select("column_name", F.explode(cells).alias("c")).select("column_name", "c.*")
+    covered = keep(entity_coverage(df), "coverage")
+    total = F.col("entity_type") == "(all)"
     parts = [
-        rows(1, "Schema", columns, F.col("subject"), "non_null", F.col("total") - F.col("missing"), "INFO"),
-        rows(2, "Missing values", miss.agg(F.count(F.lit(1)).alias("v")), "table", "columns", F.col("v"), warn_if(F.col("v"))),
-        rows(2, "Missing values", miss, F.col("subject"), "missing_pct", F.col("pct"), grade),
+        rows(1, "Schema", columns.agg(n), "table", "columns", F.col("n"), "INFO"),
+        rows(1, "Schema", columns, F.col("subject"), "non_null", F.col("total") - F.col("missing"), None, kinds[F.col("subject")]),
+        rows(2, "Missing values", miss.agg(n), "table", "columns", F.col("n"), unless(F.col("n"))),
+        rows(2, "Missing values", miss, F.col("subject"), "missing_pct", F.col("pct"), None, F.concat_ws(" ", "missing", grade)),
         rows(3, "Duplicates", duplicate_rows(df), "table", "duplicates", F.col("duplicates"), F.col("severity")),
-        rows(4, "Timestamps", one, "event_ts", "days", F.col("days"), "INFO"),
+        rows(4, "Timestamps", one, "event_ts", "unparsed", F.col("unparsed"), unless(F.col("unparsed"), "ERROR")),
+        rows(4, "Timestamps", one, "event_ts", "days", F.col("days"), "INFO", F.concat_ws(" -> ", "first_ts", "last_ts")),
         rows(4, "Timestamps", one.where("future > 0"), "event_ts", "future_events", F.col("future"), "INFO"),
-        rows(5, "Categories", odd, named, "unexpected", F.col("n"), "WARNING"),
-        rows(5, "Categories", spread, F.col("column_name"), "distinct", F.col("count"), "INFO"),
-        rows(6, "Ranges", negative, F.col("subject"), "negatives", F.col("n"), warn_if(F.col("n"))),
-        rows(6, "Ranges", iqr_outliers(df, five), F.col("column_name"), "outliers", F.col("outliers"), "INFO"),
-        rows(7, "Labels", one, "label", "mismatches", mismatched, warn_if(mismatched, "ERROR")),
-        rows(7, "Labels", classes.withColumn("pct", share), named, "pct", F.col("pct"), "INFO"),
-        rows(8, "Entities", entity_coverage(df), F.col("entity_type"), "entities", F.col("entities"), "INFO"),
+        rows(5, "Categories", checked, F.col("column_name"), "unexpected", F.col("n"), unless(F.col("n"))),
+        rows(5, "Categories", odd, named, "unexpected", F.col("n")),
+        rows(5, "Categories", spread.agg(n), "table", "columns", F.col("n"), "INFO"),
+        rows(5, "Categories", spread, F.col("column_name"), "distinct", F.col("n"), None, sample),
+        rows(6, "Ranges", negative, F.col("subject"), "negatives", F.col("n"), unless(F.col("n")), F.col("lowest")),
+        rows(6, "Ranges", five.agg(n), "table", "columns", F.col("n"), "INFO"),
+        rows(6, "Ranges", numbers, F.col("column_name"), F.col("metric"), F.col("x")),
+        rows(7, "Labels", one, "label", "mismatches", mismatched, unless(mismatched, "ERROR")),
+        rows(7, "Labels", classes.agg(n), "table", "classes", F.col("n"), "INFO"),
+        rows(7, "Labels", classes, named, "events", F.col("n"), None, F.format_string("%.2f %%", "pct")),
+        rows(8, "Entities", covered.where(total), "table", "entities", F.col("entities"), "INFO"),
+        rows(8, "Entities", covered.where(~total), F.col("entity_type"), "entities", F.col("entities"), None,
+             F.format_string("%d events, %.1f each", "events", "events_per_entity")),
     ]
     empty = spark.createDataFrame([], FINDINGS)
     return reduce(lambda a, b: a.unionByName(b), parts, empty)
 
 
 def severity_counts(found: DataFrame) -> DataFrame:
-    return found.groupBy("severity").agg(F.count(F.lit(1)).alias("n"))
+    """How many checks ended with each severity."""
+    return found.where(F.col("severity").isNotNull()).groupBy("severity").agg(F.count(F.lit(1)).alias("n"))
 
 
 def report_lines(found: DataFrame) -> DataFrame:
@@ -331,9 +367,12 @@ def report_lines(found: DataFrame) -> DataFrame:
         "position", F.lit(0).alias("sub"), F.lit("").alias("subject"), F.lit("").alias("metric"),
         F.concat(F.lit("## "), F.col("section")).alias("line"),
     )
+    mark = F.coalesce(F.concat(F.lit("- ["), F.col("severity"), F.lit("]")), F.lit("  -"))
+    what = F.format_string("%s %s: %s = %.4f", mark, "subject", "metric", "value")
+    more = F.coalesce(F.concat(F.lit(" ("), F.col("detail"), F.lit(")")), F.lit(""))
     body = found.select(
-        "position", F.lit(1).alias("sub"), "subject", "metric",
-        F.format_string("- [%s] %s: %s = %.4f", "severity", "subject", "metric", "value").alias("line"),
+        "position", F.when(F.col("severity").isNotNull(), 1).otherwise(2).alias("sub"), "subject", "metric",
+        F.concat(what, more).alias("line"),
     )
     counts = severity_counts(found).select(
         F.lit(0).alias("position"), F.lit(1).alias("sub"), F.col("severity").alias("subject"),

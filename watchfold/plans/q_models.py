@@ -648,3 +648,23 @@ def n10(spark, sf):
 )
 def n21(spark, sf):
     return explain.contribution_table(explain.top_features(_linear(spark, sf), list(_LINEAR), 10))
+
+
+@query(
+    "q_batch_summary",
+    o.sql(
+        f"SELECT result, n FROM (SELECT 'scored' AS result, {_ROWS} AS n UNION ALL SELECT 'matrix', {_ROWS} UNION ALL "
+        f"SELECT 'profiled', {_ROWS} UNION ALL SELECT 'comparison', 3 UNION ALL SELECT 'detection', 1 UNION ALL "
+        "SELECT 'report', (SELECT count(DISTINCT anomaly_type) + 3 FROM known) UNION ALL SELECT 'summary', 15 UNION ALL "
+        "SELECT 'explanation', 1 UNION ALL SELECT 'winner_fitted', 1 UNION ALL SELECT 'findings_passed', 10)",
+        _KNOWN,
+    ),
+)
+def batch_summary(spark, sf):
+    """What one complete run leaves behind: rows of every result, the winner of the comparison fitted, checks passed."""
+    b = batch(spark, sf)
+    names = ["scored", "matrix", "profiled", "comparison", "detection", "report", "summary", "explanation"]
+    counts = [(n, getattr(b, n).count()) for n in names]
+    counts.append(("winner_fitted", int(cl.best_model(b.comparison) == b.fitted.classifier.name)))
+    counts.append(("findings_passed", b.findings.where("severity = 'PASS'").count()))
+    return spark.createDataFrame(counts, "result string, n long")

@@ -254,40 +254,99 @@ def b14(spark, sf):
     return q.entity_coverage(log(spark, sf)).select("entity_type", "entities", "events", r("events_per_entity"))
 
 
-_COUNT_DISTINCT_MISSING = f"SELECT count(*) AS n FROM ({_MISSING}) WHERE missing > 0"
+def _found(position: int, section: str, severity: str, subject: str, metric: str, value: str, detail: str, rest: str) -> str:
+    return (
+        f"SELECT {position} AS position, '{section}' AS section, CAST({severity} AS VARCHAR) AS severity, {subject} AS subject, "
+        f"{metric} AS metric, CAST({value} AS DOUBLE) AS value, CAST({detail} AS VARCHAR) AS detail {rest}"
+    )
 
 
-@query(
-    "b15_severity_counts",
-    o.sql(
-        "SELECT severity, count(*) AS n FROM ("
-        f"SELECT 'INFO' AS severity FROM ({_union(f'SELECT 1 AS x FROM (SELECT count({c}) FROM access_log)' for c in _TYPES)}) "
-        f"UNION ALL SELECT CASE WHEN n > 0 THEN 'WARNING' ELSE 'PASS' END FROM ({_COUNT_DISTINCT_MISSING}) "
-        "UNION ALL SELECT CASE WHEN missing * 100.0 / total >= 50 THEN 'ERROR' WHEN missing * 100.0 / total >= 5 "
-        f"THEN 'WARNING' ELSE 'INFO' END FROM ({_MISSING}) WHERE missing > 0 "
-        f"UNION ALL SELECT CASE WHEN coalesce(sum(n - 1), 0) = 0 THEN 'PASS' ELSE 'ERROR' END FROM (SELECT count(*) AS n FROM access_log GROUP BY {', '.join(_TYPES)}) "
-        "UNION ALL SELECT 'INFO' FROM (SELECT min(event_ts) FROM access_log) "
-        f"UNION ALL SELECT DISTINCT 'INFO' FROM access_log WHERE event_ts > TIMESTAMP '{_AS_OF}' "
-        + "".join(
-            f"UNION ALL SELECT 'WARNING' FROM (SELECT DISTINCT {c} FROM access_log WHERE {c} NOT IN ({o.quoted(v)})) "
-            for c, v in cfg.EXPECTED_VALUES.items()
-        )
-        + f"UNION ALL SELECT 'INFO' FROM (SELECT DISTINCT column_name FROM ({_SEEN})) "
-        + "".join(
-            f"UNION ALL SELECT CASE WHEN count(*) FILTER (WHERE {c} < 0) > 0 THEN 'WARNING' ELSE 'PASS' END FROM access_log "
-            for c in cfg.NON_NEGATIVE_COLUMNS
-        )
-        + "UNION ALL SELECT 'INFO' FROM five "
-        "UNION ALL SELECT CASE WHEN count(*) FILTER (WHERE (label = 'Normal') <> (anomaly_type = 'Normal')) > 0 THEN 'ERROR' ELSE 'PASS' END FROM access_log "
-        "UNION ALL SELECT 'INFO' FROM (SELECT DISTINCT label FROM access_log) "
-        "UNION ALL SELECT 'INFO' FROM (SELECT DISTINCT anomaly_type FROM access_log) "
-        "UNION ALL SELECT 'INFO' FROM (SELECT entity_type FROM access_log GROUP BY ROLLUP (entity_type))"
-        ") GROUP BY severity",
-        _FIVE,
-    ),
+def _unless(n: str, level: str = "WARNING") -> str:
+    return f"CASE WHEN {n} > 0 THEN '{level}' ELSE 'PASS' END"
+
+
+_LOG = "FROM access_log"
+_GRADE = "CASE WHEN missing * 100.0 / total >= 50 THEN 'ERROR' WHEN missing * 100.0 / total >= 5 THEN 'WARNING' ELSE 'INFO' END"
+_PRESENT = f"(SELECT * FROM ({_MISSING}) WHERE missing > 0)"
+_MISMATCHED = "count(*) FILTER (WHERE (label = 'Normal') <> (anomaly_type = 'Normal'))"
+_ALL_DUP = f"(SELECT coalesce(sum(n - 1), 0) AS n FROM (SELECT count(*) AS n FROM access_log GROUP BY {', '.join(_TYPES)}))"
+_ODD = _union(
+    f"SELECT '{c}' AS column_name, {c} AS value, count(*) AS n FROM access_log WHERE {c} NOT IN ({o.quoted(v)}) GROUP BY {c}"
+    for c, v in cfg.EXPECTED_VALUES.items()
 )
+_CLASSES = _union(
+    f"SELECT '{c}' AS column_name, {c} AS value, count(*) AS n FROM access_log WHERE {c} IS NOT NULL GROUP BY {c}"
+    for c in ("label", "anomaly_type")
+)
+_TYPES_SQL = ", ".join(f"('{c}', '{t}')" for c, t in _TYPES.items())
+_PARTS = [
+    _found(1, "Schema", "'INFO'", "'table'", "'columns'", str(len(_TYPES)), "NULL", ""),
+    _found(1, "Schema", "NULL", "column_name", "'non_null'", "total - missing", "dtype",
+           f"FROM ({_MISSING}) JOIN (VALUES {_TYPES_SQL}) AS k(column_name, dtype) USING (column_name)"),
+    _found(2, "Missing values", _unless("count(*)"), "'table'", "'columns'", "count(*)", "NULL", f"FROM {_PRESENT}"),
+    _found(2, "Missing values", "NULL", "column_name", "'missing_pct'", "missing * 100.0 / total", f"concat(missing, ' ', {_GRADE})", f"FROM {_PRESENT}"),
+    _found(3, "Duplicates", "CASE WHEN n = 0 THEN 'PASS' ELSE 'ERROR' END", "'table'", "'duplicates'", "n", "NULL", f"FROM {_ALL_DUP}"),
+    _found(4, "Timestamps", "'PASS'", "'event_ts'", "'unparsed'", "0", "NULL", ""),
+    _found(4, "Timestamps", "'INFO'", "'event_ts'", "'days'", "date_sub('day', min(event_ts), max(event_ts))",
+           "concat(min(event_ts), ' -> ', max(event_ts))", _LOG),
+    _found(4, "Timestamps", "'INFO'", "'event_ts'", "'future_events'", "count(*)", "NULL",
+           f"{_LOG} WHERE event_ts > TIMESTAMP '{_AS_OF}' HAVING count(*) > 0"),
+    *[
+        _found(5, "Categories", _unless("count(*)"), f"'{c}'", "'unexpected'", "count(*)", "NULL", f"FROM ({_ODD}) WHERE column_name = '{c}'")
+        for c in cfg.EXPECTED_VALUES
+    ],
+    _found(5, "Categories", "NULL", "concat(column_name, '=', value)", "'unexpected'", "n", "NULL", f"FROM ({_ODD})"),
+    _found(5, "Categories", "'INFO'", "'table'", "'columns'", "count(DISTINCT column_name)", "NULL", f"FROM ({_SEEN})"),
+    _found(5, "Categories", "NULL", "column_name", "'distinct'", "count(*)", "string_agg(value, ', ' ORDER BY rk) FILTER (WHERE rk <= 8)",
+           f"FROM (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY f, value) AS rk FROM ({_SEEN})) GROUP BY column_name"),
+    *[
+        _found(6, "Ranges", _unless(f"count(*) FILTER (WHERE {c} < 0)"), f"'{c}'", "'negatives'", f"count(*) FILTER (WHERE {c} < 0)",
+               f"CAST(min(CASE WHEN {c} < 0 THEN {c} END) AS DOUBLE)", _LOG)
+        for c in cfg.NON_NEGATIVE_COLUMNS
+    ],
+    _found(6, "Ranges", "'INFO'", "'table'", "'columns'", "count(*)", "NULL", "FROM five"),
+    *[_found(6, "Ranges", "NULL", "column_name", f"'{m}'", m, "NULL", "FROM five") for m in _FIVE_OUT],
+    *[
+        _found(6, "Ranges", "NULL", f"'{c}'", "'outliers'",
+               f"count(*) FILTER (WHERE {c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1))", "NULL",
+               f"FROM access_log, five WHERE column_name = '{c}'")
+        for c in _NUMERIC
+    ],
+    _found(7, "Labels", _unless(_MISMATCHED, "ERROR"), "'label'", "'mismatches'", _MISMATCHED, "NULL", _LOG),
+    _found(7, "Labels", "'INFO'", "'table'", "'classes'", "count(*)", "NULL", f"FROM ({_CLASSES})"),
+    _found(7, "Labels", "NULL", "concat(column_name, '=', value)", "'events'", "n",
+           "printf('%.2f %%', n * 100.0 / (SELECT count(*) FROM access_log))", f"FROM ({_CLASSES})"),
+    _found(8, "Entities", "'INFO'", "'table'", "'entities'", "count(DISTINCT entity_id)", "NULL", _LOG),
+    _found(8, "Entities", "NULL", "entity_type", "'entities'", "count(DISTINCT entity_id)",
+           "printf('%d events, %.1f each', count(*), count(*) / CAST(count(DISTINCT entity_id) AS DOUBLE))", f"{_LOG} GROUP BY entity_type"),
+]
+FOUND = "found AS (" + _union(_PARTS) + ")"
+REPORT = o.sql(
+    "SELECT concat(severity, ': ', count(*)) AS line FROM found WHERE severity IS NOT NULL GROUP BY severity "
+    "UNION ALL SELECT DISTINCT concat('## ', section) FROM found "
+    "UNION ALL SELECT concat(CASE WHEN severity IS NULL THEN '  -' ELSE concat('- [', severity, ']') END, ' ', subject, ': ', metric, ' = ', "
+    "printf('%.4f', value), CASE WHEN detail IS NULL THEN '' ELSE concat(' (', detail, ')') END) FROM found",
+    _FIVE, FOUND,
+)
+
+
+def all_findings(spark, sf):
+    return q.findings(log(spark, sf), F.lit(_AS_OF).cast("timestamp_ntz"))
+
+
+@query("b15_severity_counts", o.sql("SELECT severity, count(*) AS n FROM found WHERE severity IS NOT NULL GROUP BY severity", _FIVE, FOUND))
 def b15(spark, sf):
-    return q.severity_counts(q.findings(log(spark, sf), F.lit(_AS_OF).cast("timestamp_ntz")))
+    """One severity per check, as a reader of the report counts them."""
+    return q.severity_counts(all_findings(spark, sf))
+
+
+@query(
+    "b15_findings",
+    o.sql(f"SELECT position, section, severity, subject, metric, {o.rdas('value')}, detail FROM found", _FIVE, FOUND),
+)
+def b15_findings(spark, sf):
+    """Every finding with its details: values, samples, first and last time, five numbers, lowest negatives, classes."""
+    return all_findings(spark, sf).withColumn("value", F.round("value", 6))
 
 
 _FILLED = " AND ".join(f"count({c}) > 0" for c in _TYPES)

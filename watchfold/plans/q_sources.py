@@ -8,6 +8,7 @@ from watchfold import settings as cfg
 from watchfold.operators import classify as cl
 from watchfold.operators import drift, encoding, explain, forest, profiles, quality
 from watchfold.plans import analyst, oracle as o
+from watchfold.plans.q_quality import REPORT, all_findings
 from watchfold.plans.registry import batch, enriched, log, profiled, query, r, rule_scored
 from watchfold.session import fresh_path
 from watchfold.sources import tables
@@ -188,10 +189,10 @@ def a11(spark, sf):
     return tables.read_table(spark, path, alerts.schema, "csv")
 
 
-@query("a12_report_lines")
+@query("a12_report_lines", REPORT)
 def a12(spark, sf):
-    found = quality.findings(log(spark, sf), F.lit("2024-02-01").cast("timestamp_ntz"))
-    path = tables.write_report_lines(quality.report_lines(found), fresh_path(spark, "report"))
+    """The report written as text and read back."""
+    path = tables.write_report_lines(quality.report_lines(all_findings(spark, sf)), fresh_path(spark, "report"))
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
