@@ -1,8 +1,6 @@
 import collections
 import random
 
-import numpy as np
-
 from tests.conftest import SMALL
 from tests.llm import brute
 from watchfold.llm import passages
@@ -48,7 +46,7 @@ def test_near_paragraphs_equal_plain_comparison(spark, monkeypatch):
                 other[rng.randrange(60)] = f"x{rng.randrange(10**6)}"
             lines.append(" ".join(other))
     df = brute.documents(spark, lines).selectExpr("doc_id", "cast(text as binary) text", "doc_id doc")
-    found = passages.occurrences(df, np.full(1 << (passages.FILTER_BITS - 3), 255, np.uint8)).cache()
+    found = passages.occurrences(df, None).cache()
     words = {r.h: bytes(r.words).decode() for r in found.collect()}
     roots = {r.node: r.root for r in components(passages.paragraph_links(found)).collect()}
     h = sorted(words)
@@ -75,3 +73,33 @@ def test_odd_rows(spark):
     assert [r.first_doc_id for r in rows if r.doc_id == 4] == [3] * sum(r.doc_id == 4 for r in rows)
     assert max(r.n_words for r in rows if r.doc_id == 4) >= 45
     assert passages.repeated_passages(brute.documents(spark, [])).count() == 0
+
+
+def planted(rng, style, size):
+    """A passage of ``size`` words: in lines of seven words, without punctuation, or as prose."""
+    words = [f"s{rng.randrange(10**7)}" for _ in range(size)]
+    if style == "lines":
+        return "\n".join(" ".join(words[i : i + 7]) for i in range(0, size, 7))
+    if style == "prose":
+        words = [w + ("." if rng.random() < 0.1 else "") for w in words]
+    return " ".join(words)
+
+
+def test_passages_of_any_layout(spark, monkeypatch):
+    """Passages of 80 words set among other words at any place: in short lines, bare, and as prose."""
+    monkeypatch.setattr(passages, "CHUNK", 16)
+    rng = random.Random(5)
+    texts, pairs = [], {}
+    for style in ("lines", "bare", "prose"):
+        for _ in range(40):
+            shared = planted(rng, style, 80)
+            pairs[len(texts)] = style
+            for _ in range(2):
+                around = [text_of(rng, rng.randrange(3, 60)), text_of(rng, rng.randrange(3, 60))]
+                texts.append(f"{around[0]} {shared} {around[1]}")
+    texts += [text_of(rng, 150) for _ in range(30)]
+    rows = passages.repeated_passages(brute.documents(spark, texts)).collect()
+    found = {r.doc_id for r in rows}
+    share = collections.Counter(style for i, style in pairs.items() if {i, i + 1} <= found)
+    assert share["prose"] >= 36 and share["lines"] >= 34 and share["bare"] >= 34, share
+    assert not found & set(range(240, 270))

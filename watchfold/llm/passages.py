@@ -1,15 +1,17 @@
 """Passages that repeat across documents: MinHash banding of paragraphs.
 
-A paragraph is a run of words cut where its own words say so: at the end of a line; at
-the end of a sentence, mostly, depending on the sentence's last two words; and, rarely,
-after any two words, so that unpunctuated text is cut too. A passage copied into another
-text, even into the middle of a line, is therefore cut alike there.
+A paragraph is a run of words cut where its own words say so: at the end of a line, and
+of about every third short line, depending on the last two words of it and its neighbours; at
+the end of a sentence, mostly, depending on its last two words; and after any two words, rarely, or more often where no
+sentence has ended for a while, so that unpunctuated text is cut too. A passage copied
+into another text, even into the middle of a line, is therefore cut alike there.
 
 Each paragraph of ``LEAST_WORDS`` or more has a MinHash signature over its shingles of
 five words, in ``BANDS`` bands of ``ROWS`` values: paragraphs of similarity 0.8 collide
 in a band with a probability of ``1 - (1 - 0.8^2)^4`` = 0.983, equal ones always. A first
-pass over the texts finds the keys of bands in which paragraphs collide; a second one
-gathers only paragraphs that a fixed-size bit filter of those keys lets through. Colliding
+pass over the texts, stored in chunks of ``CHUNK`` documents, sends the keys of each chunk
+to ranges of keys; those that collide come back to their chunks, where a second pass
+gathers just the paragraphs that have one. Colliding
 paragraphs are compared by their exact Jaccard similarity and joined into components;
 in each, the first document's occurrences stay and the others are removed. Crowded bands are cut
 into blocks, and each pair of blocks is a group of bounded size; of equal paragraphs
@@ -36,10 +38,12 @@ LEAST_WORDS = 8
 LEAST_SPAN = 16  # words of a run of repeated paragraphs that counts as a passage
 BANDS, ROWS = 4, 2
 CUT_ANY = 40  # one in so many pairs of words is a cut
+CUT_BARE = 12  # the same where no sentence has ended within BARE words
+BARE = 24
 BLOCK = 1024  # paragraphs in a block of a crowded band
-FILTER_BITS = 23
+CHUNK = 2048  # documents whose keys are kept together
+RANGE_BYTES = 32 << 20  # bytes of texts for each range of keys
 STEP_WORDS = 200_000
-STEP_KEYS = 2_000_000  # keys packed at once
 KNOWN = 300_000  # words whose hashes a worker remembers
 
 A = np.uint64(0x9E3779B97F4A7C15)
@@ -64,7 +68,7 @@ class Cut:
     """Paragraphs of several texts: arrays over all their words, and over the paragraphs."""
 
     def __init__(self, texts: list[bytes], known: Hashes):
-        words, ends, sizes = [], [], []
+        words, ends, long, sizes = [], [], [], []
         for t in texts:
             n = 0
             for line in t.split(b"\n"):
@@ -72,6 +76,9 @@ class Cut:
                     words += own
                     n += len(own)
                     ends.append(len(words) - 1)
+                    long.append(len(own) >= LEAST_WORDS)
+            if n:
+                long[-1] = True
             sizes.append(n)
         self.words = words
         n = len(words)
@@ -83,7 +90,13 @@ class Cut:
         # A sentence has three words at least: else text of words that all end so would have no paragraph.
         end = stop & ~np.r_[[False], stop[:-1]][:n] & ~np.r_[[False, False], stop[:-2]][:n]
         cut = end & (two % np.uint64(3) != 0) | (two % np.uint64(CUT_ANY) == 0)
-        cut[ends] = True
+        since = np.arange(n) - np.maximum.accumulate(np.where(stop, np.arange(n), -1)) if n else np.empty(0, np.int64)
+        cut |= (since >= BARE) & (two % np.uint64(CUT_BARE) == 0)
+        # Of the ends of short lines those whose last two words have a smaller hash than those of the lines around.
+        ends, long = np.array(ends, np.int64), np.array(long, bool)
+        rank = np.where(long, np.uint64(0), two[ends])
+        edge = np.full(1, ~np.uint64(0))
+        cut[ends[long | (rank < np.r_[edge, rank[:-1]][: len(rank)]) & (rank <= np.r_[rank[1:], edge][: len(rank)])]] = True
         last = np.flatnonzero(cut)
         first = np.r_[0, last[:-1] + 1] if len(last) else last
         # A pair of words over a line's end says nothing about the place: its cut is the line's own.
@@ -123,81 +136,125 @@ def chunks(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
         yield step
 
 
-def packed(keys: np.ndarray, parts: int) -> pd.DataFrame:
-    """Rows (part, once, again): the keys of each range as bytes, those that occur again beside."""
+def packed(keys: np.ndarray, chunk: int, parts: int) -> pd.DataFrame:
+    """Rows (part, chunk, once, again): a chunk's keys of each range as bytes, those that occur again beside."""
     key, n = np.unique(keys, return_counts=True)
     part = ((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-    edge = np.searchsorted(part, np.arange(parts + 1))
-    rows = [(i, key[a:b][n[a:b] == 1].tobytes(), key[a:b][n[a:b] > 1].tobytes()) for i, (a, b) in enumerate(zip(edge, edge[1:], strict=False)) if b > a]
-    return pd.DataFrame(rows, columns=["part", "once", "again"])
+    edge = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else np.zeros(1, np.int64)
+    rows = [
+        (part[a], chunk, key[a:b][n[a:b] == 1].tobytes(), key[a:b][n[a:b] > 1].tobytes())
+        for a, b in zip(edge, edge[1:], strict=False)
+    ]
+    return pd.DataFrame(rows, columns=["part", "chunk", "once", "again"])
+
+
+def by_chunk(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, pd.DataFrame]]:
+    """Steps of rows of one chunk each."""
+    for batch in batches:
+        for chunk, rows in batch.groupby("chunk", sort=False):
+            for step in chunks(rows):
+                yield int(chunk), step
 
 
 def colliding_keys(docs: DataFrame) -> DataFrame:
-    """Keys of bands that more than one paragraph of ``text`` (binary) has.
+    """(chunk, keys): for each chunk of ``docs``, its keys that more than one paragraph of any text has, as bytes.
 
-    Keys travel as packed arrays, one for each range of keys and ``STEP_KEYS`` keys of a
-    task, in which keys met twice stand once: eight bytes a key, and a crowded one is
-    moved once a step.
+    Keys travel as packed arrays, one for each range of keys and stretch of a chunk in a
+    task: eight bytes a key, and a crowded one is moved once for each chunk. The number
+    of ranges grows with the texts, so a range's keys fit a worker at every size.
     """
-    parts = partitions(docs.sparkSession)
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    parts = max(partitions(docs.sparkSession), -(-size // RANGE_BYTES))
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, held, n = Hashes(), [], 0
-        for batch in batches:
-            for step in chunks(batch):
-                keys = Cut(list(step["text"]), known).keys()[1].ravel().view(np.uint64)
-                held.append(keys)
-                n += len(keys)
-                if n >= STEP_KEYS:
-                    yield packed(np.concatenate(held), parts)
-                    held, n = [], 0
-        if n:
-            yield packed(np.concatenate(held), parts)
+        known, held, at = Hashes(), [], None
+        for chunk, step in by_chunk(batches):
+            if at is not None and chunk != at:
+                yield packed(np.concatenate(held), at, parts)
+                held = []
+            at = chunk
+            held.append(Cut(list(step["text"]), known).keys()[1].ravel().view(np.uint64))
+        if held:
+            yield packed(np.concatenate(held), at, parts)
 
     def again(frame: pd.DataFrame) -> pd.DataFrame:
-        once = np.frombuffer(b"".join(frame["once"]), np.uint64)
-        twice = np.unique(np.frombuffer(b"".join(frame["again"]), np.uint64))
-        key, n = np.unique(once, return_counts=True)
-        return pd.DataFrame({"key": np.union1d(key[n > 1], twice).view(np.int64)})
-
-    rows = docs.select("text").mapInPandas(pack, "part long, once binary, again binary")
-    return rows.groupBy("part").applyInPandas(again, "key long")
-
+        once = [np.frombuffer(b, np.uint64) for b in frame["once"]]
+        more = [np.frombuffer(b, np.uint64) for b in frame["again"]]
+        key, n = np.unique(np.concatenate([*once, np.empty(0, np.uint64)]), return_counts=True)
+        met = np.union1d(key[n > 1], np.concatenate([*more, np.empty(0, np.uint64)]))
+        out = []
+        for chunk, a, b in zip(frame["chunk"], once, more, strict=True):
+            mine = np.concatenate([a, b])
+            mine = mine[np.isin(mine, met, assume_unique=True)]
+            if len(mine):
+                out.append((chunk, mine.tobytes()))
+        return pd.DataFrame(out, columns=["chunk", "keys"])
+
+    rows = docs.select("chunk", "text").mapInPandas(pack, "part long, chunk long, once binary, again binary")
+    return rows.groupBy("part").applyInPandas(again, "chunk long, keys binary")
+
+
+def occurrences(docs: DataFrame, colliding: DataFrame | None) -> DataFrame:
+    """Paragraphs with a key that collides (None: all): doc_id, doc, start, size, h, its keys k0, k1 ... and words.
+
+    The keys of a chunk come before its texts in the same partition, so a worker holds
+    the keys of one chunk at a time.
+    """
 
-def occurrences(docs: DataFrame, bits: np.ndarray) -> DataFrame:
-    """Paragraphs of which a key is in the filter: doc_id, doc, start, size, h, its keys k0, k1 ... and words."""
-    shared = docs.sparkSession.sparkContext.broadcast(bits)  # 1 MB, whatever the rows
+    everything = colliding is None
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, lit = Hashes(), shared.value
+        known, at, held, lit = Hashes(), None, [], None
         for batch in batches:
-            for step in chunks(batch):
-                cut = Cut(list(step["text"]), known)
-                h, keys = cut.keys()
-                place = keys & ((1 << FILTER_BITS) - 1)
-                hit = np.flatnonzero((lit[place >> 3] >> (place & 7) & 1).any(axis=1)) if len(h) else []
-                if not len(hit):
+            if everything:
+                batch = batch.assign(chunk=0, keys=None)
+            for chunk, rows in batch.groupby("chunk", sort=False):
+                if chunk != at:
+                    at, held, lit = chunk, [], None
+                held += [np.frombuffer(k, np.int64) for k in rows["keys"] if k is not None]
+                rows = rows[rows["text"].notna()]
+                if not len(rows) or not (everything or held):
                     continue
-                own = cut.text[cut.first[hit]]
-                ids, docs_ = step["doc_id"].to_numpy(), step["doc"].to_numpy()
-                yield pd.DataFrame(
-                    {
-                        "doc_id": ids[own],
-                        "doc": docs_[own],
-                        "start": cut.first[hit] - cut.origin[cut.first[hit]],
-                        "size": cut.size[hit],
-                        "h": h[hit],
-                        **{f"k{b}": keys[hit, b] for b in range(BANDS)},
-                        "words": [b" ".join(cut.words[cut.first[i] : cut.first[i] + cut.size[i]]) for i in hit],
-                    }
-                )
+                if lit is None and not everything:
+                    lit = np.unique(np.concatenate(held))
+                for step in chunks(rows):
+                    yield from paragraphs(step, Cut(list(step["text"]), known), lit)
 
     kind = dict(docs.dtypes)["doc_id"]
     bands = ", ".join(f"k{b} long" for b in range(BANDS))
     schema = f"doc_id string, doc long, start long, size long, h long, {bands}, words binary"
     # As a string on the way: pandas has no null among whole numbers.
-    out = docs.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(work, schema)
-    return out.withColumn("doc_id", F.col("doc_id").cast(kind))
+    rows = docs.withColumn("doc_id", F.col("doc_id").cast("string"))
+    if not everything:
+        some = colliding.withColumn("doc", F.lit(-1).cast("long"))
+        rows = rows.select("chunk", "doc", "doc_id", "text").unionByName(some, allowMissingColumns=True)
+        rows = rows.repartition(partitions(docs.sparkSession), "chunk").sortWithinPartitions("chunk", "doc")
+    return rows.mapInPandas(work, schema).withColumn("doc_id", F.col("doc_id").cast(kind))
+
+
+def paragraphs(step: pd.DataFrame, cut: Cut, lit: np.ndarray | None) -> Iterator[pd.DataFrame]:
+    """The paragraphs of some texts of which a key is among the sorted keys ``lit``."""
+    h, keys = cut.keys()
+    if not len(h):
+        return
+    if lit is None:
+        hit = np.arange(len(h))
+    else:
+        place = np.minimum(np.searchsorted(lit, keys), len(lit) - 1)
+        hit = np.flatnonzero((lit[place] == keys).any(axis=1))
+    if len(hit):
+        own = cut.text[cut.first[hit]]
+        yield pd.DataFrame(
+            {
+                "doc_id": step["doc_id"].to_numpy()[own],
+                "doc": step["doc"].to_numpy()[own],
+                "start": cut.first[hit] - cut.origin[cut.first[hit]],
+                "size": cut.size[hit],
+                "h": h[hit],
+                **{f"k{b}": keys[hit, b] for b in range(BANDS)},
+                "words": [b" ".join(cut.words[cut.first[i] : cut.first[i] + cut.size[i]]) for i in hit],
+            }
+        )
 
 
 def similar(frame: pd.DataFrame) -> pd.DataFrame:
@@ -288,17 +345,11 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     of their own.
     """
     rows = docs.select(col(doc_id).alias("doc_id"), F.coalesce(col(text), F.lit("")).cast("binary").alias("text"))
-    rows = rows.withColumn("doc", F.monotonically_increasing_id())
-    keys = colliding_keys(rows)
-    bit = F.col("key").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    # A row per word of the filter: at most 2^17, whatever the rows.
-    cells = keys.groupBy(F.shiftright(bit, 6).alias("cell")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(key & 63 as int))")).alias("bits")
-    )
-    filter_ = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    for r in cells.toLocalIterator():
-        filter_[r["cell"]] = r["bits"]
-    found = keep(occurrences(rows, filter_.view(np.uint8)), "paragraphs")
+    # Stored, so that both passes see the same numbers.
+    rows = keep(rows.withColumn("doc", F.monotonically_increasing_id()), "numbered-texts")
+    inside = F.col("doc").bitwiseAND(F.lit((1 << 33) - 1))
+    rows = rows.withColumn("chunk", F.col("doc") - inside + F.floor(inside / CHUNK))
+    found = keep(occurrences(rows, keep(colliding_keys(rows), "colliding-keys")), "paragraphs")
     roots = keep(components(paragraph_links(found)), "paragraph-components")
     light = found.select("doc_id", "doc", "start", "size", "h")
     named = light.join(roots, light["h"] == roots["node"], "left").withColumn("root", F.coalesce("root", "h"))
