@@ -10,13 +10,15 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from watchfold.operators import drift, enrich, forest, metrics, profiles, quality, risk, running  # noqa: E402
+from watchfold.operators import classify as cl  # noqa: E402
+from watchfold.operators import drift, enrich, explain, forest, metrics, profiles, quality, risk, rolling, running  # noqa: E402
 from watchfold.plans import analyst  # noqa: E402
 from watchfold.plans.registry import rule_score, rule_scored  # noqa: E402
 from watchfold.operators import encoding  # noqa: E402
 from watchfold.session import keep, local_session, ship_code  # noqa: E402
 from watchfold.sources.access_log import read_access_log  # noqa: E402
 from watchfold.sources.tables import clustered  # noqa: E402
+from watchfold.streaming import live, running_state  # noqa: E402
 
 
 def main() -> None:
@@ -65,6 +67,30 @@ def main() -> None:
         metrics.binary_metrics(state["scored"], truth, F.col("prediction") == -1).collect()
         metrics.roc_auc(state["scored"], truth, "anomaly_score").collect()
 
+    def drift_of_late_rows():
+        """The first 70 % of the events by time against the rest."""
+        early, late = drift.split_by_time(state["profiled"])
+        drift.detect_drift(drift.fit_reference(early), late).collect()
+
+    def look_back():
+        done(rolling.rolling_rates(log(), 7))
+        done(rolling.expanding_entropy(log()))
+
+    def classifier():
+        """200 rounds of the balanced boosted model on all attacks."""
+        state["attacks"] = keep(cl.training_rows(state["matrix"]), "bench-attacks")
+        state["classifier"] = cl.train_model(state["attacks"], state["names"], "boosted_balanced")
+
+    def attribution():
+        """Class and attributions of every flagged event."""
+        flagged = state["scored"].where("prediction = -1")
+        said = cl.classify(flagged, state["classifier"])
+        done(explain.top_of(explain.attribute(said, state["classifier"]), state["classifier"]))
+
+    def live_responses():
+        """Running state of a stream, in event time, for every event."""
+        done(live.drain(running_state.running_stream(live.table_stream(spark, folder), 60.0, "0 seconds")))
+
     queries = {
         "ingest": ingest,
         "data_quality": lambda: quality.findings(log(), F.lit("2024-02-01").cast("timestamp_ntz")).collect(),
@@ -78,9 +104,12 @@ def main() -> None:
         "risk_scoring": lambda: done(risk.score_risk(log().withColumn("anomaly_score", rule_score()), attack_col="anomaly_type")),
         "triage": lambda: analyst.triage(rule_scored(log())).collect(),
         "kpis": lambda: analyst.kpis(rule_scored(log())).collect(),
-        "drift": lambda: drift.detect_drift(
-            drift.fit_reference(state["profiled"].where("day_of_month <= 21")), state["profiled"].where("day_of_month > 21")
-        ).collect(),
+        "drift": drift_of_late_rows,
+        "look_back_features": look_back,
+        "classifier": classifier,
+        "compare_models": lambda: cl.compare_models(state["attacks"]).collect(),
+        "attribution": attribution,
+        "live_responses": live_responses,
     }
     def run_all() -> dict[str, float]:
         times = {}

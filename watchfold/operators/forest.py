@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +35,14 @@ class Forest:
     offset: float = -0.5
     low: float = cfg.LIVE_BOUNDS[0]
     high: float = cfg.LIVE_BOUNDS[1]
+    _sent: dict = field(default_factory=dict, compare=False, repr=False)
+
+    def trees(self) -> Broadcast:
+        """The node table as arrays, sent to the workers once."""
+        if "trees" not in self._sent:
+            arrays = _Trees(self.nodes.toPandas(), self.sample)
+            self._sent["trees"] = self.nodes.sparkSession.sparkContext.broadcast(arrays)
+        return self._sent["trees"]
 
     def save(self, path: str) -> None:
         spark = self.nodes.sparkSession
@@ -195,8 +204,7 @@ class _Trees:
 
 def isolation(vectors: DataFrame, forest: Forest) -> DataFrame:
     """Add ``isolation`` in (0, 1]; a narrow map, the forest is small and broadcast."""
-    spark = vectors.sparkSession
-    trees = spark.sparkContext.broadcast(_Trees(forest.nodes.toPandas(), forest.sample))
+    trees = forest.trees()
 
     @F.arrow_udf("double")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
