@@ -239,7 +239,12 @@ def decode(df: DataFrame, ids: str = "token_ids", out: str = "decoded", ranks: s
 
 
 def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: its id, number of tokens, digest of the ids and of the bytes they decode to."""
+    """Per row: its id, number of tokens, digest of the ids and of the bytes they decode to.
+
+    A null text is empty and has no tokens; repeated rows give equal rows; an empty table
+    gives an empty result. A text of any length is encoded whole, in halves. Of equal
+    ranks the leftmost pair is joined first. Further columns play no part.
+    """
     rows = encode(docs.select(col(doc_id).alias("doc_id"), col(text).alias("text")))
     rows = decode(rows.drop("text"))
     return rows.select(

@@ -265,7 +265,9 @@ def near_vectors(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embe
 
     Vectors that are null, empty or zero, hold a null or a number that is not finite, or
     have a null label, link with nothing; so do vectors of different lengths. Repeated
-    rows link with each other. A component without any id has a null id and is kept.
+    rows link with each other. A component without any id has a null id and is kept. An
+    empty table gives an empty result. Equal distances are all links; further columns
+    play no part, and vectors of any length are compared whole.
     """
     vectors = rows.select(
         col(vec_id).alias("vec_id"), col(embedding).alias("embedding"), col(label).alias("label"), F.size(col(embedding)).alias("dim")

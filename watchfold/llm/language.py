@@ -336,7 +336,9 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     """Per row: its id, ``held_out``, the predicted language and its score.
 
     Only the text decides. Repeated rows give equal rows; without any labelled row, or
-    in a text without a letter, the language is ``und`` with score 0.
+    in a text without a letter, the language is ``und`` with score 0. An empty table gives
+    an empty result; of equally probable languages the first in order is named. A text
+    of any length is labelled whole, in segments. Further columns play no part.
     """
     model = fit_on(docs, doc_id, text, lang)
     rows = predict(docs.select(col(doc_id).alias("doc_id"), col(text).alias("text")), model)

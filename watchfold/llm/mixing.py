@@ -155,7 +155,9 @@ def offset_of(seed: int, j: Column | int) -> Column:
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """Per row: doc_id, size (words; null text: 0), source_size, target of its source, words ``taken``, copies.
 
-    Repeated rows are drawn like any others; an empty table gives an empty result.
+    Repeated rows are drawn like any others; an empty table gives an empty result. A null
+    source is a source, the last. A text of any length is counted whole, row by row; equal
+    sizes and ids are ordered by the row's contents. Further columns play no part.
     """
     sized = docs.select(
         col(doc_id).alias("doc_id"), col(source).alias("source"), words_of(col(text)).alias("size"), F.lit(1).alias("rows")

@@ -298,7 +298,9 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
 
     A null html is empty and has an empty text; a null url is a host of its own. Repeated
     rows give equal rows: pages of one host and path are no neighbours of each other. An
-    empty table gives an empty result.
+    empty table gives an empty result. A page of any length is read whole, by one worker;
+    of equally near neighbours the first in order of path is taken. Further columns play
+    no part.
     """
     rows = pages.select(col(page_id).alias("page_id"), col(url).alias("url"), col(html).alias("html"))
     rows = rows.withColumn("print", F.sha2(F.concat_ws("\0", F.coalesce("url", F.lit("")), F.coalesce("html", F.lit(""))), 256))

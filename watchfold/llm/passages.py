@@ -342,7 +342,8 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     ``component_id`` and ``first_doc_id``, the document of its first occurrence (smallest
     id, null last); ``removed``: false in that document. What only repeats inside one
     document is none. Null and empty texts have no passage. Repeated rows are documents
-    of their own.
+    of their own; of equal ids the first stored row comes first. An empty table gives an
+    empty result. A text of any length is cut whole. Further columns play no part.
     """
     rows = docs.select(col(doc_id).alias("doc_id"), F.coalesce(col(text), F.lit("")).cast("binary").alias("text"))
     # Stored, so that both passes see the same numbers.

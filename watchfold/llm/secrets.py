@@ -251,7 +251,9 @@ def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """Per row: its id, counts of the fixed forms, digest of their spans and all ``spans``.
 
     A null text is empty and has no span; repeated rows give equal rows; an empty table
-    an empty result. Places are code points, ends exclusive.
+    an empty result. Places are code points, ends exclusive. A text of any length is
+    searched whole; tokens of equal scores are taken together or not at all. Further
+    columns play no part.
     """
     rows = docs.select(col(doc_id).alias("doc_id"), col(text).alias("text"))
     found = with_spans(rows, "text", "base", "all")

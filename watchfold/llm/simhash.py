@@ -198,7 +198,9 @@ def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     """Per row of ``docs``: its id, ``fingerprint`` (16 hex digits) and ``component_id``.
 
     Null and empty texts have the fingerprint zero and link like any other; repeated
-    rows stay, with equal results; an empty table gives an empty result.
+    rows stay, with equal results; an empty table gives an empty result. A text of any
+    length is hashed whole; a bit that is set in just half the shingles is 0. Further
+    columns play no part.
     """
     rows = fingerprints(docs.select(col(doc_id).alias("doc_id"), col(text).alias("text")), "text")
     rows = keep(rows.select("doc_id", "fp"), "document-fingerprints")
