@@ -360,25 +360,41 @@ def boosted_places(plans: tuple[Plan, ...]) -> dict[int, int]:
     return {m: i for i, m in enumerate(m for m, p in enumerate(plans) if p.boosted)}
 
 
-def _blocks_of(rows: DataFrame, bins: Bins, margins: int) -> DataFrame:
-    """Binned blocks of rows (event_id, features, class_code, fold), margins all zero."""
+def _tables(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """The batches of a partition, joined and cut into tables of ``rows`` rows."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for batch in batches:
+        while n + batch.num_rows >= rows:
+            held.append(batch.slice(0, rows - n))
+            yield pa.Table.from_batches(held).combine_chunks()
+            batch, held, n = batch.slice(rows - n), [], 0
+        if batch.num_rows:
+            held.append(batch)
+            n += batch.num_rows
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _blocks_of(rows: DataFrame, n: int, bins: Bins, margins: int) -> DataFrame:
+    """Binned blocks of ``n`` rows (event_id, features, class_code, fold), margins all zero."""
 
     def pack(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(at, BLOCK)
-                ptr, place, value = bins.of(Rows.of(part["features"]))
-                n = part.num_rows
-                numbers = {c: part[c].to_numpy(zero_copy_only=False) for c in ("event_id", "class_code", "fold")}
-                row = [
-                    n, numbers["event_id"].astype(np.int64).tobytes(), numbers["class_code"].astype(np.int32).tobytes(),
-                    numbers["fold"].astype(np.int32).tobytes(), ptr.astype(np.int64).tobytes(), place.tobytes(),
-                    value.tobytes(), np.zeros(n * margins).tobytes(),
-                ]
-                arrays = [pa.array([n], pa.int32()), *[pa.array([v], pa.binary()) for v in row[1:]]]
-                yield pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in BLOCKS.split(", ")])
-
-    return keep(rows.select("event_id", "features", "class_code", "fold").mapInArrow(pack, BLOCKS), "binned")
+        for part in _tables(batches, BLOCK):
+            size = part.num_rows
+            ptr, place, value = bins.of(Rows.of(part["features"].chunk(0)))
+            numbers = {c: part[c].to_numpy() for c in ("event_id", "class_code", "fold")}
+            row = [
+                numbers["event_id"].astype(np.int64).tobytes(), numbers["class_code"].astype(np.int32).tobytes(),
+                numbers["fold"].astype(np.int32).tobytes(), ptr.astype(np.int64).tobytes(), place.tobytes(),
+                value.tobytes(), np.zeros(size * margins).tobytes(),
+            ]
+            arrays = [pa.array([size], pa.int32()), *[pa.array([v], pa.binary()) for v in row]]
+            yield pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in BLOCKS.split(", ")])
+
+    # However the rows lie, they make no more blocks than they fill.
+    some = rows.select("event_id", "features", "class_code", "fold").coalesce(max(1, -(-n // BLOCK)))
+    return keep(some.mapInArrow(pack, BLOCKS), "binned")
 
 
 def _advance(blocks: DataFrame, job: Job) -> DataFrame:
@@ -522,7 +538,7 @@ def fit_trees(rows: DataFrame, plans: list[Plan], classes: int, seed: int) -> Da
                 if r["fold"] != plan.held_out:
                     n[r["class_code"]] += r["count"]
             weights[m] = n.sum() / max(np.count_nonzero(n), 1) / np.maximum(n, 1)
-    blocks = _blocks_of(ready, bins, sum(p.boosted for p in plans) * classes)
+    blocks = _blocks_of(ready, sum(r["count"] for r in counts), bins, sum(p.boosted for p in plans) * classes)
     job = Job(members, bins, classes, weights, seed, 0, (), (), {})
     if blocks.count() == 1:
         return keep(_grow_apart(blocks, job), "tree-nodes")
