@@ -39,6 +39,25 @@ def test_blocks_grow_the_same_trees_as_one(spark, monkeypatch, boosted):
     assert one.select("member").distinct().count() == 3
 
 
+@pytest.mark.parametrize("boosted", [True, False])
+def test_few_blocks_need_no_job_per_level(spark, monkeypatch, boosted):
+    """A table of several blocks is grown by one task per member, with the trees of the joint jobs."""
+    _, _, df = table(spark, folds=2)
+    plans = [
+        trees.Plan(boosted, 6, 4, balanced=k == 1, held_out=k - 1, leaves=5 if boosted and k == 1 else 0, least_rows=1 + k)
+        for k in range(3)
+    ]
+    monkeypatch.setattr(trees, "BLOCK", 32)
+    with monkeypatch.context() as joint:
+        joint.setattr(trees, "APART", 0)
+        joint.setattr(trees, "SNAPSHOT", 3)
+        want = trees.fit_trees(df.repartition(3), plans, 3, 7).select(*SHAPE, "cover")
+    monkeypatch.setattr(trees, "_splits", None)  # no job that adds up histograms
+    got = trees.fit_trees(df.repartition(3), plans, 3, 7).select(*SHAPE, "cover")
+    shape = lambda d: d.withColumn("cover", F.round("cover", 6))
+    assert want.count() == got.count() and shape(got).exceptAll(shape(want)).isEmpty()
+
+
 def test_first_split_is_the_best_of_all(spark):
     """One boosted round on all rows and columns: the root split has the largest gain that any cut can have."""
     x, y, df = table(spark)
