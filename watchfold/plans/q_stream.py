@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from watchfold.operators import profiles, running
 from watchfold.plans import oracle as o
 from watchfold.plans.q_profiles import _apply_sql
-from watchfold.plans.registry import batch, log, query, r
+from watchfold.plans.registry import batch, log, prepared, query, r
 from watchfold.session import fresh_path
 from watchfold.streaming import live, running_state
 
@@ -44,8 +44,7 @@ def o01_json(spark, sf):
 )
 def o02(spark, sf):
     """Stream joined with the fitted tables; equal to the batch features."""
-    fitted = batch(spark, sf).fitted
-    out = live.drain(live.enrich_rows(live.table_stream(spark, sf), fitted))
+    out = live.drain(live.enrich_rows(live.table_stream(spark, sf), prepared(spark, sf)))
     zs = [r(c) for c in profiles.DEVIATIONS]
     return out.select(
         "event_id", *zs, *profiles.NOVELTIES, r("hour_sin"), "is_weekend", r("peer_session_deviation")
@@ -106,7 +105,7 @@ def _rounded(out):
 @query("o04_running_state", o.sql(f"{_STATE_SQL} WHERE {_RELEASED}", o.RUNNING, _ENTROPY))
 def o04(spark, sf):
     """Running features and entropy from per-entity stream state; equal to the batch windows."""
-    gap = batch(spark, sf).fitted.context.median_gap
+    gap = prepared(spark, sf).context.median_gap
     return _rounded(live.drain(running_state.running_stream(live.table_stream(spark, sf), gap, "0 seconds")))
 
 
@@ -116,7 +115,7 @@ _PASSED = "epoch_us(event_ts) <= (SELECT (max(epoch_us(event_ts)) // 1000 - 4320
 @query("o04_disordered", o.sql(f"{_STATE_SQL} WHERE {_PASSED}", o.RUNNING, _ENTROPY))
 def o04_disordered(spark, sf):
     """Rows up to half a day late, in five triggers: released in event order once the watermark has passed them."""
-    gap = batch(spark, sf).fitted.context.median_gap
+    gap = prepared(spark, sf).context.median_gap
     rows = live.zoned(log(spark, sf))
     late = F.unix_micros("event_ts") + F.pmod(F.xxhash64("event_id"), F.lit(43_200_000_000))
     start, stop = rows.agg(F.unix_micros(F.min("event_ts")), F.unix_micros(F.max("event_ts"))).first()
