@@ -44,6 +44,16 @@ def test_flags_are_zero_on_the_fitted_rows(log):
     assert out.agg(*[F.sum(c) for c in profiles.NOVELTIES]).first() == (0, 0, 0)
 
 
+def test_rows_are_not_joined_with_all_known_values(log):
+    """However many values the profiles know, the rows meet only those that none of them knows."""
+    prof = profiles.fit_profiles(log)
+    other = log.withColumn("device_fingerprint", F.when(F.col("event_id") % 100 == 7, "other").otherwise(F.col("device_fingerprint")))
+    for rows, unknown in ((log, 0), (other, 10)):
+        out = profiles.apply_profiles(rows, prof)
+        assert not set(out.inputFiles()) & set(prof.values.inputFiles())
+        assert out.agg(*[F.sum(c) for c in profiles.NOVELTIES]).first() == (0, 0, unknown)
+
+
 def test_profiles_split_medians_agree(log):
     a = profiles.fit_profiles(log).entity.orderBy("entity_id").toPandas()
     b = profiles.fit_profiles(log, rows_per_slice=20).entity.orderBy("entity_id").toPandas()

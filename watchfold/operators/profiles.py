@@ -147,11 +147,24 @@ def profile_sets(profiles: Profiles) -> DataFrame:
     return in_sets.select("owner", names[F.col("field")].alias("set_name"), "value")
 
 
+def _unknown_values(rows: DataFrame, profiles: Profiles) -> DataFrame:
+    """(owner, field, value) of the rows that no profile knows.
+
+    These are few where the rows are like those the profiles were fitted on, however many
+    values are known; and only distinct values are shuffled to find them.
+    """
+    items = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c, _ in NOVELTIES.values()])
+    own = rows.where("_profiled").select(F.col("_owner").alias("owner"), F.explode(items).alias("i")).select("owner", "i.*")
+    keys = ["owner", "field", "value"]
+    return keep(own.where(F.col("value").isNotNull()).distinct().join(profiles.values, keys, "left_anti"), "unknown-values")
+
+
 def apply_profiles(df: DataFrame, profiles: Profiles) -> DataFrame:
     """Add the three deviations and the three novelty flags.
 
     An entity without a profile gets 0 throughout; a missing value of a profiled
-    entity counts as new.
+    entity counts as new. The rows of a table are joined with the values no profile knows,
+    those of a stream with the known ones.
     """
     cols = ["entity_id", "fallback_department", *{f"{p}_{s}" for _, p in DEVIATIONS.values() for s in ("mean", "std")}]
     prof = profiles.entity.select(
@@ -164,12 +177,14 @@ def apply_profiles(df: DataFrame, profiles: Profiles) -> DataFrame:
     for name, (source, p) in DEVIATIONS.items():
         away = F.abs(F.col(source) - F.col(f"_p_{p}_mean")) / sc.nonzero_std(F.col(f"_p_{p}_std"))
         new[name] = F.coalesce(away, F.lit(0.0))
+    profiled = F.coalesce(F.col("_profiled"), F.lit(False))
+    seen = _unknown_values(out, profiles) if not df.isStreaming else profiles.values
     for name, (source, _) in NOVELTIES.items():
-        known = profiles.values.where(F.col("field") == source).select(
+        listed = seen.where(F.col("field") == source).select(
             F.col("owner").alias("_owner"), F.col("value").alias(source), F.lit(True).alias(f"_k_{source}")
         )
-        out = attach(out, known, ["_owner", source])
-        fresh = ~F.coalesce(F.col(f"_k_{source}"), F.lit(False))
-        profiled = F.coalesce(F.col("_profiled"), F.lit(False))
+        out = attach(out, listed, ["_owner", source])
+        found = F.coalesce(F.col(f"_k_{source}"), F.lit(False))
+        fresh = ~found if df.isStreaming else found | F.col(source).isNull()
         new[name] = (profiled & fresh).cast("int")
     return out.withColumns(new).select(*df.columns, *new)
