@@ -150,3 +150,42 @@ def test_unflagged_rows_are_not_sent(spark):
     margins = scored.withColumn("margins", cl.outputs(F.col("features"), model))
     shares = margins.select(cl.probabilities(F.col("margins"), model).alias("p")).first()["p"]
     assert sum(shares) == pytest.approx(1)
+
+
+@pytest.mark.parametrize("boosted", [True, False])
+@pytest.mark.parametrize("step", [1, 1 << 18])
+def test_nodes_of_a_level_are_compared_at_once(spark, monkeypatch, boosted, step):
+    """A task compares the nodes of a level in groups, and finds what ``Job.best`` finds one by one."""
+    _, _, df = table(spark, n=300, folds=2)
+    rows = df.select("event_id", sparse(F.col("features")).alias("features"), "class_code", "fold")
+    bins = trees.fit_bins(rows)
+    plan = trees.Plan(boosted, 3, 5, balanced=False, held_out=1, leaves=7 if boosted else 0, least_rows=2)
+    weights = np.array([[1.0, 2.0, 0.5]])
+    parts = trees._blocks_of(rows, 300, bins, 0).toPandas().to_dict("records")
+    job = trees.Job((plan,), bins, 3, weights, 7, 0, (), (), {})
+    monkeypatch.setattr(trees, "STEP", step)
+
+    def grow():
+        held = trees.Held(parts, job)
+        return trees._grow_units(held.splits, held.advance, job, [(0, 0, 3)], 1)
+
+    with monkeypatch.context() as alone:
+        alone.setattr(trees.Job, "best", None)  # not called node by node
+        got = grow()
+
+    class Plain:
+        """All histograms from all rows, for each level anew."""
+
+        def __init__(self):
+            self.block = trees.Block(parts[0] | {"margins": np.zeros(900 if boosted else 0).tobytes()}, 3)
+
+        def splits(self, job):
+            return [job.best(i, node, sums) for i, node, sums in job.histograms(self.block)]
+
+        def advance(self, job):
+            self.block.margins = job.margins(self.block, trees.Columns(self.block, bins, list(job.pending)))
+
+    plain = Plain()
+    want = trees._grow_units(plain.splits, plain.advance, job, [(0, 0, 3)], 1)
+    key = lambda ts: [(t.output, t.feature, t.cut, t.left, t.right, [round(g, 6) for g in t.gain]) for t in ts]
+    assert key(got) == key(want) and any(f >= 0 for t in got for f in t.feature)
