@@ -1,7 +1,8 @@
 """A training corpus from raw documents: five stages, each written as Parquet and read again.
 
 1. language: documents in no language go (no letter, or words that fit no language).
-2. near_copies: one document of each group of near copies (five-word shingles, Jaccard 0.8) stays.
+2. near_copies: one document of each group of near copies (five-word shingles, Jaccard 0.8) stays;
+   candidates come from SimHash and BK-trees, and from MinHash.
 3. secrets: spans of secrets are replaced by a mark; no document goes.
 4. mix: rows are taken as often as the mix of sources takes them.
 5. tokens: byte-level BPE ids of each text, and what they decode to.

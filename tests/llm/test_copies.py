@@ -1,8 +1,11 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tests.conftest import SMALL
 from tests.llm import brute
 from watchfold.llm import copies
 from watchfold.llm.common import table
+from watchfold.llm.simhash import fingerprints
 
 
 def shingled(text):
@@ -66,3 +69,17 @@ def test_kept_rows(spark):
     assert out.columns == docs.columns
     got = sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
     assert got == sorted([(0, "a b c d"), (2, texts[2]), (3, None), (None, "nobody")], key=repr)
+
+
+def test_fingerprints_give_candidates(spark):
+    """Copies that no band holds are found by SimHash and BK-trees; those that are not similar stay."""
+    base = [f"w{i}" for i in range(400)]
+    rows = [" ".join(base), " ".join([*base[:200], "new", *base[201:]]), " ".join(f"v{i}" for i in range(400)), "a b c", "a b d"]
+    docs = brute.documents(spark, rows)
+    prints = fingerprints(docs.select("doc_id", "text")).select("doc_id", "fp", copies.signatures(F.col("text").cast("binary")).alias("s"))
+    alone = F.transform("s.keys", lambda k: F.xxhash64(k, "s.h"))  # no two contents share a band
+    prints = prints.select("doc_id", "fp", "s.h", alone.alias("keys")).cache()
+    assert copies.copy_links(docs, prints.drop("fp"), "text").isEmpty()
+    h = {r.doc_id: r.h for r in prints.collect()}
+    links = copies.copy_links(docs, copies.fingerprint_keys(prints), "text").collect()
+    assert {frozenset(r) for r in links} == {frozenset((h[0], h[1]))}

@@ -1,9 +1,10 @@
 """Near copies for the pipeline: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-SimHash cannot find these by shards of agreeing bits: at similarity 0.8 two fingerprints
-differ in some 10 of 64 bits, often more. So candidates come from MinHash: ``BANDS``
-bands of ``ROWS`` values, which pairs of similarity 0.8 share with a probability of
-``1 - (1 - 0.8^4)^16`` = 0.9998, more similar ones more surely. Candidates are
+Candidates are the groups of op9, fingerprints (SimHash) that BK-trees connect. They hold
+the closest copies only: at similarity 0.8 two fingerprints differ in some 10 of 64 bits,
+often more. So there are further candidates from MinHash: ``BANDS`` bands of ``ROWS``
+values, which pairs of similarity 0.8 share with a probability of
+``1 - (1 - 0.8^4)^16`` = 0.9998, more similar ones more surely. All candidates are
 compared by their exact similarity before components are formed. Of bands with the same
 documents one is searched; crowded ones are cut into blocks, and each pair of blocks is
 a group of bounded size. A text of fewer than five words is a copy only of an equal one.
@@ -22,6 +23,7 @@ from pyspark.sql import types as T
 
 from watchfold.llm.common import col, components, own_name, partitions, whole_groups
 from watchfold.llm.passages import A, Hashes, mixed
+from watchfold.llm.simhash import fingerprints, near_groups
 from watchfold.session import keep
 
 WIDTH = 5  # words in a shingle
@@ -109,6 +111,15 @@ def similar(frame: pd.DataFrame) -> Iterator[tuple[int, int]]:
                     label[label == label[j]] = label[i]
 
 
+def fingerprint_keys(prints: DataFrame) -> DataFrame:
+    """``prints`` (h, keys, fp) with one more key: the group of fingerprints that the content belongs to."""
+    near = near_groups(prints.where(F.size("keys") > 0).select("fp", F.col("h").alias("doc_id")))
+    key = F.array(F.xxhash64("component_id", F.lit(11)))
+    # A text without shingles has no keys, and is in no group.
+    keys = F.when(F.size("keys") > 0, F.concat("keys", key)).otherwise(F.col("keys"))
+    return prints.join(near, "fp", "left").withColumn("keys", keys).drop("component_id", "fp")
+
+
 def copy_links(docs: DataFrame, prints: DataFrame, text: str) -> DataFrame:
     """Links (a, b) between the contents of ``prints`` (h, keys) that are similar; ``docs`` has their texts."""
     members = prints.select("h", F.explode("keys").alias("key"))
@@ -149,10 +160,11 @@ def drop_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """
     h = own_name(docs, "h")
     binary = col(text).cast("binary")
-    prints = docs.select(col(doc_id).alias("id"), signatures(binary).alias("s")).select("id", "s.h", "s.keys")
-    prints = prints.groupBy("h").agg(F.min("id").alias("low"), F.first("keys").alias("keys"))
+    prints = fingerprints(docs.select(col(doc_id).alias("id"), binary.alias("text")))
+    prints = prints.select("id", "fp", signatures("text").alias("s")).select("id", "fp", "s.h", "s.keys")
+    prints = prints.groupBy("h").agg(F.min("id").alias("low"), F.first("keys").alias("keys"), F.first("fp").alias("fp"))
     prints = keep(prints, "document-contents")
-    roots = keep(components(copy_links(docs, prints, text)), "copy-components")
+    roots = keep(components(copy_links(docs, fingerprint_keys(prints), text)), "copy-components")
     named = prints.select("h", "low").join(roots, prints["h"] == roots["node"], "left")
     named = keep(named.select("h", "low", F.coalesce("root", "h").alias("root")), "copy-roots")
     first = F.min(F.struct(F.col("low").isNull().alias("none"), "low", "h")).alias("first")
