@@ -87,3 +87,15 @@ def test_one_severity_per_check(events):
     lines = [r["line"] for r in quality.report_lines(found).collect()]
     assert "## Ranges" in lines and "- [WARNING] session_duration_min: negatives = 1.0000 (-2.5)" in lines
     assert sum(int(x.split(": ")[1]) for x in lines[:4] if not x.startswith("#")) == len(heads)
+
+
+def test_sketches_of_all_days_in_one_pass(spark):
+    """A table of baselines, one per day, holds what a baseline fitted for each day alone says."""
+    rows = spark.range(3000).select((F.col("id") % 3).alias("day"), (F.col("id") * 7 % 1009).cast("double").alias("v"))
+    rows = rows.withColumn("u", F.when(F.col("day") == 0, F.lit(float("nan"))).otherwise(F.col("v")))
+    days = drift.fit_sketch(rows, ["v", "u", "missing"], by=["day"])
+    alone = [drift.fit_sketch(rows.where(F.col("day") == d), ["v", "u"]).withColumn("day", F.lit(d)) for d in range(3)]
+    said = lambda t: sorted((r["day"], r["feature"], r["n"], r["total"]) for r in t.collect())
+    assert said(days) == sorted(x for t in alone for x in said(t)) and len(said(days)) == 5
+    merged = {r["feature"]: (r["n"], r["total"]) for r in drift.merge_sketches(days).collect()}
+    assert merged["v"] == (3000, rows.agg(F.sum("v")).first()[0]) and merged["u"][0] == 2000

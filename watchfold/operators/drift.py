@@ -213,18 +213,27 @@ SKETCH_ERROR = 0.0035
 SKETCH_POINTS = 2000
 
 
-def fit_sketch(df: DataFrame, features: list[str] | None = None) -> DataFrame:
-    """Baseline of bounded size per feature: (feature, sketch, n, total), whatever the number of distinct values."""
-    long = _long(df, features or cfg.DRIFT_FEATURES)
-    return long.groupBy("feature").agg(
-        F.kll_sketch_agg_double("value", SKETCH_K).alias("sketch"),
-        F.count(F.lit(1)).alias("n"),
-        F.sum("value").alias("total"),
-    )
+def fit_sketch(df: DataFrame, features: list[str] | None = None, by: list[str] | None = None) -> DataFrame:
+    """Baseline of bounded size per feature: (feature, sketch, n, total), whatever the number of distinct values.
+
+    ``by`` names columns (say, the day): one baseline for each of their values, all in one pass.
+    """
+    keys, found = by or [], []
+    for f in [f for f in features or cfg.DRIFT_FEATURES if f in df.columns]:
+        value = F.col(f).cast("double")
+        value = F.when(~F.isnan(value), value)
+        found.append(
+            F.struct(
+                F.lit(f).alias("feature"), F.kll_sketch_agg_double(value, SKETCH_K).alias("sketch"),
+                F.count(value).alias("n"), F.sum(value).alias("total"),
+            )
+        )
+    per = df.groupBy(*keys).agg(F.array(*found).alias("f")).select(*keys, F.explode("f").alias("f"))
+    return per.select(*keys, "f.*").where("n > 0")
 
 
 def merge_sketches(*baselines: DataFrame) -> DataFrame:
-    """One baseline from several (say, of single days), without their rows."""
+    """One baseline from several (say, of single days, in a table each or in one), without their rows."""
     both = baselines[0]
     for b in baselines[1:]:
         both = both.unionByName(b)

@@ -123,8 +123,8 @@ _BY_TIME = "event_ts < make_timestamp(CAST(floor((SELECT quantile_cont(CAST(epoc
 def _tracked(spark, sf):
     def make():
         rows = profiles.apply_profiles(enriched(spark, sf), fitted_profiles(spark, sf))
-        risky = rule_scored(log(spark, sf)).select("event_id", "risk_score")
-        return keep(rows.join(risky, "event_id").select("event_id", "entity_id", "event_ts", *_TRACKED), "tracked")
+        # A score depends on its own row only: nothing is joined, by broadcast or by shuffle.
+        return keep(rule_scored(rows).select("event_id", "entity_id", "event_ts", *_TRACKED), "tracked")
 
     return shared(spark, sf, "tracked", make)
 
@@ -233,8 +233,8 @@ def m04_exact(spark, sf):
 def m01_sketches(spark, sf):
     """Baselines of single days merged without their rows: as far from the rest as the exact distance says."""
     reference, current = _by_time(spark, sf)
-    days = [r["d"] for r in reference.select(F.dayofmonth("event_ts").alias("d")).distinct().orderBy("d").collect()]
-    merged = drift.merge_sketches(*[keep(drift.fit_sketch(reference.where(F.dayofmonth("event_ts") == d)), "day") for d in days])
+    days = keep(drift.fit_sketch(reference.withColumn("day", F.dayofmonth("event_ts")), by=["day"]), "days")
+    merged = drift.merge_sketches(days)
     rough = drift.sketched_drift(merged, drift.fit_sketch(current)).select("feature", F.col("ks_statistic").alias("rough"))
     exact = drift.detect_drift(drift.fit_reference(reference), current).select("feature", "ks_statistic")
     close = F.abs(F.col("rough") - F.col("ks_statistic")) <= 2 * drift.SKETCH_ERROR
