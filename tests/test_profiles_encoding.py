@@ -114,3 +114,11 @@ def test_encoder_round_trip(events, tmp_path, spark):
     enc.save(str(tmp_path / "enc"))
     back = encoding.Encoder.load(spark, str(tmp_path / "enc"))
     assert back.categories() == enc.categories() and back.scales() == enc.scales()
+
+
+def test_features_are_made_by_compiled_expressions(events):
+    rows = events([{"browser": None}, {"browser": "Edge"}, {"browser": "Chrome", "failed_attempts": 3}])
+    made = encoding.encode_beside(rows, encoding.fit_encoder(rows))
+    assert "lambda" not in made._jdf.queryExecution().optimizedPlan().toString()
+    for r in made.collect():
+        assert r["features"]["at"] == sorted(r["features"]["at"]) and 0.0 not in r["features"]["x"]

@@ -1,5 +1,8 @@
 """Histogram trees: the joint Spark jobs, the per-task growth and the plain definition give the same splits."""
 
+from operator import methodcaller
+from types import SimpleNamespace
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -189,3 +192,21 @@ def test_nodes_of_a_level_are_compared_at_once(spark, monkeypatch, boosted, step
     want = trees._grow_units(plain.splits, plain.advance, job, [(0, 0, 3)], 1)
     key = lambda ts: [(t.output, t.feature, t.cut, t.left, t.right, [round(g, 6) for g in t.gain]) for t in ts]
     assert key(got) == key(want) and any(f >= 0 for t in got for f in t.feature)
+
+
+def test_members_answer_the_rows_of_their_fold(spark):
+    class_by_value = SimpleNamespace(outputs=methodcaller("columns", np.arange(2)))
+    data = [(i, i % 5, 0.0, ([0, 1], [1.0, float(i)])) for i in range(10)]
+    dealt = spark.createDataFrame(data, f"event_id long, fold int, class_code double, features {trees.ROW}").coalesce(1)
+    counts = cl._answers(dealt, [("a", k, class_by_value) for k in range(5)], ["a"])
+    # row 1 has equal values and rows 0 the smaller one; all others are above
+    assert counts == {("a", 0): {(0, 0): 1, (0, 1): 1}, ("a", 1): {(0, 0): 1, (0, 1): 1}} | {("a", k): {(0, 1): 2} for k in (2, 3, 4)}
+
+
+def test_taken_rows_keep_their_entries():
+    x = np.array([[0.0, 2.0, 3.0], [0.0, 0.0, 0.0], [4.0, 0.0, 5.0]])
+    row, at = np.nonzero(x)
+    rows = Rows(3, np.array([0, 2, 2, 4]), at.astype(np.int32), x[row, at])
+    for wanted in ([2, 0], [1], [], [0, 1, 2]):
+        some = rows.take(np.array(wanted, int))
+        assert (some.columns(np.arange(3)) == x[wanted]).all()
