@@ -146,3 +146,12 @@ def test_look_back_counts_equal_times(events):
         assert distinct == {0: 2, 1: 2, 2: 2, 3: 3}
         entropy = rolling.expanding_entropy(df, limit).orderBy("event_id").collect()
         assert [r[1] for r in entropy] == pytest.approx([0.9182958340544896] * 3 + [1.5])
+
+
+def test_sums_of_slices_are_joined_with_cuts_only(spark):
+    rows = spark.range(400).select((F.col("id") % 2).alias("k"), F.col("id").alias("x"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("y"))
+    slices = fit_slices(rows, ["k"], F.col("x"), 5)
+    summed = running_sums(rows, ["k"], ["x"], {"n": F.lit(1), "total": F.col("y")}, slices)
+    assert summed._jdf.queryExecution().optimizedPlan().toString().count("Join") == len(slices.levels)
+    plain = running_sums(rows, ["k"], ["x"], {"n": F.lit(1), "total": F.col("y")})
+    assert summed.dtypes == plain.dtypes and summed.exceptAll(plain).isEmpty() and plain.exceptAll(summed).isEmpty()

@@ -122,23 +122,20 @@ def running_sums(
     if slices is None:
         w = _upto(keys, order_by)
         return df.withColumns({n: F.sum(x).over(w) for n, x in sums.items()})
-    cut = slices.assign(df)
-    w = _upto([*keys, SLICE], order_by)
-    local = cut.withColumns({n: F.sum(x).over(w) for n, x in sums.items()})
-    totals = slices.only_large(cut).groupBy(*keys, SLICE).agg(
-        *[F.sum(x).alias(f"_t_{n}") for n, x in sums.items()]
-    )
+    named = df.withColumns({f"_x_{n}": x for n, x in sums.items()})
+    cut = slices.assign(named)
+    totals = slices.only_large(cut).groupBy(*keys, SLICE).agg(*[F.sum(f"_x_{n}").alias(f"_t_{n}") for n in sums])
     # One row per slice of a large group: a short window.
     earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = keep(
-        totals.select(*keys, SLICE, *[F.sum(f"_t_{n}").over(earlier).alias(f"_o_{n}") for n in sums]),
+        totals.select(*keys, SLICE, *[F.sum(f"_t_{n}").over(earlier).alias(f"_x_{n}") for n in sums]),
         "offsets",
     )
-    joined = null_safe_join(local, offsets, [*keys, SLICE])
-    zero = F.lit(0)
-    return joined.withColumns(
-        {n: F.col(n) + F.coalesce(F.col(f"_o_{n}"), zero) for n in sums}
-    ).drop(SLICE, *[f"_o_{n}" for n in sums])
+    # What came before a slice is its first row: a join would hold all slices in memory, or shuffle the rows again.
+    rows = cut.withColumn("_opened", F.lit(1)).unionByName(offsets.withColumn("_opened", F.lit(0)), allowMissingColumns=True)
+    w = _upto([*keys, SLICE], ["_opened", *order_by])
+    out = rows.withColumns({n: F.sum(f"_x_{n}").over(w) for n in sums})
+    return out.where("_opened = 1").drop(SLICE, "_opened", *[f"_x_{n}" for n in sums])
 
 
 def _upto(keys, order_by) -> Window:
