@@ -1,13 +1,18 @@
 """Properties of the models, metrics, attributions and drift."""
 
+import threading
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import TINY
 from watchfold.operators import classify as cl
 from watchfold.operators import drift, encoding, explain, forest, metrics
 from watchfold.operators.sparse import sparse
+from watchfold.plans.batch import run_batch
+from watchfold.sources.access_log import read_access_log
 
 def truth():
     return F.col("label") == "Anomaly"
@@ -229,3 +234,26 @@ def test_drift_skips_features_of_one_side(spark):
     ref = drift.fit_reference(spark.createDataFrame([(1.0, 2.0)] * 20, "a double, b double"), ["a", "b", "c"])
     out = drift.detect_drift(ref, spark.createDataFrame([(1.0,)] * 10, "a double")).collect()
     assert [r["feature"] for r in out] == ["a"] and out[0]["p_value"] == 1.0
+
+
+def test_candidates_on_few_rows_grow_beside_the_comparison(spark, monkeypatch):
+    """All fits have begun before the comparison ends; a loser that fails does no harm."""
+    begun, all_begun = [], threading.Event()
+    train, compare = cl.train_model, cl.compare_models
+
+    def training(rows, features, name, *rest):
+        begun.append(name)
+        if len(begun) == 3:
+            all_begun.set()
+        if name == "random_forest":
+            raise ValueError("not this one")
+        return train(rows, features, name, *rest)
+
+    def comparing(rows, effort):
+        assert all_begun.wait(60)
+        return compare(rows, effort, names=["boosted"])
+
+    monkeypatch.setattr(cl, "train_model", training)
+    monkeypatch.setattr(cl, "compare_models", comparing)
+    out = run_batch(read_access_log(spark, TINY), trees=10, effort=cl.Effort(trees=2, tree_depth=2, rounds=2, max_depth=2))
+    assert out.fitted.classifier.name == "boosted" and sorted(begun) == ["boosted", "boosted_balanced", "random_forest"]

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from watchfold.operators import classify as cl
+from watchfold.operators import sparse as sparse_rows
 from watchfold.operators import trees
 from watchfold.operators.sparse import Rows, lists, sparse
 
@@ -210,3 +211,25 @@ def test_taken_rows_keep_their_entries():
     for wanted in ([2, 0], [1], [], [0, 1, 2]):
         some = rows.take(np.array(wanted, int))
         assert (some.columns(np.arange(3)) == x[wanted]).all()
+
+
+def test_all_rows_walk_as_one_by_one(monkeypatch):
+    """Lopsided trees, one that is only a root, missing values and parts of the rows."""
+    monkeypatch.setattr(sparse_rows, "WALKED", 16)
+    feature = np.array([[0, -1, 1, -1, 2, -1, -1], [-1, -1, -1, -1, -1, -1, -1], [2, 1, -1, -1, -1, -1, -1]])
+    left = np.array([[1, -1, 3, -1, 5, -1, -1], [-1] * 7, [1, 3, -1, -1, -1, -1, -1]])
+    right = np.array([[2, -1, 4, -1, 6, -1, -1], [-1] * 7, [2, 4, -1, -1, -1, -1, -1]])
+    threshold = np.random.default_rng(2).random((3, 7))
+    x = np.random.default_rng(3).random((50, 3))
+    x[7] = np.nan
+    walk = sparse_rows.Walk(feature, threshold, left, right)
+    assert walk.depth.tolist() == [3, 0, 2]
+    got = np.full((3, len(x)), -1)
+    for rows, t, at in walk.leaves(x):
+        got[t, rows] = at
+    for t in range(3):
+        for i in range(len(x)):
+            node = 0
+            while feature[t, node] >= 0:
+                node = (left if x[i, feature[t, node]] <= threshold[t, node] else right)[t, node]
+            assert got[t, i] == node
