@@ -4,8 +4,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from tests.conftest import TINY
 from watchfold.functions import scalars as sc
 from watchfold.operators import encoding, enrich, profiles
+from watchfold.plans import registry
 
 
 def test_cold_start_borrows_the_department(events):
@@ -122,3 +124,15 @@ def test_features_are_made_by_compiled_expressions(events):
     assert "lambda" not in made._jdf.queryExecution().optimizedPlan().toString()
     for r in made.collect():
         assert r["features"]["at"] == sorted(r["features"]["at"]) and 0.0 not in r["features"]["x"]
+
+
+def test_deviations_do_not_store_the_enriched_rows(spark, monkeypatch):
+    """Made on the way they are those of stored enriched rows, and no wide table is written for them."""
+    monkeypatch.setattr(registry, "_shared", {})
+    new = ["event_id", *profiles.DEVIATIONS, *profiles.NOVELTIES]
+    got = registry.deviations(spark, TINY).select(*new)
+    names = {name for _, _, name in registry._shared}
+    assert names == {"log", "profiles"}
+    fitted = registry.fitted_profiles(spark, TINY)
+    want = profiles.apply_profiles(registry.enriched(spark, TINY), fitted).select(*new)
+    assert got.count() == want.count() and got.exceptAll(want).isEmpty()

@@ -159,26 +159,31 @@ def _unknown_values(rows: DataFrame, profiles: Profiles) -> DataFrame:
     return keep(own.where(F.col("value").isNotNull()).distinct().join(profiles.values, keys, "left_anti"), "unknown-values")
 
 
-def apply_profiles(df: DataFrame, profiles: Profiles) -> DataFrame:
+def apply_profiles(df: DataFrame, profiles: Profiles, events: DataFrame | None = None) -> DataFrame:
     """Add the three deviations and the three novelty flags.
 
     An entity without a profile gets 0 throughout; a missing value of a profiled
     entity counts as new. The rows of a table are joined with the values no profile knows,
-    those of a stream with the known ones.
+    those of a stream with the known ones. ``events`` may name the table whose rows ``df``
+    has, if ``df`` is costly to read twice.
     """
     cols = ["entity_id", "fallback_department", *{f"{p}_{s}" for _, p in DEVIATIONS.values() for s in ("mean", "std")}]
     prof = profiles.entity.select(
         F.lit(True).alias("_profiled"), "entity_id", *[F.col(c).alias(f"_p_{c}") for c in cols[1:]]
     )
-    out = attach(df, prof, ["entity_id"])
-    owner = F.coalesce(_owner("department", F.col("_p_fallback_department")), _owner("entity", F.col("entity_id")))
-    out = out.withColumn("_owner", owner)
+
+    def owned(rows: DataFrame) -> DataFrame:
+        out = attach(rows, prof, ["entity_id"])
+        owner = F.coalesce(_owner("department", F.col("_p_fallback_department")), _owner("entity", F.col("entity_id")))
+        return out.withColumn("_owner", owner)
+
+    out = owned(df)
     new: dict[str, Column] = {}
     for name, (source, p) in DEVIATIONS.items():
         away = F.abs(F.col(source) - F.col(f"_p_{p}_mean")) / sc.nonzero_std(F.col(f"_p_{p}_std"))
         new[name] = F.coalesce(away, F.lit(0.0))
     profiled = F.coalesce(F.col("_profiled"), F.lit(False))
-    seen = _unknown_values(out, profiles) if not df.isStreaming else profiles.values
+    seen = _unknown_values(out if events is None else owned(events), profiles) if not df.isStreaming else profiles.values
     for name, (source, _) in NOVELTIES.items():
         listed = seen.where(F.col("field") == source).select(
             F.col("owner").alias("_owner"), F.col("value").alias(source), F.lit(True).alias(f"_k_{source}")

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from watchfold import settings as cfg
-from watchfold.operators import drift, profiles, respond, risk
+from watchfold.operators import drift, respond, risk
 from watchfold.plans import oracle as o
 from watchfold.plans.registry import (
-    enriched, fitted_profiles, log, query, r, rule_score, rule_scored, shared,
+    deviations, log, query, r, rule_score, rule_scored, shared,
 )
 from watchfold.session import keep
 
@@ -122,7 +122,7 @@ _BY_TIME = "event_ts < make_timestamp(CAST(floor((SELECT quantile_cont(CAST(epoc
 
 def _tracked(spark, sf):
     def make():
-        rows = profiles.apply_profiles(enriched(spark, sf), fitted_profiles(spark, sf))
+        rows = deviations(spark, sf)
         # A score depends on its own row only: nothing is joined, by broadcast or by shuffle.
         return keep(rule_scored(rows).select("event_id", "entity_id", "event_ts", *_TRACKED), "tracked")
 

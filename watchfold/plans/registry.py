@@ -65,10 +65,22 @@ def fitted_profiles(spark: SparkSession, sf_dir: str) -> profiles.Profiles:
     return shared(spark, sf_dir, "profiles", lambda: profiles.fit_profiles(log(spark, sf_dir)))
 
 
+def deviations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The enriched rows with profile deviations, not stored.
+
+    Unless a query of the session has stored the enriched rows, they are made on the way:
+    they leave their windows dealt by entity, as the profiles join them, so that nothing
+    wide is written, read and shuffled again.
+    """
+    rows = _shared.get((spark.sparkContext.applicationId, sf_dir, "enriched"))
+    events = log(spark, sf_dir)
+    rows = enrich.enrich(events) if rows is None else rows
+    return profiles.apply_profiles(rows, fitted_profiles(spark, sf_dir), events)
+
+
 def profiled(spark: SparkSession, sf_dir: str) -> DataFrame:
     def make() -> DataFrame:
-        rows = enriched(spark, sf_dir)
-        return keep(profiles.apply_profiles(rows, fitted_profiles(spark, sf_dir)), "profiled")
+        return keep(deviations(spark, sf_dir), "profiled")
 
     return shared(spark, sf_dir, "profiled", make)
 
