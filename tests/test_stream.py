@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,3 +147,39 @@ def test_time_under_either_name_and_empty_source(spark, tmp_path):
     assert sorted(r["event_ts"].month for r in out.collect()) == [2, 3] and "timestamp" not in out.columns
     (tmp_path / "none").mkdir()
     assert live.drain(live.json_stream(spark, str(tmp_path / "none"))).count() == 0
+
+
+def test_entities_share_state_keys(spark, events, tmp_path):
+    """Many entities cost few calls of the state: rows that are stored do not grow with them."""
+    rows = [{"entity_id": f"e{i % 3000}", "event_ts": dt.datetime(2024, 1, 1, 10 + i // 3000)} for i in range(6000)]
+    df = live.zoned(events(rows))
+    df.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    path = str(tmp_path / "out")
+    query = live.write_batches(running_state.running_stream(stream, None, "0 seconds"), path)
+    query.awaitTermination()
+    out = spark.read.parquet(path)
+    assert {(r["entity_login_count"], r["count"]) for r in out.groupBy("entity_login_count").count().collect()} == {(1, 3000), (2, 3000)}
+    assert query.lastProgress.stateOperators[0].numRowsTotal < 3000
+
+
+class _Map:
+    def __init__(self):
+        self.rows = {}
+
+    def getValue(self, key):  # noqa: N802
+        return self.rows.get(key)
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.rows[key] = value
+
+
+def test_pages_double_and_keep_their_rows(monkeypatch):
+    monkeypatch.setattr(running_state, "PAGE", 8)
+    pages, n, stored = 1, 0, running_state.Pages(_Map(), 2)
+    for first in range(0, 90, 30):  # ten rows of each step are known from the one before
+        keys = np.array(["", *(f"k{i}" for i in range(first, first + 40))], object)
+        got, held = stored.get(keys, pages)
+        assert (got[11:] == 0).all() and (got[0] == first // 30).all() and (got[1:11] == bool(first)).all()
+        pages, n = stored.update(keys, got + 1, held, pages, n)
+    assert n == 101 and pages > 8 and stored.get(np.array(["k5", "k35"], object), pages)[0].tolist() == [[1, 1], [2, 2]]
