@@ -1,5 +1,6 @@
 """Properties of the models, metrics, attributions and drift."""
 
+import pickle
 import threading
 
 import numpy as np
@@ -152,6 +153,25 @@ def test_attributions_match_the_definition(spark, model):
         np.testing.assert_allclose(got[i], _brute_shapley(x[i], table, i % 3, 4), atol=1e-9)
 
 
+def test_paths_are_laid_out_where_they_are_used(spark, monkeypatch):
+    """What the driver makes and sends is the node table as arrays; groups of trees and of leaves give the sums of all."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(600, 6))
+    df = spark.createDataFrame(
+        [(i, [float(v) for v in r], "Anomaly", "ABC"[k]) for i, (r, k) in enumerate(zip(x, rng.integers(0, 3, 600)))],
+        "event_id long, features array<double>, label string, anomaly_type string",
+    )
+    fitted = cl.train_model(df, list("abcdef"), "random_forest", cl.Effort(trees=6, tree_depth=12))
+    table = explain.path_table(fitted)
+    assert len(pickle.dumps(table)) < 64 * fitted.nodes.count() + 4000
+    codes = np.arange(40) % 3
+    whole = explain.shapley(x[:40][:, table.used], codes, table)
+    monkeypatch.setattr(explain, "LEAVES", 100)
+    monkeypatch.setattr(explain, "_AT_ONCE", 20_000)
+    assert len(list(table.paths)) > 12
+    np.testing.assert_allclose(explain.shapley(x[:40][:, table.used], codes, table), whole, atol=1e-12)
+
+
 def test_comparison_reports_failures(spark, monkeypatch):
     rng = np.random.default_rng(5)
     df = spark.createDataFrame(
