@@ -195,6 +195,34 @@ def test_nodes_of_a_level_are_compared_at_once(spark, monkeypatch, boosted, step
     assert key(got) == key(want) and any(f >= 0 for t in got for f in t.feature)
 
 
+@pytest.mark.parametrize("boosted", [True, False])
+def test_a_task_of_its_own_holds_small_numbers(spark, monkeypatch, boosted):
+    """A byte per row and feature and two per entry; rows are added up in stretches, and the trees stay the same."""
+    _, _, df = table(spark, n=300, folds=2)
+    rows = df.select("event_id", sparse(F.col("features")).alias("features"), "class_code", "fold")
+    bins = trees.fit_bins(rows)
+    plan = trees.Plan(boosted, 3, 5, balanced=False, held_out=1)
+    monkeypatch.setattr(trees, "BLOCK", 32)
+    parts = trees._blocks_of(rows, 300, bins, 0).toPandas().to_dict("records")
+    job = trees.Job((plan,), bins, 3, np.ones((1, 3)), 7, 0, (), (), {})
+
+    def grow():
+        held = trees.Held(parts, job)
+        assert held.cells.dtype == np.uint16 and held.matrix.dtype == np.uint8 and not len(held.columns)
+        size = sum(v.nbytes for v in [*vars(held).values(), *vars(held.block).values()] if isinstance(v, np.ndarray))
+        assert size <= 300 * (len(bins.features) + 2 * len(bins.features) + 24 + 24) + 1000
+        return trees._grow_units(held.splits, held.advance, job, [(0, 0, 3)], 1)
+
+    key = lambda ts: [(t.output, t.feature, t.cut, t.left, t.right, [round(g, 6) for g in t.gain]) for t in ts]
+    want = key(grow())
+    monkeypatch.setattr(trees, "STRETCH", 7)
+    assert key(grow()) == want
+
+
+def test_tables_of_a_million_attacks_need_no_job_per_level():
+    assert trees.APART * trees.BLOCK >= 1_000_000
+
+
 def test_members_answer_the_rows_of_their_fold(spark):
     class_by_value = SimpleNamespace(outputs=methodcaller("columns", np.arange(2)))
     data = [(i, i % 5, 0.0, ([0, 1], [1.0, float(i)])) for i in range(10)]
